@@ -117,3 +117,174 @@ def q_monthly_trend(spark, sf):
 @register("aligned_trends", f"with {V3} {trend_sql('v3')} select * from trend")
 def q_aligned_trends(spark, sf):
     return T.trend_table(v3(spark, sf))
+
+
+# ----------------------------------------------------------------------------
+# Lines: V4 (web page urls) and V7 (every token of every document)
+from trafficlens.functions import titles as X  # noqa: E402
+from trafficlens.functions import scalars as S  # noqa: E402
+
+V4 = r"""v4 as (
+  select page_id,
+    concat_ws(' ', regexp_extract(url, '^https?://([^/]+)/([a-z]+)/(.*)$', 2),
+      upper(substring(regexp_extract(url, '^https?://([^/]+)/([a-z]+)/(.*)$', 1), 1, 1))
+        || substring(regexp_extract(url, '^https?://([^/]+)/([a-z]+)/(.*)$', 1), 2)
+        || '/' || regexp_extract(url, '^https?://([^/]+)/([a-z]+)/(.*)$', 3),
+      (page_id % 97 + 1)::VARCHAR, length(html)::VARCHAR) as value,
+    strftime(TIMESTAMP '2015-03-01 00:00:00' + to_hours((page_id % 72)::BIGINT), '%Y%m%d%H%M%S') as stamp
+  from pages)"""
+V7 = r"""v7 as (
+  select doc_id, concat_ws(' ', lang, tok, (doc_id % 97 + 1)::VARCHAR, n_chars::VARCHAR) as value,
+    strftime(TIMESTAMP '2015-03-01 00:00:00'
+             + to_hours(((doc_id % 30) * 24 + (doc_id % 3) * 8)::BIGINT), '%Y%m%d%H%M%S') as stamp
+  from (select doc_id, lang, n_chars, unnest(regexp_split_to_array(text, '[ \t\r\n]+')) as tok
+        from documents))"""
+LINE_RE = "'^en (.*) ([0-9].*) ([0-9].*)'"
+NS_RE = "'" + X.namespace_pattern() + "'"
+EXT_RE = "'" + X.extension_pattern() + "'"
+BLACK = ", ".join("'" + b + "'" for b in X.BLACKLIST)
+
+
+def parsed_sql(src: str, keep: str, keyword: str | None = None) -> str:
+    """Oracle for P1 (parse_lines) on CTE ``src`` -> CTE ``parsed``."""
+    kw = f"when not contains(lower(value), '{keyword}') then 'keyword'" if keyword else ""
+    return f"""
+, g as (
+  select {keep}, value,
+    regexp_extract(value, {LINE_RE}, 1) as page,
+    regexp_extract(value, {LINE_RE}, 2) as raw_count
+  from {src})
+, h as (
+  select *, split_part(url_decode(replace(page, '+', ' ')), '#', 1) as title,
+    try_cast(nullif(regexp_extract(raw_count, '^[ \t\n\r\f]*([0-9]+)[ \t\n\r\f]*$', 1), '') as BIGINT) as views
+  from g)
+, parsed as (
+  select {keep}, page, title, views,
+    case when not regexp_matches(value, {LINE_RE}) then 'shape'
+         {kw}
+         when regexp_matches(page, {NS_RE}) or regexp_matches(page, '^[a-z]')
+              or regexp_matches(page, {EXT_RE}) or contains(page, ' ')
+              or page in ({BLACK}) then 'title'
+         when title = '' or starts_with(title, '#') then 'empty'
+         when views is null then 'count'
+         else 'ok' end as status
+  from h)"""
+
+
+def v4_lines(spark, sf):
+    return B.page_lines(spark, sf)
+
+
+def v7_lines(spark, sf):
+    return B.token_lines(spark, sf)
+
+
+def v7_parsed(spark, sf):
+    return X.parse_lines(v7_lines(spark, sf), keep=["doc_id", "stamp"])
+
+
+def v7_pages(spark, sf):
+    """en-shaped V7 lines -> (doc_id, page) (F1 then the page group)."""
+    lines = v7_lines(spark, sf).where(X.line_shape("value"))
+    return lines.select("doc_id", X.line_group(F.col("value"), 1).alias("page"))
+
+
+V7_PAGES = f"v7p as (select doc_id, regexp_extract(value, {LINE_RE}, 1) as page from v7 " \
+           f"where regexp_matches(value, {LINE_RE}))"
+
+
+@register("line_shape", f"with {V4} select page_id, value from v4 where regexp_matches(value, {LINE_RE})")
+def q_line_shape(spark, sf):
+    return v4_lines(spark, sf).where(X.line_shape("value")).select("page_id", "value")
+
+
+@register("parse_line", f"with {V7} {parsed_sql('v7', 'doc_id, stamp')} select * from parsed")
+def q_parse_line(spark, sf):
+    return v7_parsed(spark, sf)
+
+
+@register("keyword_filter", f"with {V7} select doc_id, value from v7 where contains(lower(value), 'the')")
+def q_keyword_filter(spark, sf):
+    return v7_lines(spark, sf).where(X.keyword_in_line("value", "the")).select("doc_id", "value")
+
+
+@register("ns_filter", f"with {V7}, {V7_PAGES} select doc_id, page from v7p "
+          f"where not regexp_matches(page, {NS_RE})")
+def q_ns_filter(spark, sf):
+    return v7_pages(spark, sf).where(~X.in_excluded_namespace("page"))
+
+
+@register("lowercase_filter", f"with {V7}, {V7_PAGES} select doc_id, page from v7p "
+          "where not regexp_matches(page, '^[a-z]')")
+def q_lowercase_filter(spark, sf):
+    return v7_pages(spark, sf).where(~X.starts_lowercase("page"))
+
+
+@register("ext_filter", f"with {V7}, {V7_PAGES} select doc_id, page from v7p "
+          f"where not regexp_matches(page, {EXT_RE})")
+def q_ext_filter(spark, sf):
+    return v7_pages(spark, sf).where(~X.looks_like_file("page"))
+
+
+@register("space_filter", f"with {V4} , v4p as (select page_id, regexp_extract(value, {LINE_RE}, 1) as page "
+          f"from v4 where regexp_matches(value, {LINE_RE})) "
+          "select page_id, page from v4p where not contains(page, ' ')")
+def q_space_filter(spark, sf):
+    lines = v4_lines(spark, sf).where(X.line_shape("value"))
+    pages = lines.select("page_id", X.line_group(F.col("value"), 1).alias("page"))
+    return pages.where(~X.has_space("page"))
+
+
+@register("blacklist", f"with {V7}, {V7_PAGES} select doc_id, page from v7p where page not in ({BLACK})")
+def q_blacklist(spark, sf):
+    return v7_pages(spark, sf).where(~X.blacklisted("page"))
+
+
+@register("valid_title", f"with {V7}, {V7_PAGES} select doc_id, page from v7p "
+          f"where not (regexp_matches(page, {NS_RE}) or regexp_matches(page, '^[a-z]') "
+          f"or regexp_matches(page, {EXT_RE}) or contains(page, ' ') or page in ({BLACK}))")
+def q_valid_title(spark, sf):
+    return v7_pages(spark, sf).where(X.is_valid_title("page"))
+
+
+@register("clean_nonempty", f"with {V7} {parsed_sql('v7', 'doc_id, stamp')} "
+          "select doc_id, title from parsed where status not in ('shape', 'title') "
+          "and title <> '' and not starts_with(title, '#')")
+def q_clean_nonempty(spark, sf):
+    p = v7_parsed(spark, sf).where(~F.col("status").isin("shape", "title"))
+    return p.where(X.nonempty_title("title")).select("doc_id", "title")
+
+
+@register("scalar_title_clean", f"with {V7}, {V7_PAGES} select doc_id, page, "
+          "replace(page, '+', ' ') as plus_spaced, url_decode(replace(page, '+', ' ')) as decoded, "
+          "split_part(url_decode(replace(page, '+', ' ')), '#', 1) as title, "
+          "trim(split_part(url_decode(replace(page, '+', ' ')), '#', 1)) as trimmed, "
+          "lower(split_part(url_decode(replace(page, '+', ' ')), '#', 1)) as lowered from v7p")
+def q_scalar_title_clean(spark, sf):
+    p = v7_pages(spark, sf)
+    dec = X.url_decode_plus("page")
+    return p.select("doc_id", "page", F.replace("page", F.lit("+"), F.lit(" ")).alias("plus_spaced"),
+                    dec.alias("decoded"), X.cut_anchor(dec).alias("title"),
+                    F.trim(X.cut_anchor(dec)).alias("trimmed"),
+                    F.lower(X.cut_anchor(dec)).alias("lowered"))
+
+
+V4_SPLIT = """v4s as (select page_id, split_part(value, ' ', 1) as project,
+  lower(split_part(value, ' ', 2)) as page, try_cast(nullif(split_part(value, ' ', 3), '') as BIGINT) as views,
+  try_cast(nullif(split_part(value, ' ', 4), '') as BIGINT) as bytes from v4)"""
+
+
+@register("split_line", f"with {V4}, {V4_SPLIT} select * from v4s")
+def q_split_line(spark, sf):
+    return X.split_line(v4_lines(spark, sf), keep=["page_id"])
+
+
+@register("project_filter", f"with {V4}, {V4_SPLIT} select * from v4s where project = 'en'")
+def q_project_filter(spark, sf):
+    return X.split_line(v4_lines(spark, sf), keep=["page_id"]).where(X.project_is("project"))
+
+
+@register("min_views", f"with {V4}, {V4_SPLIT} select * from v4s where project = 'en' and views > 50")
+def q_min_views(spark, sf):
+    s = X.split_line(v4_lines(spark, sf), keep=["page_id"]).where(X.project_is("project"))
+    return C.min_views(s, 50)

@@ -15,6 +15,7 @@ from pyspark.sql import SparkSession
 # Settings a local run needs; on a cluster these come from spark-submit.
 LOCAL_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
