@@ -288,3 +288,210 @@ def q_project_filter(spark, sf):
 def q_min_views(spark, sf):
     s = X.split_line(v4_lines(spark, sf), keep=["page_id"]).where(X.project_is("project"))
     return C.min_views(s, 50)
+
+
+# ----------------------------------------------------------------------------
+# Ranking (W5-W9), top-N (T1-T4), forecast (M1), gaps (S22), documents
+from trafficlens.operators import documents as D  # noqa: E402
+from trafficlens.operators import forecast as M  # noqa: E402
+from trafficlens.operators import gaps as G  # noqa: E402
+from trafficlens.operators import ranking as RK  # noqa: E402
+from trafficlens.operators import topn as TN  # noqa: E402
+
+V8 = """v8 as (select 'Customer_' || lpad(o_custkey::VARCHAR, 9, '0') as title,
+               strftime(o_orderdate, '%Y%m%d') as dt, count(*)::BIGINT as views
+               from orders group by 1, 2)"""
+
+# Doubles that pass through log/regression are compared at a fixed number of
+# decimals on both sides; plain ratios and square roots are exact.
+LOG_DECIMALS = 9
+FIT_DECIMALS = 6
+
+
+def rank_sql(src: str, order: str = "dt") -> str:
+    """Oracle for W5-W8 on CTE ``src`` (title, order, views) -> CTE ``ranked``."""
+    return f"""
+, rr as (select title, views, row_number() over (partition by title order by {order} desc) as r from {src})
+, rg as (
+  select title, count(*)::BIGINT as n, sum(views)::BIGINT as total_pageviews,
+    coalesce(sum(views) filter (where r <= 15), 0) as last15,
+    coalesce(sum(views) filter (where r between 16 and 30), 0) as prev15,
+    max(views) filter (where r = 1) as y2, max(views) filter (where r = 8) as y1,
+    coalesce(sum(views) filter (where r between 2 and 8), 0) as wk
+  from rr group by title)
+, ranked as (
+  select title, total_pageviews, n,
+    case when n >= 8 and total_pageviews > 0 then (last15 - prev15)::DOUBLE else 0.0::DOUBLE end as monthly_trend,
+    case when n >= 8 and total_pageviews > 0
+         then round((y2 - y1)::DOUBLE * (1.0 + ln(1.0 + wk::DOUBLE)), {LOG_DECIMALS})
+         else 0.0::DOUBLE end as daily_trend,
+    case when n >= 8 and total_pageviews > 0 then 1.0 / sqrt(total_pageviews::DOUBLE)
+         else 0.0::DOUBLE end as error
+  from rg)"""
+
+
+def rounded_rank(df: DataFrame) -> DataFrame:
+    return df.withColumn("daily_trend", F.round("daily_trend", LOG_DECIMALS))
+
+
+def v8(spark, sf):
+    return C.daily_counts(B.customer_order_hits(spark, sf))
+
+
+@register("rank_monthly", f"with {V1} {rank_sql('v1')} select title, total_pageviews, monthly_trend from ranked")
+def q_rank_monthly(spark, sf):
+    return RK.rank_long(v1(spark, sf)).select("title", "total_pageviews", "monthly_trend")
+
+
+@register("rank_daily", f"with {V1} {rank_sql('v1')} select title, daily_trend from ranked")
+def q_rank_daily(spark, sf):
+    return rounded_rank(RK.rank_long(v1(spark, sf))).select("title", "daily_trend")
+
+
+@register("rank_error", f"with {V3} {rank_sql('v3')} select title, total_pageviews, error from ranked")
+def q_rank_error(spark, sf):
+    return RK.rank_long(v3(spark, sf)).select("title", "total_pageviews", "error")
+
+
+@register("rank_all", f"with {V8} {rank_sql('v8')} select * from ranked")
+def q_rank_all(spark, sf):
+    return rounded_rank(RK.rank_long(v8(spark, sf)))
+
+
+@register("consecutive_ratio", f"""with {V2} select * from (
+  select title, ts, lag(ts) over w as prev_ts,
+    views::DOUBLE / (case when lag(views) over w = 0 then 1 else lag(views) over w end) - 1.0 as ratio
+  from v2 window w as (partition by title order by ts)) where prev_ts is not null""")
+def q_consecutive_ratio(spark, sf):
+    return RK.consecutive_ratio(v2(spark, sf))
+
+
+@register("top_24h", f"""with {V2}
+, recent as (select * from v2 where ts > (select max(ts) from v2) - interval 24 hour
+                                and ts <= (select max(ts) from v2))
+{rank_sql('recent', 'ts')}
+select *, row_number() over (order by daily_trend desc, total_pageviews desc, title)::INTEGER as rank
+from (select * from ranked order by daily_trend desc, total_pageviews desc, title limit 10)""")
+def q_top_24h(spark, sf):
+    return rounded_rank(TN.top_recent_hours(v2(spark, sf), n=10, hours=24))
+
+
+@register("top_30d", f"""with {V3}
+, recent as (select * from v3 where strptime(dt, '%Y%m%d')::DATE >
+               (select max(strptime(dt, '%Y%m%d'))::DATE from v3) - 30)
+{rank_sql('recent')}
+select *, row_number() over (order by monthly_trend desc, total_pageviews desc, title)::INTEGER as rank
+from (select * from ranked order by monthly_trend desc, total_pageviews desc, title limit 10)""")
+def q_top_30d(spark, sf):
+    return rounded_rank(TN.top_recent_days(v3(spark, sf), n=10, days=30))
+
+
+@register("top_per_day", f"""with {V3} {trend_sql('v3')}
+select * from (select dt, title, views, daily_trend,
+  row_number() over (partition by dt order by daily_trend desc nulls last, title)::INTEGER as rank
+  from trend) where rank <= 3""")
+def q_top_per_day(spark, sf):
+    return TN.top_per_day(T.trend_table(v3(spark, sf)), n=3)
+
+
+@register("trend_search", f"with {V3} {trend_sql('v3')} select * from trend "
+          "where regexp_matches(title, '^[12]-')")
+def q_trend_search(spark, sf):
+    return TN.trend_search(T.trend_table(v3(spark, sf)), pattern="^[12]-")
+
+
+@register("forecast", f"""with {V1}
+, pts as (select title, views::DOUBLE as y, (row_number() over (partition by title order by dt) - 1)::DOUBLE as x
+          from v1)
+, fit as (select title, count(*)::BIGINT as n, regr_slope(y, x) as slope, regr_intercept(y, x) as intercept
+          from pts group by title)
+select title, n, round(slope, {FIT_DECIMALS}) as slope, round(intercept, {FIT_DECIMALS}) as intercept,
+  round(intercept + slope * (n - 1 + 1), {FIT_DECIMALS}) as forecast_1,
+  round(intercept + slope * (n - 1 + 7), {FIT_DECIMALS}) as forecast_7
+from fit""")
+def q_forecast(spark, sf):
+    f = M.forecast(v1(spark, sf), horizons=(1, 7))
+    return f.select("title", "n", *[F.round(c, FIT_DECIMALS).alias(c)
+                                    for c in ("slope", "intercept", "forecast_1", "forecast_7")])
+
+
+@register("missing_hours", f"""with {V2}
+, span as (select title, unnest(generate_series(min(ts), max(ts), interval 1 hour)) as ts
+           from v2 group by title)
+select title, ts from span s
+where not exists (select 1 from v2 where v2.title = s.title and v2.ts = s.ts)""")
+def q_missing_hours(spark, sf):
+    return G.missing_hours(v2(spark, sf), "ts", by="title")
+
+
+DOCS_SQL = """select sha1(title || dt) as _id, title, strptime(dt, '%Y%m%d')::DATE as page_date,
+  views::INTEGER as page_views, daily_trend::FLOAT as daily_trend,
+  weekly_trend::FLOAT as weekly_trend, monthly_trend::FLOAT as monthly_trend from trend"""
+
+
+@register("search_docs", f"with {V3} {trend_sql('v3')} {DOCS_SQL}")
+def q_search_docs(spark, sf):
+    return D.search_documents(T.trend_table(v3(spark, sf)))
+
+
+@register("scalar_doc_id", f"""with {V1} select title, dt, sha1(title || dt) as _id,
+  strptime(dt, '%Y%m%d')::DATE as page_date from v1""")
+def q_scalar_doc_id(spark, sf):
+    return v1(spark, sf).select("title", "dt", S.doc_id(F.col("title"), F.col("dt")).alias("_id"),
+                                S.stamp_to_date("dt").alias("page_date"))
+
+
+@register("series_arrays", f"""with {V1} select title,
+  '[' || string_agg(dt, ',' order by dt) || ']' as dates,
+  '[' || string_agg(views::VARCHAR, ',' order by dt) || ']' as pageviews,
+  count(*)::INTEGER as n from v1 group by title""")
+def q_series_arrays(spark, sf):
+    s = C.series_arrays(v1(spark, sf))
+    return s.select("title", S.json_array_text("dates").alias("dates"),
+                    S.json_array_text("views").alias("pageviews"), F.size("dates").alias("n"))
+
+
+@register("scalar_series", f"""with {V1}
+, s as (select title, list(views order by dt) as v, sum(views)::BIGINT as total from v1 group by title)
+select title, total, len(v)::INTEGER as n,
+  list_sum(v[-7:])::BIGINT as last7_sum,
+  round(ln(1.0 + list_sum(v[-7:])::DOUBLE), {LOG_DECIMALS}) as log_week,
+  1.0 / sqrt(total::DOUBLE) as inv_sqrt_total from s""")
+def q_scalar_series(spark, sf):
+    s = C.series_arrays(v1(spark, sf))
+    v = F.col("views")
+    n = F.size(v)
+    last7 = S.sum_array(F.slice(v, F.greatest(n - 6, F.lit(1)), 7))
+    return s.select("title", S.sum_array(v).alias("total"), n.alias("n"), last7.alias("last7_sum"),
+                    F.round(F.log(F.lit(1.0) + last7.cast("double")), LOG_DECIMALS).alias("log_week"),
+                    (F.lit(1.0) / F.sqrt(S.sum_array(v).cast("double"))).alias("inv_sqrt_total"))
+
+
+HOST_LINES = r"""v4b as (select concat_ws(' ', regexp_extract(url, '^https?://([^/]+)/([a-z]+)/(.*)$', 2),
+  regexp_extract(url, '^https?://([^/]+)/([a-z]+)/(.*)$', 1),
+  (page_id % 97 + 1)::VARCHAR, length(html)::VARCHAR) as value from pages)"""
+
+
+@register("dup_pages", f"""with {HOST_LINES}
+select lower(split_part(value, ' ', 2)) as page, count(*)::BIGINT as n from v4b
+group by split_part(value, ' ', 1), lower(split_part(value, ' ', 2)) having count(*) > 1""")
+def q_dup_pages(spark, sf):
+    return C.duplicates(X.split_line(B.host_lines(spark, sf)))
+
+
+@register("distinct_rows", f"""with {V7} {parsed_sql('v7', 'doc_id, stamp')}
+select distinct title, stamp from parsed where status = 'ok'""")
+def q_distinct_rows(spark, sf):
+    return v7_parsed(spark, sf).where(F.col("status") == "ok").select("title", "stamp").distinct()
+
+
+@register("sorted_counts", f"with {V2} select * from v2 order by title, ts")
+def q_sorted_counts(spark, sf):
+    return C.sorted_counts(v2(spark, sf))
+
+
+@register("load_stats", f"""with {V7} {parsed_sql('v7', 'doc_id, stamp')}
+select stamp, count(*)::BIGINT as lines, count(*) filter (where status = 'ok')::BIGINT as accepted,
+  sum(views) filter (where status = 'ok')::BIGINT as views from parsed group by stamp""")
+def q_load_stats(spark, sf):
+    return C.load_stats(v7_parsed(spark, sf))
