@@ -495,3 +495,167 @@ select stamp, count(*)::BIGINT as lines, count(*) filter (where status = 'ok')::
   sum(views) filter (where status = 'ok')::BIGINT as views from parsed group by stamp""")
 def q_load_stats(spark, sf):
     return C.load_stats(v7_parsed(spark, sf))
+
+
+# ----------------------------------------------------------------------------
+# Lookups (F13, L1-L5, S6) and timelines
+from trafficlens.operators import lookups as L  # noqa: E402
+from trafficlens.operators import timelines as TL  # noqa: E402
+from trafficlens.plans import merge_rank as MR  # noqa: E402
+from trafficlens.sources import dumps as DP  # noqa: E402
+
+V5 = """v5p as (select c_custkey as page_id, (c_custkey % 10 // 9)::INTEGER as page_namespace,
+    split_part(c_name, '#', 1) || '_' || split_part(c_name, '#', 2) as page_title,
+    c_custkey + 100000 as page_latest from customer)
+, v5r as (select c_custkey as rd_from, 0::BIGINT as rd_namespace,
+    'Customer_' || lpad(((c_custkey * 7) % 2000)::VARCHAR, 9, '0') as rd_title
+    from customer where c_custkey % 4 = 0)
+, p0 as (select * from v5p where page_namespace = 0)
+, r0 as (select * from v5r where rd_namespace = 0)
+, l1 as (select s.page_title as redirect_title, replace(d.page_title, '_', ' ') as true_title,
+    d.page_id, d.page_latest from r0 join p0 s on r0.rd_from = s.page_id join p0 d on r0.rd_title = d.page_title)
+, l2 as (select page_title as redirect_title, replace(page_title, '_', ' ') as true_title, page_id, page_latest
+    from p0 where not exists (select 1 from r0 where r0.rd_from = p0.page_id))
+, lookup as (select * from l1 union all select * from l2)"""
+
+
+def v5_lookup(spark, sf):
+    return L.build_lookup(B.wiki_page(spark, sf), B.wiki_redirect(spark, sf))
+
+
+@register("redirects", f"with {V5} select * from l1")
+def q_redirects(spark, sf):
+    p = L.main_namespace(B.wiki_page(spark, sf), "page_namespace")
+    r = L.main_namespace(B.wiki_redirect(spark, sf), "rd_namespace")
+    return L.resolve_redirects(p, r)
+
+
+@register("nonredirects", f"with {V5} select * from l2")
+def q_nonredirects(spark, sf):
+    p = L.main_namespace(B.wiki_page(spark, sf), "page_namespace")
+    r = L.main_namespace(B.wiki_redirect(spark, sf), "rd_namespace")
+    return L.non_redirects(p, r)
+
+
+@register("page_lookups", f"with {V5} select * from lookup")
+def q_page_lookups(spark, sf):
+    return v5_lookup(spark, sf)
+
+
+def v5_dump_lines(spark, sf):
+    """V5 rendered as SQL dump text (page and redirect statements, at most
+    100 tuples per statement, all eleven page columns)."""
+    p = (B.wiki_page(spark, sf).withColumn("_b", (F.col("page_id") / 100).cast("bigint"))
+         .withColumn("page_restrictions", F.lit("")).withColumn("page_counter", F.lit(0))
+         .withColumn("page_is_redirect", F.lit(0)).withColumn("page_is_new", F.lit(0))
+         .withColumn("page_random", F.lit(0.5)).withColumn("page_touched", F.lit("20150301000000"))
+         .withColumn("page_len", F.lit(0)))
+    r = B.wiki_redirect(spark, sf).withColumn("_b", (F.col("rd_from") / 100).cast("bigint"))
+    pl = DP.to_dump_lines(p, "page", "_b", DP.PAGE_SCHEMA.fieldNames(),
+                          {"page_title", "page_restrictions", "page_touched"})
+    rl = DP.to_dump_lines(r, "redirect", "_b", DP.REDIRECT_SCHEMA.fieldNames(), {"rd_title"})
+    return pl.unionByName(rl)
+
+
+@register("dump_tuples", f"with {V5} select * from v5r")
+def q_dump_tuples(spark, sf):
+    t = DP.dump_tuples(v5_dump_lines(spark, sf), table="redirect")
+    r = DP.parse_tuples(t, DP.REDIRECT_SCHEMA)
+    return r.select("rd_from", F.col("rd_namespace").cast("bigint").alias("rd_namespace"), "rd_title")
+
+
+@register("lookup_build", f"with {V5} select * from lookup")
+def q_lookup_build(spark, sf):
+    """L4 end to end: dump text written to shared storage, read back with
+    the dump reader, namespace filter, L1 + L2, union."""
+    from trafficlens.session import fresh_path
+    path = fresh_path(spark, "dump")
+    v5_dump_lines(spark, sf).write.mode("overwrite").text(path)
+    page = DP.read_dump(spark, path, "page", DP.PAGE_SCHEMA)
+    red = DP.read_dump(spark, path, "redirect", DP.REDIRECT_SCHEMA)
+    return L.build_lookup(page, red).select(
+        "redirect_title", "true_title", "page_id", "page_latest")
+
+
+V8_ID = f"""{V8}, {V5}
+, cid as (select l.page_id, v8.dt, sum(v8.views)::BIGINT as views
+          from v8 join lookup l on l.redirect_title = v8.title group by 1, 2)
+, cut as (select strftime(max(strptime(dt, '%Y%m%d')) - interval 30 day, '%Y%m%d') as c from cid)
+, hist as (select * from cid where dt <= (select c from cut))
+, newc as (select * from cid where dt > (select c from cut))
+, merged as (select * from cid where page_id in (select page_id from hist))"""
+
+
+def v8_page_counts(spark, sf):
+    return MR.page_day_counts(v8(spark, sf), v5_lookup(spark, sf))
+
+
+def split_history(counts: DataFrame, days: int = 30):
+    """History = all but the last ``days`` days; new batch = the last days."""
+    last = F.to_date(TN.latest(counts, "dt"), "yyyyMMdd")
+    cut = F.date_format(F.date_sub(last, days), "yyyyMMdd")
+    return counts.where(F.col("dt") <= cut), counts.where(F.col("dt") > cut)
+
+
+@register("counts_with_id", f"with {V8_ID} select * from cid")
+def q_counts_with_id(spark, sf):
+    return v8_page_counts(spark, sf)
+
+
+@register("timeline_merge", f"""with {V8_ID}
+select page_id, '[' || string_agg(dt, ',' order by dt) || ']' as dates,
+  '[' || string_agg(views::VARCHAR, ',' order by dt) || ']' as pageviews,
+  sum(views)::BIGINT as total_pageviews from merged group by page_id""")
+def q_timeline_merge(spark, sf):
+    hist, new = split_history(v8_page_counts(spark, sf))
+    m = TL.merge_timelines(TL.timelines_from_counts(hist), new)
+    return m.select("page_id", S.json_array_text("dates").alias("dates"),
+                    S.json_array_text("pageviews").alias("pageviews"), "total_pageviews")
+
+
+def rank_sql_key(src: str, key: str) -> str:
+    return rank_sql(src).replace("partition by title", f"partition by {key}") \
+        .replace("select title,", f"select {key},").replace("group by title", f"group by {key}")
+
+
+@register("rank_timelines", f"""with {V8_ID} {rank_sql_key('merged', 'page_id')}
+select page_id, total_pageviews, monthly_trend, daily_trend, error from ranked""")
+def q_rank_timelines(spark, sf):
+    counts = v8_page_counts(spark, sf)
+    hist, new = split_history(counts)
+    m = TL.merge_timelines(TL.timelines_from_counts(hist), new)
+    return rounded_rank(RK.rank_arrays(m)).select("page_id", "total_pageviews", "monthly_trend",
+                                                  "daily_trend", "error")
+
+
+PAGES_SQL = """, pages as (select page_id, 'https://en.wikipedia.org/wiki/' || page_title as url,
+  replace(page_title, '_', ' ') as title, page_latest from p0)"""
+
+
+@register("new_pages", f"""with {V8_ID} {rank_sql_key('merged', 'page_id')} {PAGES_SQL}
+select distinct p.page_id, p.url, p.title, p.page_latest, r.total_pageviews, r.monthly_trend
+from pages p join ranked r on p.page_id = r.page_id""")
+def q_new_pages(spark, sf):
+    return _merge_result(spark, sf).pages
+
+
+@register("new_daily_trends", f"""with {V8_ID} {rank_sql_key('merged', 'page_id')} {PAGES_SQL}
+select distinct p.page_id, r.daily_trend as trend, r.error from pages p join ranked r on p.page_id = r.page_id""")
+def q_new_daily_trends(spark, sf):
+    d = _merge_result(spark, sf).daily_trends
+    return d.withColumn("trend", F.round("trend", LOG_DECIMALS))
+
+
+def _merge_result(spark, sf) -> "MR.MergeResult":
+    """Entry 3 on the bindings: history = V8 days before the last 30, the
+    new batch = V8 counts of the last 30 days entering by title."""
+    v8c = v8(spark, sf)
+    lookup = v5_lookup(spark, sf)
+    counts = MR.page_day_counts(v8c, lookup)
+    hist, _ = split_history(counts)
+    cut_last = F.to_date(TN.latest(counts, "dt"), "yyyyMMdd")
+    cut = F.date_format(F.date_sub(cut_last, 30), "yyyyMMdd")
+    new_titles = v8c.where(F.col("dt") > cut)
+    page = L.main_namespace(B.wiki_page(spark, sf), "page_namespace")
+    return MR.merge_and_rank(TL.timelines_from_counts(hist), new_titles, lookup,
+                             TL.pages_table(page), persist=False)
