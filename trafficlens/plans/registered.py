@@ -659,3 +659,167 @@ def _merge_result(spark, sf) -> "MR.MergeResult":
     page = L.main_namespace(B.wiki_page(spark, sf), "page_namespace")
     return MR.merge_and_rank(TL.timelines_from_counts(hist), new_titles, lookup,
                              TL.pages_table(page), persist=False)
+
+
+# ----------------------------------------------------------------------------
+# Files and sinks (S1-S5, S7-S17, S20, S23) and the batch entries
+from trafficlens.plans import batch_trends as BT  # noqa: E402
+from trafficlens.session import fresh_path  # noqa: E402
+from trafficlens.sources import catalog as CT  # noqa: E402
+from trafficlens.sources import manifest as MF  # noqa: E402
+from trafficlens.sources import pagecounts as PC  # noqa: E402
+from trafficlens.sources import search_docs as SD  # noqa: E402
+from trafficlens.sources import text_tables as TT  # noqa: E402
+from trafficlens.sources import trend_lines as TLN  # noqa: E402
+
+
+def staged(spark, lines: DataFrame, name: str) -> str:
+    """Lay derived lines out as hourly gz page-count files in shared storage."""
+    return PC.write_pagecount_files(lines, fresh_path(spark, name))
+
+
+TS_OF_STAMP = "strptime(stamp, '%Y%m%d%H%M%S')"
+
+
+@register("scan_lines", f"with {V4} select value, stamp, {TS_OF_STAMP} as ts from v4")
+def q_scan_lines(spark, sf):
+    root = staged(spark, v4_lines(spark, sf), "v4files")
+    return PC.read_pagecounts(spark, root).select("value", "stamp", "ts")
+
+
+@register("file_time", f"with {V4} select distinct stamp, {TS_OF_STAMP} as ts from v4")
+def q_file_time(spark, sf):
+    root = staged(spark, v4_lines(spark, sf), "v4files")
+    return PC.read_pagecounts(spark, root).select("stamp", "ts").distinct()
+
+
+@register("file_pattern", f"with {V4} select value, stamp from v4 where stamp like '20150301%'")
+def q_file_pattern(spark, sf):
+    root = staged(spark, v4_lines(spark, sf), "v4files")
+    return PC.read_pagecounts(spark, f"{root}/{PC.hour_glob('20150301')}").select("value", "stamp")
+
+
+@register("union_sources", f"with {V4}, {V7} select value, stamp from v4 union all select value, stamp from v7")
+def q_union_sources(spark, sf):
+    a = PC.read_pagecounts(spark, staged(spark, v4_lines(spark, sf), "v4files"))
+    b = PC.read_pagecounts(spark, staged(spark, v7_lines(spark, sf), "v7files"))
+    return PC.union_sources(a.select("value", "stamp"), b.select("value", "stamp"))
+
+
+@register("recent_hours", f"""with {V2} select * from v2
+where ts >= (select max(ts) from v2) - interval 70 hour and ts <= (select max(ts) from v2) - interval 48 hour""")
+def q_recent_hours(spark, sf):
+    h = v2(spark, sf)
+    return PC.recent_hours(h, TN.latest(h, "ts"), 48, 70)
+
+
+V7_DAY = f"""{V7} {parsed_sql('v7', 'doc_id, stamp')}
+, v7d as (select title, substring(stamp, 1, 8) as dt, sum(views)::BIGINT as views
+          from parsed where status = 'ok' group by 1, 2)"""
+
+
+@register("batch_trends", f"with {V7_DAY} {trend_sql('v7d')} select * from trend")
+def q_batch_trends(spark, sf):
+    root = staged(spark, v7_lines(spark, sf), "v7files")
+    return BT.run(spark, root, grain="day")
+
+
+@register("latest_trends", f"""with {V7} {parsed_sql('v7', 'doc_id, stamp')}
+, recent as (select * from parsed where status = 'ok'
+  and {TS_OF_STAMP} >= (select max({TS_OF_STAMP}) from v7) - interval 70 hour
+  and {TS_OF_STAMP} <= (select max({TS_OF_STAMP}) from v7) - interval 48 hour)
+, v7h as (select title, stamp as dt, sum(views)::BIGINT as views from recent group by 1, 2)
+{trend_sql('v7h')} select * from trend""")
+def q_latest_trends(spark, sf):
+    lines = v7_lines(spark, sf).withColumn("ts", S.stamp_to_ts("stamp"))
+    recent = PC.recent_hours(lines, TN.latest(lines, "ts"), 48, 70)
+    return BT.trends_from_lines(recent.drop("ts"), grain="hour")
+
+
+@register("rejects", f"with {V7} {parsed_sql('v7', 'doc_id, stamp')} "
+          "select status, count(*)::BIGINT as n from parsed where status <> 'ok' group by status")
+def q_rejects(spark, sf):
+    return BT.rejects(v7_lines(spark, sf)).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("trend_lines", f"""with {V3} {trend_sql('v3')}
+select title, string_agg(dt, ',' order by dt) as dates, string_agg(views::VARCHAR, ',' order by dt) as views,
+  count(*)::INTEGER as n_daily,
+  (case when count(*) > 13 then count(*) + 1 else 1 end)::INTEGER as n_weekly,
+  (case when count(*) > 13 then count(*) + 1 else 1 end)::INTEGER as n_monthly
+from trend group by title""")
+def q_trend_lines(spark, sf):
+    path = fresh_path(spark, "trendlines")
+    TLN.write_trend_lines(T.trend_table(v3(spark, sf)), path)
+    f = F.split("value", r"\|", -1)
+    return spark.read.text(path).select(
+        F.get(f, 0).alias("title"), F.get(f, 1).alias("dates"), F.get(f, 2).alias("views"),
+        F.size(F.split(F.get(f, 3), ",")).alias("n_daily"),
+        F.size(F.split(F.get(f, 4), ",")).alias("n_weekly"),
+        F.size(F.split(F.get(f, 5), ",")).alias("n_monthly"))
+
+
+@register("trend_lines_roundtrip", f"""with {V3} {trend_sql('v3')}
+select title, dt, views, daily_trend, weekly_trend, monthly_trend from trend""")
+def q_trend_lines_roundtrip(spark, sf):
+    path = fresh_path(spark, "trendlines")
+    TLN.write_trend_lines(T.trend_table(v3(spark, sf)), path)
+    s = TLN.read_trend_lines(spark, path).where(~F.col("bad"))
+    z = s.select("title", F.posexplode("dates").alias("i", "dt"), "views", "daily", "weekly", "monthly")
+    i = F.col("i") + 1
+    return z.select("title", "dt", F.element_at("views", i).alias("views"),
+                    F.element_at("daily", i).alias("daily_trend"),
+                    F.coalesce(F.try_element_at("weekly", i), F.lit(0.0)).alias("weekly_trend"),
+                    F.coalesce(F.try_element_at("monthly", i), F.lit(0.0)).alias("monthly_trend"))
+
+
+@register("search_docs_scan", f"with {V3} {trend_sql('v3')} {DOCS_SQL}")
+def q_search_docs_scan(spark, sf):
+    path = fresh_path(spark, "docs")
+    SD.write_search_docs(D.search_documents(T.trend_table(v3(spark, sf))), path)
+    return SD.read_search_docs(spark, path)
+
+
+@register("delimited_table", f"with {V5} select * from lookup")
+def q_delimited_table(spark, sf):
+    path = fresh_path(spark, "lookup_txt")
+    TT.write_delimited(v5_lookup(spark, sf), path, sep="|")
+    return TT.read_delimited(spark, path, "redirect_title string, true_title string, "
+                                          "page_id bigint, page_latest bigint", sep="|")
+
+
+@register("table_roundtrip", f"with {V1} select * from v1")
+def q_table_roundtrip(spark, sf):
+    """Create a table from the first half of the days, append the
+    second half with INSERT INTO, read the table."""
+    name = "tl_counts_" + fresh_path(spark, "t").rsplit("-", 1)[1]
+    counts = v1(spark, sf)
+    first = counts.where(F.col("dt") < "20240116")
+    (first.write.mode("overwrite").format("parquet")
+          .option("path", fresh_path(spark, "tables") + "/" + name).saveAsTable(name))
+    CT.load_into(counts.where(F.col("dt") >= "20240116"), name, overwrite=False)
+    return spark.table(name)
+
+
+@register("sql_view", f"""with {HOST_LINES}, st as (select split_part(value, ' ', 1) as project,
+  split_part(value, ' ', 2) as page from v4b)
+select page from st group by project, page having count(*) > 1""")
+def q_sql_view(spark, sf):
+    stats = X.split_line(B.host_lines(spark, sf), lower_page=False)
+    return CT.sql_view(spark, stats, "stats",
+                       "SELECT page FROM stats GROUP BY project, page HAVING COUNT(*) > 1")
+
+
+@register("listing_manifest", r"""select page_id, name, strptime(regexp_extract(name, 'pagecounts-([0-9]{8})-([0-9]{6})', 1)
+  || regexp_extract(name, 'pagecounts-([0-9]{8})-([0-9]{6})', 2), '%Y%m%d%H%M%S') as ts,
+  (hour(strptime(regexp_extract(name, 'pagecounts-([0-9]{8})-([0-9]{6})', 1)
+  || regexp_extract(name, 'pagecounts-([0-9]{8})-([0-9]{6})', 2), '%Y%m%d%H%M%S')) // 8)::INTEGER as shard
+from (select page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) as name from pages)
+where starts_with(name, 'pagecounts-')""")
+def q_listing_manifest(spark, sf):
+    return MF.listing_manifest(B.table(spark, sf, "pages"))
+
+
+@register("page_links", r"""select page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) as name from pages""")
+def q_page_links(spark, sf):
+    return MF.links(B.table(spark, sf, "pages"))
