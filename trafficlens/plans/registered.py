@@ -136,7 +136,7 @@ V4 = r"""v4 as (
 V7 = r"""v7 as (
   select doc_id, concat_ws(' ', lang, tok, (doc_id % 97 + 1)::VARCHAR, n_chars::VARCHAR) as value,
     strftime(TIMESTAMP '2015-03-01 00:00:00'
-             + to_hours(((doc_id % 30) * 24 + (doc_id % 3) * 8)::BIGINT), '%Y%m%d%H%M%S') as stamp
+             + to_hours(((doc_id % 30) * 24 + (doc_id % 4) * 6)::BIGINT), '%Y%m%d%H%M%S') as stamp
   from (select doc_id, lang, n_chars, unnest(regexp_split_to_array(text, '[ \t\r\n]+')) as tok
         from documents))"""
 LINE_RE = "'^en (.*) ([0-9].*) ([0-9].*)'"
@@ -823,3 +823,39 @@ def q_listing_manifest(spark, sf):
 @register("page_links", r"""select page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) as name from pages""")
 def q_page_links(spark, sf):
     return MF.links(B.table(spark, sf, "pages"))
+
+
+# ----------------------------------------------------------------------------
+# Structured Streaming (R1-R6): results after an availableNow run
+from trafficlens.streaming import hourly as HS  # noqa: E402
+
+STREAM_DELAY_HOURS = 3
+V7_CLOSED = f"""{V7} {parsed_sql('v7', 'doc_id, stamp')}
+, closed as (select title, {TS_OF_STAMP} as ts, sum(views)::BIGINT as views from parsed
+  where status = 'ok' and {TS_OF_STAMP} + interval 1 hour
+        <= (select max({TS_OF_STAMP}) from v7) - interval {STREAM_DELAY_HOURS} hour
+  group by 1, 2)"""
+
+
+@register("stream_hourly", f"with {V7_CLOSED} select * from closed")
+def q_stream_hourly(spark, sf):
+    root = staged(spark, v7_lines(spark, sf), "v7files")
+    out, chk = fresh_path(spark, "stream_out"), fresh_path(spark, "stream_chk")
+    counts = HS.hourly_counts_stream(HS.line_stream(spark, root), delay=f"{STREAM_DELAY_HOURS} hours")
+    HS.run_to_parquet(counts, out, chk)
+    return spark.read.parquet(out)
+
+
+@register("stream_merge", f"""with {V7_CLOSED}
+, d as (select title, strftime(ts, '%Y%m%d') as dt, sum(views)::BIGINT as views from closed group by 1, 2)
+select title, '[' || string_agg(dt, ',' order by dt) || ']' as dates,
+  '[' || string_agg(views::VARCHAR, ',' order by dt) || ']' as pageviews,
+  sum(views)::BIGINT as total_pageviews from d group by title""")
+def q_stream_merge(spark, sf):
+    root = staged(spark, v7_lines(spark, sf), "v7files")
+    mroot, chk = fresh_path(spark, "merge_root"), fresh_path(spark, "merge_chk")
+    counts = HS.hourly_counts_stream(HS.line_stream(spark, root), delay=f"{STREAM_DELAY_HOURS} hours")
+    HS.run_merge(counts, mroot, chk)
+    t = HS.latest_version(spark, mroot)
+    return t.select("title", S.json_array_text("dates").alias("dates"),
+                    S.json_array_text("pageviews").alias("pageviews"), "total_pageviews")
