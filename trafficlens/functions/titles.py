@@ -80,8 +80,19 @@ def starts_lowercase(title) -> Column:
     return _c(title).rlike("^[a-z]")
 
 
-def looks_like_file(title, strict: bool = False) -> Column:
-    return _c(title).rlike(_UNIX + extension_pattern(strict))
+def looks_like_file(title, strict: bool = False,
+                    extensions: Sequence[str] = FILE_EXTENSIONS) -> Column:
+    t = _c(title)
+    if strict:
+        return t.rlike(extension_pattern(True, extensions))
+    # Without a newline the source rule is exactly "a suffix occurs at
+    # position >= 1", which plain substring tests answer without backtracking.
+    rest = F.substring(t, 2, 1 << 30)
+    hit = F.lit(False)
+    for e in extensions:
+        hit = hit | rest.contains(e)
+    return F.when(t.contains("\n"), t.rlike(_UNIX + extension_pattern(False, extensions))) \
+        .otherwise(hit)
 
 
 def has_space(title) -> Column:
@@ -105,9 +116,11 @@ def is_valid_title(title, strict_ext: bool = False,
 # X1 / X2 / F10 ----------------------------------------------------------------
 def url_decode_plus(s) -> Column:
     """Lenient unquote_plus: '+' -> ' ', %XX decoded as UTF-8, a '%' that is
-    not followed by two hex digits is kept literally."""
-    escaped = F.regexp_replace(_c(s), "%(?![0-9A-Fa-f]{2})", "%25")
-    return F.try_url_decode(escaped)
+    not followed by two hex digits is kept literally. Text without '%' or
+    '+' is returned as is (the decoder would not change it)."""
+    c = _c(s)
+    escaped = F.regexp_replace(c, "%(?![0-9A-Fa-f]{2})", "%25")
+    return F.when(c.contains("%") | c.contains("+"), F.try_url_decode(escaped)).otherwise(c)
 
 
 def cut_anchor(s) -> Column:
@@ -144,22 +157,35 @@ def parse_lines(lines: DataFrame, line_col: str = "value", strict_ext: bool = Fa
     and can send the rest to a rejects output.
     """
     line = F.col(line_col)
-    page = line_group(line, 1)
-    raw_count = line_group(line, 2)
-    df = lines.select(*keep, line.alias("_line"), page.alias("page"),
-                      raw_count.alias("_raw_count"))
-    title = clean_title(F.col("page"))
-    views = parse_count(F.col("_raw_count"))
-    shape_ok = line_shape(F.col("_line"))
-    kw_ok = keyword_in_line(F.col("_line"), keyword) if keyword else F.lit(True)
-    status = (F.when(~shape_ok, "shape")
-               .when(~kw_ok, "keyword")
-               .when(~is_valid_title("page", strict_ext, blacklist, namespaces), "title")
-               .when(~F.coalesce(nonempty_title(title), F.lit(False)), "empty")
-               .when(views.isNull(), "count")
+    # Fast path, exact: a line with exactly three spaces and no newline
+    # matches the shape iff its fields are (en, page, digit.., digit..), and
+    # then the groups are the fields. Other lines take the regex.
+    parts = F.split(line, " ", -1)
+    d1 = lines.select(*keep, line.alias("_line"), parts.alias("_p"),
+                      ((F.size(parts) == 4) & ~line.contains("\n")).alias("_s"))
+    p, s_, ln = F.col("_p"), F.col("_s"), F.col("_line")
+    fast_ok = (F.get(p, 0) == "en") & F.get(p, 2).rlike("^[0-9]") & F.get(p, 3).rlike("^[0-9]")
+    d2 = d1.select(*keep, "_line",
+                   F.when(s_, fast_ok).otherwise(line_shape(ln)).alias("_shape"),
+                   F.when(s_, F.get(p, 1)).otherwise(line_group(ln, 1)).alias("_page"),
+                   F.when(s_, F.get(p, 2)).otherwise(line_group(ln, 2)).alias("_raw_count"))
+    kw_ok = keyword_in_line(ln, keyword) if keyword else F.lit(True)
+    # groups of a line that does not match are empty, as with the regex
+    sh = F.col("_shape")
+    d2 = d2.select(*keep, "_shape", kw_ok.alias("_kw"),
+                   F.when(sh, F.col("_page")).otherwise(F.lit("")).alias("_page"),
+                   F.when(sh, F.col("_raw_count")).otherwise(F.lit("")).alias("_raw_count"))
+    d3 = d2.select(*keep, "_shape", "_kw", "_page",
+                   clean_title(F.col("_page")).alias("title"),
+                   parse_count(F.col("_raw_count")).alias("views"),
+                   is_valid_title("_page", strict_ext, blacklist, namespaces).alias("_valid"))
+    status = (F.when(~F.col("_shape"), "shape")
+               .when(~F.col("_kw"), "keyword")
+               .when(~F.col("_valid"), "title")
+               .when(~F.coalesce(nonempty_title("title"), F.lit(False)), "empty")
+               .when(F.col("views").isNull(), "count")
                .otherwise("ok"))
-    return df.select(*keep, "page", title.alias("title"), views.alias("views"),
-                     status.alias("status"))
+    return d3.select(*keep, F.col("_page").alias("page"), "title", "views", status.alias("status"))
 
 
 # P2 ---------------------------------------------------------------------------
