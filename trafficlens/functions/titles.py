@@ -149,12 +149,15 @@ def parse_lines(lines: DataFrame, line_col: str = "value", strict_ext: bool = Fa
                 blacklist: Sequence[str] = BLACKLIST,
                 namespaces: Sequence[str] = EXCLUDED_NAMESPACES,
                 keyword: str | None = None,
-                keep: Sequence[str] = ()) -> DataFrame:
+                keep: Sequence[str] = (),
+                extra_rule=None) -> DataFrame:
     """Raw lines -> (keep..., page, title, views, status).
 
     status is 'ok' for a counted row, otherwise the reason it was rejected:
     'shape', 'keyword', 'title', 'empty', 'count'. Callers keep ``status='ok'``
-    and can send the rest to a rejects output.
+    and can send the rest to a rejects output. ``extra_rule`` is a user
+    predicate (Column -> Column, True = keep) on the undecoded page, checked
+    with the built-in title rules (Z3).
     """
     line = F.col(line_col)
     # Fast path, exact: a line with exactly three spaces and no newline
@@ -178,7 +181,8 @@ def parse_lines(lines: DataFrame, line_col: str = "value", strict_ext: bool = Fa
     d3 = d2.select(*keep, "_shape", "_kw", "_page",
                    clean_title(F.col("_page")).alias("title"),
                    parse_count(F.col("_raw_count")).alias("views"),
-                   is_valid_title("_page", strict_ext, blacklist, namespaces).alias("_valid"))
+                   (is_valid_title("_page", strict_ext, blacklist, namespaces)
+                    & (extra_rule(F.col("_page")) if extra_rule else F.lit(True))).alias("_valid"))
     status = (F.when(~F.col("_shape"), "shape")
                .when(~F.col("_kw"), "keyword")
                .when(~F.col("_valid"), "title")

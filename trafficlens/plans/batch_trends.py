@@ -24,9 +24,9 @@ GRAIN_CHARS = {"day": 8, "hour": 14}
 
 def parse(lines: DataFrame, strict_ext: bool = False, keyword: str | None = None,
           blacklist: Sequence[str] = X.BLACKLIST,
-          namespaces: Sequence[str] = X.EXCLUDED_NAMESPACES) -> DataFrame:
+          namespaces: Sequence[str] = X.EXCLUDED_NAMESPACES, extra_rule=None) -> DataFrame:
     return X.parse_lines(lines, keep=["stamp"], strict_ext=strict_ext, keyword=keyword,
-                         blacklist=blacklist, namespaces=namespaces)
+                         blacklist=blacklist, namespaces=namespaces, extra_rule=extra_rule)
 
 
 def counts_from_parsed(parsed: DataFrame, grain: str = "day") -> DataFrame:

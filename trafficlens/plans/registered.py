@@ -859,3 +859,58 @@ def q_stream_merge(spark, sf):
     t = HS.latest_version(spark, mroot)
     return t.select("title", S.json_array_text("dates").alias("dates"),
                     S.json_array_text("pageviews").alias("pageviews"), "total_pageviews")
+
+
+# ----------------------------------------------------------------------------
+# User-code surface (Z1, Z3) and the optional behaviours (D5 gap filling,
+# D6 keep_new, D4 strict extension rule)
+from trafficlens.operators import udf as U  # noqa: E402
+
+
+@register("rank_script", f"""with {V8_ID} {rank_sql_key('merged', 'page_id')}
+select page_id, total_pageviews, monthly_trend, daily_trend, error from ranked""")
+def q_rank_script(spark, sf):
+    """The ranking rule as a user pandas script over timeline batches."""
+    hist, new = split_history(v8_page_counts(spark, sf))
+    m = TL.merge_timelines(TL.timelines_from_counts(hist), new)
+    return rounded_rank(U.script_transform(m, U.rank_batch, U.RANK_SCHEMA))
+
+
+@register("title_rule", f"""with {V7} {parsed_sql('v7', 'doc_id, stamp')}
+select p.doc_id, p.title, p.views from parsed p where status = 'ok' and length(page) <= 8""")
+def q_title_rule(spark, sf):
+    p = X.parse_lines(v7_lines(spark, sf), keep=["doc_id"], extra_rule=lambda pg: F.length(pg) <= 8)
+    return p.where(F.col("status") == "ok").select("doc_id", "title", "views")
+
+
+@register("strict_ext", f"""with {V7}, {V7_PAGES} select doc_id, page from v7p
+where not regexp_matches(page, '\\.(jpg|gif|png|JPG|GIF|PNG|txt|ico)$')""")
+def q_strict_ext(spark, sf):
+    return v7_pages(spark, sf).where(~X.looks_like_file("page", strict=True))
+
+
+@register("filled_trends", f"""with {V3}
+, span as (select title, unnest(generate_series(min(strptime(dt, '%Y%m%d')), max(strptime(dt, '%Y%m%d')),
+           interval 1 day)) as d from v3 group by title)
+, v3f as (select s.title, strftime(s.d, '%Y%m%d') as dt, coalesce(v3.views, 0)::BIGINT as views
+          from span s left join v3 on v3.title = s.title and v3.dt = strftime(s.d, '%Y%m%d'))
+{trend_sql('v3f')} select * from trend""")
+def q_filled_trends(spark, sf):
+    return T.trend_table(G.fill_gaps(v3(spark, sf)))
+
+
+@register("timeline_merge_keep_new", f"""with {V8_ID}
+select page_id, '[' || string_agg(dt, ',' order by dt) || ']' as dates,
+  '[' || string_agg(views::VARCHAR, ',' order by dt) || ']' as pageviews,
+  sum(views)::BIGINT as total_pageviews from cid group by page_id""")
+def q_timeline_merge_keep_new(spark, sf):
+    hist, new = split_history(v8_page_counts(spark, sf))
+    m = TL.merge_timelines(TL.timelines_from_counts(hist), new, keep_new=True)
+    return m.select("page_id", S.json_array_text("dates").alias("dates"),
+                    S.json_array_text("pageviews").alias("pageviews"), "total_pageviews")
+
+
+@register("unmatched_titles", f"""with {V8}, {V5}
+select title, dt, views from v8 where not exists (select 1 from lookup l where l.redirect_title = v8.title)""")
+def q_unmatched_titles(spark, sf):
+    return L.unmatched_titles(v8(spark, sf), v5_lookup(spark, sf))
