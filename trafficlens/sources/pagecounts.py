@@ -61,13 +61,13 @@ def recent_hours(df: DataFrame, as_of, first: int = 48, last: int = 70, ts: str
 
 
 def write_pagecount_files(lines: DataFrame, root: str, stamp: str = "stamp",
-                          compression: str = "gzip") -> str:
+                          compression: str = "gzip", mode: str = "overwrite") -> str:
     """Lay lines out as hourly page-count files, one directory per hour
     ``src=pagecounts-YYYYMMDD-HHMMSS`` (the layout the reader accepts)."""
     src = F.concat(F.lit("pagecounts-"), F.substring(stamp, 1, 8), F.lit("-"),
                    F.substring(stamp, 9, 6))
     (lines.select("value", src.alias("src")).repartition("src")
-          .write.mode("overwrite").option("compression", compression)
+          .write.mode(mode).option("compression", compression)
           .partitionBy("src").text(root))
     return root
 
