@@ -85,14 +85,11 @@ def looks_like_file(title, strict: bool = False,
     t = _c(title)
     if strict:
         return t.rlike(extension_pattern(True, extensions))
-    # Without a newline the source rule is exactly "a suffix occurs at
-    # position >= 1", which plain substring tests answer without backtracking.
-    rest = F.substring(t, 2, 1 << 30)
-    hit = F.lit(False)
-    for e in extensions:
-        hit = hit | rest.contains(e)
-    return F.when(t.contains("\n"), t.rlike(_UNIX + extension_pattern(False, extensions))) \
-        .otherwise(hit)
+    # The source rule (any char, any char, suffix; '.' stops at a newline) is
+    # exactly: a suffix occurs at position >= 2 of the first line. A plain
+    # alternation search does that without backtracking.
+    first_line = F.substring_index(t, "\n", 1)
+    return F.substring(first_line, 2, 1 << 30).rlike("(" + "|".join(extensions) + ")")
 
 
 def has_space(title) -> Column:
