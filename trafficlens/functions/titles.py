@@ -73,11 +73,16 @@ def keyword_in_line(line, keyword: str) -> Column:
 
 # F4-F8 ----------------------------------------------------------------------
 def in_excluded_namespace(title, namespaces: Sequence[str] = EXCLUDED_NAMESPACES) -> Column:
-    return _c(title).rlike(_UNIX + namespace_pattern(namespaces))
+    """Starts with NAME + ':' (NAME in the list). Names hold no ':', so this is
+    exactly: there is a ':' and the text before the first one is a NAME."""
+    t = _c(title)
+    return t.contains(":") & F.substring_index(t, ":", 1).isin(list(namespaces))
 
 
 def starts_lowercase(title) -> Column:
-    return _c(title).rlike("^[a-z]")
+    """First character in [a-z] (a one-character string compare)."""
+    first = F.substring(_c(title), 1, 1)
+    return (first >= F.lit("a")) & (first <= F.lit("z"))
 
 
 def looks_like_file(title, strict: bool = False,
@@ -142,6 +147,25 @@ def parse_count(s) -> Column:
     return F.when(digits != "", digits.try_cast("bigint"))
 
 
+def _fields(line: Column):
+    """(simple, shape, page, raw_count) of a raw line.
+
+    Fast path, exact: a line with exactly three spaces and no newline
+    matches the shape iff its fields are (en, page, digit.., digit..), and
+    then the groups are the fields. Other lines take the regex.
+    """
+    simple = ((F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit("")))) == 3) \
+        & ~line.contains("\n")
+
+    def part(i):
+        return F.split_part(line, F.lit(" "), F.lit(i))
+    fast_ok = (part(1) == "en") & part(3).rlike("^[0-9]") & part(4).rlike("^[0-9]")
+    shape = F.when(simple, fast_ok).otherwise(line_shape(line))
+    page = F.when(simple, part(2)).otherwise(line_group(line, 1))
+    raw = F.when(simple, part(3)).otherwise(line_group(line, 2))
+    return simple, shape, page, raw
+
+
 def parse_lines(lines: DataFrame, line_col: str = "value", strict_ext: bool = False,
                 blacklist: Sequence[str] = BLACKLIST,
                 namespaces: Sequence[str] = EXCLUDED_NAMESPACES,
@@ -151,35 +175,28 @@ def parse_lines(lines: DataFrame, line_col: str = "value", strict_ext: bool = Fa
     """Raw lines -> (keep..., page, title, views, status).
 
     status is 'ok' for a counted row, otherwise the reason it was rejected:
-    'shape', 'keyword', 'title', 'empty', 'count'. Callers keep ``status='ok'``
-    and can send the rest to a rejects output. ``extra_rule`` is a user
+    'shape', 'keyword', 'title', 'empty', 'count'. ``extra_rule`` is a user
     predicate (Column -> Column, True = keep) on the undecoded page, checked
-    with the built-in title rules (Z3).
+    with the built-in title rules (Z3). For the accepted rows only, use
+    ``accepted_lines`` (cheaper: it filters stage by stage).
     """
     line = F.col(line_col)
-    # Fast path, exact: a line with exactly three spaces and no newline
-    # matches the shape iff its fields are (en, page, digit.., digit..), and
-    # then the groups are the fields. Other lines take the regex.
-    parts = F.split(line, " ", -1)
-    d1 = lines.select(*keep, line.alias("_line"), parts.alias("_p"),
-                      ((F.size(parts) == 4) & ~line.contains("\n")).alias("_s"))
-    p, s_, ln = F.col("_p"), F.col("_s"), F.col("_line")
-    fast_ok = (F.get(p, 0) == "en") & F.get(p, 2).rlike("^[0-9]") & F.get(p, 3).rlike("^[0-9]")
-    d2 = d1.select(*keep, "_line",
-                   F.when(s_, fast_ok).otherwise(line_shape(ln)).alias("_shape"),
-                   F.when(s_, F.get(p, 1)).otherwise(line_group(ln, 1)).alias("_page"),
-                   F.when(s_, F.get(p, 2)).otherwise(line_group(ln, 2)).alias("_raw_count"))
-    kw_ok = keyword_in_line(ln, keyword) if keyword else F.lit(True)
+    _, shape, page, raw = _fields(line)
+    kw_ok = keyword_in_line(line, keyword) if keyword else F.lit(True)
+    d2 = lines.select(*keep, shape.alias("_shape"), kw_ok.alias("_kw"),
+                      page.alias("_pg"), raw.alias("_rc"))
     # groups of a line that does not match are empty, as with the regex
     sh = F.col("_shape")
-    d2 = d2.select(*keep, "_shape", kw_ok.alias("_kw"),
-                   F.when(sh, F.col("_page")).otherwise(F.lit("")).alias("_page"),
-                   F.when(sh, F.col("_raw_count")).otherwise(F.lit("")).alias("_raw_count"))
+    d2 = d2.select(*keep, "_shape", "_kw",
+                   F.when(sh, F.col("_pg")).otherwise(F.lit("")).alias("_page"),
+                   F.when(sh, F.col("_rc")).otherwise(F.lit("")).alias("_raw_count"))
+    valid = is_valid_title("_page", strict_ext, blacklist, namespaces)
+    if extra_rule is not None:
+        valid = valid & extra_rule(F.col("_page"))
     d3 = d2.select(*keep, "_shape", "_kw", "_page",
                    clean_title(F.col("_page")).alias("title"),
                    parse_count(F.col("_raw_count")).alias("views"),
-                   (is_valid_title("_page", strict_ext, blacklist, namespaces)
-                    & (extra_rule(F.col("_page")) if extra_rule else F.lit(True))).alias("_valid"))
+                   valid.alias("_valid"))
     status = (F.when(~F.col("_shape"), "shape")
                .when(~F.col("_kw"), "keyword")
                .when(~F.col("_valid"), "title")
@@ -189,6 +206,35 @@ def parse_lines(lines: DataFrame, line_col: str = "value", strict_ext: bool = Fa
     return d3.select(*keep, F.col("_page").alias("page"), "title", "views", status.alias("status"))
 
 
+def accepted_lines(lines: DataFrame, line_col: str = "value", strict_ext: bool = False,
+                   blacklist: Sequence[str] = BLACKLIST,
+                   namespaces: Sequence[str] = EXCLUDED_NAMESPACES,
+                   keyword: str | None = None,
+                   keep: Sequence[str] = (),
+                   extra_rule=None, require_count: bool = True) -> DataFrame:
+    """(keep..., title, views) of the lines ``parse_lines`` marks 'ok'
+    (with ``require_count=False`` also those rejected only for the count).
+
+    Each rule is a filter on the columns of one projection, so when Catalyst
+    pushes a filter down it inlines one cheap level only (no nested
+    re-evaluation of the parse), and rejected lines stop early.
+    """
+    line = F.col(line_col)
+    _, shape, page, raw = _fields(line)
+    d1 = lines.where(shape)
+    if keyword:
+        d1 = d1.where(keyword_in_line(line, keyword))
+    d2 = d1.select(*keep, page.alias("_page"), raw.alias("_raw_count"))
+    valid = is_valid_title("_page", strict_ext, blacklist, namespaces)
+    if extra_rule is not None:
+        valid = valid & extra_rule(F.col("_page"))
+    d2 = d2.where(valid)
+    d3 = d2.select(*keep, clean_title(F.col("_page")).alias("title"),
+                   parse_count(F.col("_raw_count")).alias("views"))
+    cond = F.coalesce(nonempty_title("title"), F.lit(False))
+    return d3.where(cond & F.col("views").isNotNull() if require_count else cond)
+
+
 # P2 ---------------------------------------------------------------------------
 def split_line(lines: DataFrame, line_col: str = "value", lower_page: bool = True,
                keep: Sequence[str] = ()) -> DataFrame:

@@ -29,15 +29,34 @@ def parse(lines: DataFrame, strict_ext: bool = False, keyword: str | None = None
                          blacklist=blacklist, namespaces=namespaces, extra_rule=extra_rule)
 
 
-def counts_from_parsed(parsed: DataFrame, grain: str = "day") -> DataFrame:
-    """(title, dt, views): dt = 'yyyyMMdd' (day) or 'yyyyMMddHHmmss' (hour)."""
-    dt = F.substring("stamp", 1, GRAIN_CHARS[grain])
-    ok = parsed.where(F.col("status") == "ok")
-    return ok.groupBy("title", dt.alias("dt")).agg(F.sum("views").cast("bigint").alias("views"))
+def accepted(lines: DataFrame, **rules) -> DataFrame:
+    return X.accepted_lines(lines, keep=["stamp"], **rules)
+
+
+def counts_from_parsed(parsed: DataFrame, grain: str = "day", stamp: str = "stamp") -> DataFrame:
+    """(title, dt, views) summed over accepted lines; dt = 'yyyyMMdd' (day)
+    or 'yyyyMMddHHmmss' (hour).
+
+    Rejected lines keep a NULL title and NULL views, fall into one group per
+    stamp (cut to a row per map task by the partial aggregate) and are
+    dropped by ``views IS NOT NULL`` after the aggregate: an accepted group
+    always has views. Filtering before the aggregate would make Catalyst
+    inline the whole parse into the filter once per reference.
+    """
+    ok = F.col("status") == "ok"
+    dt = F.substring(stamp, 1, GRAIN_CHARS[grain])
+    g = parsed.select(F.when(ok, F.col("title")).alias("title"), dt.alias("dt"),
+                      F.when(ok, F.col("views")).alias("_v"))
+    return (g.groupBy("title", "dt").agg(F.sum("_v").cast("bigint").alias("views"))
+             .where(F.col("views").isNotNull()))
+
+
+def counts_from_lines(lines: DataFrame, grain: str = "day", **rules) -> DataFrame:
+    return counts_from_parsed(parse(lines, **rules), grain)
 
 
 def trends_from_lines(lines: DataFrame, grain: str = "day", **rules) -> DataFrame:
-    return trend_table(counts_from_parsed(parse(lines, **rules), grain))
+    return trend_table(counts_from_lines(lines, grain, **rules))
 
 
 def rejects(lines: DataFrame, **rules) -> DataFrame:

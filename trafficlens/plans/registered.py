@@ -251,8 +251,8 @@ def q_valid_title(spark, sf):
           "select doc_id, title from parsed where status not in ('shape', 'title') "
           "and title <> '' and not starts_with(title, '#')")
 def q_clean_nonempty(spark, sf):
-    p = v7_parsed(spark, sf).where(~F.col("status").isin("shape", "title"))
-    return p.where(X.nonempty_title("title")).select("doc_id", "title")
+    return X.accepted_lines(v7_lines(spark, sf), keep=["doc_id"], require_count=False) \
+        .select("doc_id", "title")
 
 
 @register("scalar_title_clean", f"with {V7}, {V7_PAGES} select doc_id, page, "
@@ -482,7 +482,7 @@ def q_dup_pages(spark, sf):
 @register("distinct_rows", f"""with {V7} {parsed_sql('v7', 'doc_id, stamp')}
 select distinct title, stamp from parsed where status = 'ok'""")
 def q_distinct_rows(spark, sf):
-    return v7_parsed(spark, sf).where(F.col("status") == "ok").select("title", "stamp").distinct()
+    return X.accepted_lines(v7_lines(spark, sf), keep=["stamp"]).select("title", "stamp").distinct()
 
 
 @register("sorted_counts", f"with {V2} select * from v2 order by title, ts")
@@ -879,8 +879,7 @@ def q_rank_script(spark, sf):
 @register("title_rule", f"""with {V7} {parsed_sql('v7', 'doc_id, stamp')}
 select p.doc_id, p.title, p.views from parsed p where status = 'ok' and length(page) <= 8""")
 def q_title_rule(spark, sf):
-    p = X.parse_lines(v7_lines(spark, sf), keep=["doc_id"], extra_rule=lambda pg: F.length(pg) <= 8)
-    return p.where(F.col("status") == "ok").select("doc_id", "title", "views")
+    return X.accepted_lines(v7_lines(spark, sf), keep=["doc_id"], extra_rule=lambda pg: F.length(pg) <= 8)
 
 
 @register("strict_ext", f"""with {V7}, {V7_PAGES} select doc_id, page from v7p

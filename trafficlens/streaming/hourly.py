@@ -39,11 +39,17 @@ def line_stream(spark: SparkSession, source: str, max_files_per_trigger: int | N
 
 def hourly_counts_stream(lines: DataFrame, delay: str = "3 hours", **rules) -> DataFrame:
     """(title, ts, views) per closed hour."""
-    parsed = X.parse_lines(lines, keep=["ts"], **rules).where(F.col("status") == "ok")
-    agg = (parsed.withWatermark("ts", delay)
-                 .groupBy(F.window("ts", "1 hour"), "title")
-                 .agg(F.sum("views").cast("bigint").alias("views")))
-    return agg.select("title", F.col("window.start").cast("timestamp_ntz").alias("ts"), "views")
+    parsed = X.parse_lines(lines, keep=["ts"], **rules)
+    ok = F.col("status") == "ok"
+    # rejected lines: NULL title and views, dropped after the aggregate (see
+    # batch_trends.counts_from_parsed)
+    g = parsed.select("ts", F.when(ok, F.col("title")).alias("title"),
+                      F.when(ok, F.col("views")).alias("_v"))
+    agg = (g.withWatermark("ts", delay)
+            .groupBy(F.window("ts", "1 hour"), "title")
+            .agg(F.sum("_v").cast("bigint").alias("views")))
+    return (agg.where(F.col("views").isNotNull())
+               .select("title", F.col("window.start").cast("timestamp_ntz").alias("ts"), "views"))
 
 
 def run_to_parquet(counts: DataFrame, out: str, checkpoint: str, available_now: bool = True):
