@@ -580,7 +580,7 @@ def q_lookup_build(spark, sf):
 V8_ID = f"""{V8}, {V5}
 , cid as (select l.page_id, v8.dt, sum(v8.views)::BIGINT as views
           from v8 join lookup l on l.redirect_title = v8.title group by 1, 2)
-, cut as (select strftime(max(strptime(dt, '%Y%m%d')) - interval 30 day, '%Y%m%d') as c from cid)
+, cut as (select strftime(max(strptime(dt, '%Y%m%d')) - interval 30 day, '%Y%m%d') as c from v8)
 , hist as (select * from cid where dt <= (select c from cut))
 , newc as (select * from cid where dt > (select c from cut))
 , merged as (select * from cid where page_id in (select page_id from hist))"""
@@ -590,9 +590,11 @@ def v8_page_counts(spark, sf):
     return MR.page_day_counts(v8(spark, sf), v5_lookup(spark, sf))
 
 
-def split_history(counts: DataFrame, days: int = 30):
-    """History = all but the last ``days`` days; new batch = the last days."""
-    last = F.to_date(TN.latest(counts, "dt"), "yyyyMMdd")
+def split_history(counts: DataFrame, as_of_source: DataFrame, days: int = 30):
+    """History = all but the last ``days`` days; new batch = the last days.
+    The time reference is the latest day of the input counts (a cheap scalar
+    subquery over the input, not over the joined result)."""
+    last = F.to_date(TN.latest(as_of_source, "dt"), "yyyyMMdd")
     cut = F.date_format(F.date_sub(last, days), "yyyyMMdd")
     return counts.where(F.col("dt") <= cut), counts.where(F.col("dt") > cut)
 
@@ -607,7 +609,7 @@ select page_id, '[' || string_agg(dt, ',' order by dt) || ']' as dates,
   '[' || string_agg(views::VARCHAR, ',' order by dt) || ']' as pageviews,
   sum(views)::BIGINT as total_pageviews from merged group by page_id""")
 def q_timeline_merge(spark, sf):
-    hist, new = split_history(v8_page_counts(spark, sf))
+    hist, new = split_history(v8_page_counts(spark, sf), v8(spark, sf))
     m = TL.merge_timelines(TL.timelines_from_counts(hist), new)
     return m.select("page_id", S.json_array_text("dates").alias("dates"),
                     S.json_array_text("pageviews").alias("pageviews"), "total_pageviews")
@@ -622,7 +624,7 @@ def rank_sql_key(src: str, key: str) -> str:
 select page_id, total_pageviews, monthly_trend, daily_trend, error from ranked""")
 def q_rank_timelines(spark, sf):
     counts = v8_page_counts(spark, sf)
-    hist, new = split_history(counts)
+    hist, new = split_history(counts, v8(spark, sf))
     m = TL.merge_timelines(TL.timelines_from_counts(hist), new)
     return rounded_rank(RK.rank_arrays(m)).select("page_id", "total_pageviews", "monthly_trend",
                                                   "daily_trend", "error")
@@ -652,8 +654,8 @@ def _merge_result(spark, sf) -> "MR.MergeResult":
     v8c = v8(spark, sf)
     lookup = v5_lookup(spark, sf)
     counts = MR.page_day_counts(v8c, lookup)
-    hist, _ = split_history(counts)
-    cut_last = F.to_date(TN.latest(counts, "dt"), "yyyyMMdd")
+    hist, _ = split_history(counts, v8c)
+    cut_last = F.to_date(TN.latest(v8c, "dt"), "yyyyMMdd")
     cut = F.date_format(F.date_sub(cut_last, 30), "yyyyMMdd")
     new_titles = v8c.where(F.col("dt") > cut)
     page = L.main_namespace(B.wiki_page(spark, sf), "page_namespace")
@@ -871,7 +873,7 @@ from trafficlens.operators import udf as U  # noqa: E402
 select page_id, total_pageviews, monthly_trend, daily_trend, error from ranked""")
 def q_rank_script(spark, sf):
     """The ranking rule as a user pandas script over timeline batches."""
-    hist, new = split_history(v8_page_counts(spark, sf))
+    hist, new = split_history(v8_page_counts(spark, sf), v8(spark, sf))
     m = TL.merge_timelines(TL.timelines_from_counts(hist), new)
     return rounded_rank(U.script_transform(m, U.rank_batch, U.RANK_SCHEMA))
 
@@ -903,7 +905,7 @@ select page_id, '[' || string_agg(dt, ',' order by dt) || ']' as dates,
   '[' || string_agg(views::VARCHAR, ',' order by dt) || ']' as pageviews,
   sum(views)::BIGINT as total_pageviews from cid group by page_id""")
 def q_timeline_merge_keep_new(spark, sf):
-    hist, new = split_history(v8_page_counts(spark, sf))
+    hist, new = split_history(v8_page_counts(spark, sf), v8(spark, sf))
     m = TL.merge_timelines(TL.timelines_from_counts(hist), new, keep_new=True)
     return m.select("page_id", S.json_array_text("dates").alias("dates"),
                     S.json_array_text("pageviews").alias("pageviews"), "total_pageviews")
