@@ -41,10 +41,9 @@ def stamp_to_date(stamp) -> Column:
 
 def file_stamp(path) -> Column:
     """S4: 'pagecounts-YYYYMMDD-HHMMSS...' anywhere in a path -> 'YYYYMMDDHHMMSS'."""
-    p = _c(path)
-    d = F.regexp_extract(p, FILE_STAMP_PATTERN, 1)
-    t = F.regexp_extract(p, FILE_STAMP_PATTERN, 2)
-    return F.when(d != "", F.concat(d, t))
+    # one regex per row: the whole match is 'pagecounts-' + 8 + '-' + 6 chars
+    m = F.regexp_extract(_c(path), FILE_STAMP_PATTERN, 0)
+    return F.when(m != "", F.concat(F.substring(m, 12, 8), F.substring(m, 21, 6)))
 
 
 def stamp_to_ts(stamp) -> Column:
