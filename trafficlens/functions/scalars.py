@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 DAY_FORMAT = "yyyyMMdd"
 HOUR_FORMAT = "yyyyMMddHHmmss"
 FILE_STAMP_PATTERN = r"pagecounts-([0-9]{8})-([0-9]{6})"
+FILE_STAMP_MATCH = r"pagecounts-[0-9]{8}-[0-9]{6}"
 
 
 def _c(c) -> Column:
@@ -41,9 +42,10 @@ def stamp_to_date(stamp) -> Column:
 
 def file_stamp(path) -> Column:
     """S4: 'pagecounts-YYYYMMDD-HHMMSS...' anywhere in a path -> 'YYYYMMDDHHMMSS'."""
-    # one regex per row: the whole match is 'pagecounts-' + 8 + '-' + 6 chars
-    m = F.regexp_extract(_c(path), FILE_STAMP_PATTERN, 0)
-    return F.when(m != "", F.concat(F.substring(m, 12, 8), F.substring(m, 21, 6)))
+    # One regex per row: the match is 'pagecounts-' + 8 digits + '-' + 6 digits
+    # (NULL when absent); no conditional, so the two uses share one evaluation.
+    m = F.regexp_substr(_c(path), F.lit(FILE_STAMP_MATCH))
+    return F.concat(F.substring(m, 12, 8), F.substring(m, 21, 6))
 
 
 def stamp_to_ts(stamp) -> Column:
