@@ -915,3 +915,50 @@ def q_timeline_merge_keep_new(spark, sf):
 select title, dt, views from v8 where not exists (select 1 from lookup l where l.redirect_title = v8.title)""")
 def q_unmatched_titles(spark, sf):
     return L.unmatched_titles(v8(spark, sf), v5_lookup(spark, sf))
+
+
+# ----------------------------------------------------------------------------
+# More sink paths: bounded single-file export (S14, S17), documents from the
+# trend-line text (S8 -> W-docs, X21), streamed documents
+TOP30 = f"""with {V3}
+, recent as (select * from v3 where strptime(dt, '%Y%m%d')::DATE >
+               (select max(strptime(dt, '%Y%m%d'))::DATE from v3) - 30)
+{rank_sql('recent')}
+select *, row_number() over (order by monthly_trend desc, total_pageviews desc, title)::INTEGER as rank
+from (select * from ranked order by monthly_trend desc, total_pageviews desc, title limit 10)"""
+
+
+@register("report_export", TOP30)
+def q_report_export(spark, sf):
+    """The top-30-days report (at most N rows, so one file is safe) exported
+    as one tab-separated file and read back."""
+    path = fresh_path(spark, "report")
+    top = rounded_rank(TN.top_recent_days(v3(spark, sf), n=10, days=30))
+    TT.write_delimited(top, path, sep="\t", single_file=True)
+    return TT.read_delimited(spark, path, "title string, total_pageviews bigint, n bigint, "
+                             "monthly_trend double, daily_trend double, error double, rank int",
+                             sep="\t")
+
+
+@register("search_docs_from_lines", f"with {V3} {trend_sql('v3')} {DOCS_SQL}")
+def q_search_docs_from_lines(spark, sf):
+    path = fresh_path(spark, "trendlines")
+    TLN.write_trend_lines(T.trend_table(v3(spark, sf)), path)
+    series = TLN.read_trend_lines(spark, path).where(~F.col("bad"))
+    return D.documents_from_series(series)
+
+
+@register("stream_docs", f"""with {V7_CLOSED}
+, d as (select title, strftime(ts, '%Y%m%d') as dt, sum(views)::BIGINT as views from closed group by 1, 2)
+{trend_sql('d')} {DOCS_SQL}""")
+def q_stream_docs(spark, sf):
+    root = staged(spark, v7_lines(spark, sf), "v7files")
+    mroot, chk = fresh_path(spark, "merge_root"), fresh_path(spark, "merge_chk")
+    counts = HS.hourly_counts_stream(HS.line_stream(spark, root), delay=f"{STREAM_DELAY_HOURS} hours")
+    HS.run_merge(counts, mroot, chk)
+    docs = SD.read_search_docs(spark, f"{mroot}/docs")
+    # the newest version of every document id (R6: ids are idempotent)
+    from pyspark.sql import Window
+    w = Window.partitionBy("_id").orderBy(F.col("version").desc())
+    return (docs.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1)
+                .drop("_r", "version"))
