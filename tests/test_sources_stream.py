@@ -79,3 +79,18 @@ def test_stream_merge_versions(spark):
     assert t == {"A": (["20150301"], [3]), "B": (["20150302"], [4])}
     docs = spark.read.json(f"{m}/docs")
     assert docs.where(F.col("title") == "A").count() >= 1
+
+
+def test_stream_merge_across_runs(spark):
+    """Two scheduled runs: the second merges into the versions the first wrote."""
+    root, m, chk = fresh_path(spark, "m2_in"), fresh_path(spark, "m2_root"), fresh_path(spark, "m2_chk")
+    PC.write_pagecount_files(_lines(spark, [("en A 1 1", "20150301000000"), ("en B 2 1", "20150301010000"),
+                                            ("en A 3 1", "20150301120000")]), root)
+    HS.run_merge(HS.hourly_counts_stream(HS.line_stream(spark, root)), m, chk)
+    first = {r.title: (r.dates, r.pageviews) for r in HS.latest_version(spark, m).collect()}
+    assert first == {"A": (["20150301"], [1]), "B": (["20150301"], [2])}
+    PC.write_pagecount_files(_lines(spark, [("en A 5 1", "20150302000000"), ("en A 7 1", "20150302200000")]),
+                             root, mode="append")
+    HS.run_merge(HS.hourly_counts_stream(HS.line_stream(spark, root)), m, chk)
+    t = {r.title: (r.dates, r.pageviews, r.total_pageviews) for r in HS.latest_version(spark, m).collect()}
+    assert t == {"A": (["20150301", "20150302"], [4, 5], 9), "B": (["20150301"], [2], 2)}

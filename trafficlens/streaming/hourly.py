@@ -69,11 +69,20 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+# stored closed hours; dt and batch are partition columns (typed here, not inferred)
+HOURLY_SCHEMA = "title string, ts timestamp_ntz, views bigint, dt string, batch bigint"
+
+
 class TimelineMerger:
     """foreachBatch target for R4-R6, keyed by title.
 
-    Layout under ``root``: hourly/batch=<id>  (the batch's closed hours)
-                           timelines/version=<id>, docs/version=<id>
+    Layout under ``root``:
+      hourly/dt=<day>/batch=<id>   closed hours of each batch, by day
+      timelines/version=<id>       merged timelines after batch <id>
+      docs/version=<id>            documents of the titles batch <id> touched
+    A batch rewrites only its own partitions (dynamic overwrite), and day
+    totals are recomputed only for the (title, day) pairs it touched; the
+    semi-join on the ``dt`` partition column lets Spark prune the other days.
     """
 
     def __init__(self, root: str):
@@ -85,13 +94,16 @@ class TimelineMerger:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         hourly = f"{self.root}/hourly"
-        batch.write.mode("overwrite").parquet(f"{hourly}/batch={batch_id}")
-        all_hours = spark.read.parquet(hourly).where(F.col("batch") <= batch_id)
-        touched = (spark.read.parquet(f"{hourly}/batch={batch_id}")
-                        .select("title", F.date_format("ts", "yyyyMMdd").alias("dt")).distinct())
-        days = (all_hours.select("title", F.date_format("ts", "yyyyMMdd").alias("dt"), "views")
-                         .join(touched, ["title", "dt"], "left_semi")
-                         .groupBy("title", "dt").agg(F.sum("views").cast("bigint").alias("views")))
+        (batch.select("title", "ts", "views", F.date_format("ts", "yyyyMMdd").alias("dt"),
+                      F.lit(batch_id).cast("bigint").alias("batch"))
+              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy("dt", "batch").parquet(hourly))
+        hours = spark.read.schema(HOURLY_SCHEMA).parquet(hourly)
+        touched = hours.where(F.col("batch") == batch_id).select("title", "dt").distinct()
+        days = (hours.where(F.col("batch") <= batch_id)
+                     .select("title", "dt", "views")
+                     .join(touched, ["title", "dt"], "left_semi")
+                     .groupBy("title", "dt").agg(F.sum("views").cast("bigint").alias("views")))
         prev = self.timelines_path(batch_id - 1)
         if batch_id > 0 and _exists(spark, prev):
             history = spark.read.parquet(prev)
