@@ -79,7 +79,11 @@ def main(argv):
     from trafficlens.session import build_session
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     keys = argv[1:]
-    spark = build_session(shuffle_partitions=8)
+    extra = {}
+    if os.environ.get("ORACLE_SESSION_TZ"):  # run under another session setup
+        extra = {"spark.sql.session.timeZone": os.environ["ORACLE_SESSION_TZ"],
+                 "spark.sql.adaptive.enabled": "false"}
+    spark = build_session(shuffle_partitions=int(os.environ.get("ORACLE_SHUFFLE", "8")), extra=extra)
     con = duck(sf_dir)
     qs, sql = E.queries(), E.oracle_sql()
     failed = 0

@@ -48,9 +48,33 @@ def file_stamp(path) -> Column:
     return F.concat(F.substring(m, 12, 8), F.substring(m, 21, 6))
 
 
+def _stamp_parts(stamp) -> list[Column]:
+    st = _c(stamp)
+    return [F.substring(st, a, b).try_cast("int") for a, b in
+            ((1, 4), (5, 2), (7, 2), (9, 2), (11, 2), (13, 2))]
+
+
 def stamp_to_ts(stamp) -> Column:
-    """'yyyyMMddHHmmss' -> timestamp_ntz (NULL when malformed)."""
-    return F.try_to_timestamp(_c(stamp), F.lit(HOUR_FORMAT)).cast("timestamp_ntz")
+    """'yyyyMMddHHmmss' -> timestamp_ntz, built from its digits (no session
+    time zone involved, so no daylight-saving gap can move it); NULL when
+    malformed."""
+    return F.try_make_timestamp_ntz(*_stamp_parts(stamp))
+
+
+def stamp_to_instant(stamp) -> Column:
+    """'yyyyMMddHHmmss' -> TIMESTAMP instant whose UTC clock reads the stamp.
+
+    Event-time watermarks need TIMESTAMP; pinning the stamp to UTC makes
+    hourly windows fall on the stamp's own hours in any session time zone.
+    """
+    return F.try_make_timestamp(*_stamp_parts(stamp), F.lit("UTC"))
+
+
+def instant_to_wallclock(ts) -> Column:
+    """Inverse of ``stamp_to_instant``: the UTC clock of an instant as
+    timestamp_ntz (epoch + seconds; no session time zone involved)."""
+    return F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")) + F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), F.unix_micros(_c(ts)).cast("decimal(20,0)") / F.lit(1000000))
 
 
 def hours_before(ts, hours: int) -> Column:

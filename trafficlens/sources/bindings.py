@@ -15,7 +15,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficlens.functions.scalars import HOUR_FORMAT
 
 # Base hour of the synthetic file stamps derived below.
 BASE_STAMP = "2015-03-01 00:00:00"
@@ -63,8 +62,13 @@ def customer_order_hits(spark, sf_dir) -> DataFrame:
 
 
 def _stamp(hours_col) -> F.Column:
-    ts = F.to_timestamp_ntz(F.lit(BASE_STAMP)) + F.make_dt_interval(F.lit(0), hours_col.cast("int"))
-    return F.date_format(ts, HOUR_FORMAT)
+    """'yyyyMMddHHmmss' of the hour ``hours_col`` after the base hour, built
+    from date parts (no session time zone involved)."""
+    h = hours_col.cast("int")
+    d = F.date_add(F.to_date(F.lit(BASE_STAMP[:10])), (h / 24).cast("int"))
+    return F.concat(F.year(d).cast("string"), F.lpad(F.month(d).cast("string"), 2, "0"),
+                    F.lpad(F.dayofmonth(d).cast("string"), 2, "0"),
+                    F.lpad((h % 24).cast("string"), 2, "0"), F.lit("0000"))
 
 
 def page_lines(spark, sf_dir) -> DataFrame:

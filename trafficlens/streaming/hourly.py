@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trafficlens.functions import titles as X
-from trafficlens.functions.scalars import HOUR_FORMAT, file_stamp
+from trafficlens.functions.scalars import file_stamp, instant_to_wallclock, stamp_to_instant
 from trafficlens.operators import timelines as TL
 from trafficlens.operators.documents import search_documents
 from trafficlens.operators.trends import trend_table
@@ -33,8 +33,7 @@ def line_stream(spark: SparkSession, source: str, max_files_per_trigger: int | N
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     df = r.load(source)
     stamp = file_stamp(F.col("_metadata.file_path"))
-    return df.select("value", stamp.alias("stamp"),
-                     F.to_timestamp(stamp, HOUR_FORMAT).alias("ts"))
+    return df.select("value", stamp.alias("stamp"), stamp_to_instant(stamp).alias("ts"))
 
 
 def hourly_counts_stream(lines: DataFrame, delay: str = "3 hours", **rules) -> DataFrame:
@@ -49,7 +48,7 @@ def hourly_counts_stream(lines: DataFrame, delay: str = "3 hours", **rules) -> D
             .groupBy(F.window("ts", "1 hour"), "title")
             .agg(F.sum("_v").cast("bigint").alias("views")))
     return (agg.where(F.col("views").isNotNull())
-               .select("title", F.col("window.start").cast("timestamp_ntz").alias("ts"), "views"))
+               .select("title", instant_to_wallclock(F.col("window.start")).alias("ts"), "views"))
 
 
 def run_to_parquet(counts: DataFrame, out: str, checkpoint: str, available_now: bool = True):
