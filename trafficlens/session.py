@@ -6,7 +6,6 @@ carries. ``build_session`` is for tests, the bench and local runs only.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -59,14 +58,3 @@ def shared_root(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, never reused location under the shared root."""
     return f"{shared_root(spark)}/trafficlens/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("file:") or path.startswith("/") or "://" not in path
-
-
-def ensure_parent(path: str) -> None:
-    if path.startswith("file:"):
-        path = path[5:]
-    if "://" not in path:
-        os.makedirs(os.path.dirname(path), exist_ok=True)

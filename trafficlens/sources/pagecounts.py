@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficlens.functions.scalars import HOUR_FORMAT, file_stamp, stamp_to_ts
+from trafficlens.functions.scalars import file_stamp, stamp_to_ts
 
 
 def read_pagecounts(spark: SparkSession, paths: str | Sequence[str], glob: str | None = None,
@@ -78,4 +78,4 @@ def hour_glob(day: str) -> str:
 
 
 __all__ = ["read_pagecounts", "union_sources", "recent_hours", "write_pagecount_files",
-           "hour_glob", "HOUR_FORMAT"]
+           "hour_glob"]
