@@ -55,3 +55,18 @@ def test_dump_null_and_escapes(spark):
     got = sorted(tuple(r) for r in DP.parse_tuples(
         DP.dump_tuples(spark.createDataFrame([(line,)], "value string")), DP.REDIRECT_SCHEMA).collect())
     assert got == [(7, 0, None), (8, 0, "a\\b"), (9, 0, "x,y")]
+
+
+def test_hours_and_days_ignore_session_zone(spark):
+    """A wall-clock time inside a daylight-saving gap of the session zone keeps
+    its hour and day."""
+    from trafficlens.operators import counts as C
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("A", dt.datetime(2015, 3, 8, 2, 30), 1)],
+                                   "title string, ts timestamp_ntz, views bigint")
+        assert C.hourly_counts(df).collect()[0].ts == dt.datetime(2015, 3, 8, 2, 0)
+        assert C.daily_counts(df).collect()[0].dt == "20150308"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -26,13 +26,17 @@ def to_double(c) -> Column:
 
 
 def day_stamp(ts) -> Column:
-    """timestamp -> 'yyyyMMdd' key."""
-    return F.date_format(_c(ts), DAY_FORMAT)
+    """timestamp -> 'yyyyMMdd' key (the date of a timestamp_ntz is zone free)."""
+    return F.date_format(F.to_date(_c(ts)), DAY_FORMAT)
 
 
 def hour_of(ts) -> Column:
-    """timestamp -> start of its hour, kept time-zone free."""
-    return F.date_trunc("hour", _c(ts)).cast("timestamp_ntz")
+    """timestamp -> start of its hour as timestamp_ntz, from its date and hour
+    fields (``date_trunc`` would pass through the session zone, where a
+    daylight-saving gap moves the hour)."""
+    t = _c(ts).cast("timestamp_ntz")
+    return F.try_make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t),
+                                    F.lit(0), F.lit(0))
 
 
 def stamp_to_date(stamp) -> Column:
