@@ -734,7 +734,8 @@ def q_batch_trends(spark, sf):
 {trend_sql('v7h')} select * from trend""")
 def q_latest_trends(spark, sf):
     lines = v7_lines(spark, sf).withColumn("ts", S.stamp_to_ts("stamp"))
-    recent = PC.recent_hours(lines, TN.latest(lines, "ts"), 48, 70)
+    stamps = B.token_line_stamps(spark, sf).select(S.stamp_to_ts("stamp").alias("ts"))
+    recent = PC.recent_hours(lines, TN.latest(stamps, "ts"), 48, 70)
     return BT.trends_from_lines(recent.drop("ts"), grain="hour")
 
 
