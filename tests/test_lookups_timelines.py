@@ -81,3 +81,18 @@ def test_merge_keep_new(spark):
     assert 7 not in [r.page_id for r in TL.merge_timelines(_history(spark), new).collect()]
     kept = {r.page_id: r for r in TL.merge_timelines(_history(spark), new, keep_new=True).collect()}
     assert kept[7].pageviews == [4] and kept[7].total_pageviews == 4
+
+
+def test_write_version_replay(spark):
+    from trafficlens.session import fresh_path
+    p, r = _wiki(spark)
+    lookup = L.build_lookup(p, r)
+    new = spark.createDataFrame([("Facebook", "20150303", 7), ("FB", "20150303", 2)],
+                                "title string, dt string, views bigint")
+    pages = TL.pages_table(L.main_namespace(p, "page_namespace"))
+    root = fresh_path(spark, "t_versions")
+    out1 = MR.write_version(MR.merge_and_rank(_history(spark), new, lookup, pages), root, 1)
+    first = _rows(spark.read.parquet(f"{out1}/daily_timelines"))
+    out2 = MR.write_version(MR.merge_and_rank(_history(spark), new, lookup, pages), root, 1)
+    assert out1 == out2 and _rows(spark.read.parquet(f"{out2}/daily_timelines")) == first
+    assert _rows(spark.read.parquet(f"{out1}/pages").select("page_id", "total_pageviews")) == [(1, 39), (3, 5)]

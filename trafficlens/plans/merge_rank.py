@@ -52,4 +52,5 @@ def write_version(result: MergeResult, root: str, batch_id: int) -> str:
     result.timelines.write.mode("overwrite").parquet(f"{out}/daily_timelines")
     result.pages.write.mode("overwrite").parquet(f"{out}/pages")
     result.daily_trends.write.mode("overwrite").parquet(f"{out}/daily_trends")
+    result.scored.unpersist()
     return out
