@@ -8,12 +8,33 @@ to the same name on both sides, and integer results are BIGINT on both.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from trafficlens.functions import scalars as S
+from trafficlens.functions import titles as X
 from trafficlens.operators import counts as C
+from trafficlens.operators import documents as D
+from trafficlens.operators import forecast as M
+from trafficlens.operators import gaps as G
+from trafficlens.operators import lookups as L
+from trafficlens.operators import ranking as RK
+from trafficlens.operators import timelines as TL
+from trafficlens.operators import topn as TN
 from trafficlens.operators import trends as T
+from trafficlens.operators import udf as U
+from trafficlens.plans import batch_trends as BT
+from trafficlens.plans import merge_rank as MR
+from trafficlens.session import fresh_path
 from trafficlens.sources import bindings as B
+from trafficlens.sources import catalog as CT
+from trafficlens.sources import dumps as DP
+from trafficlens.sources import manifest as MF
+from trafficlens.sources import pagecounts as PC
+from trafficlens.sources import search_docs as SD
+from trafficlens.sources import text_tables as TT
+from trafficlens.sources import trend_lines as TLN
+from trafficlens.streaming import hourly as HS
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -121,8 +142,6 @@ def q_aligned_trends(spark, sf):
 
 # ----------------------------------------------------------------------------
 # Lines: V4 (web page urls) and V7 (every token of every document)
-from trafficlens.functions import titles as X  # noqa: E402
-from trafficlens.functions import scalars as S  # noqa: E402
 
 V4 = r"""v4 as (
   select page_id,
@@ -292,11 +311,6 @@ def q_min_views(spark, sf):
 
 # ----------------------------------------------------------------------------
 # Ranking (W5-W9), top-N (T1-T4), forecast (M1), gaps (S22), documents
-from trafficlens.operators import documents as D  # noqa: E402
-from trafficlens.operators import forecast as M  # noqa: E402
-from trafficlens.operators import gaps as G  # noqa: E402
-from trafficlens.operators import ranking as RK  # noqa: E402
-from trafficlens.operators import topn as TN  # noqa: E402
 
 V8 = """v8 as (select 'Customer_' || lpad(o_custkey::VARCHAR, 9, '0') as title,
                strftime(o_orderdate, '%Y%m%d') as dt, count(*)::BIGINT as views
@@ -499,10 +513,6 @@ def q_load_stats(spark, sf):
 
 # ----------------------------------------------------------------------------
 # Lookups (F13, L1-L5, S6) and timelines
-from trafficlens.operators import lookups as L  # noqa: E402
-from trafficlens.operators import timelines as TL  # noqa: E402
-from trafficlens.plans import merge_rank as MR  # noqa: E402
-from trafficlens.sources import dumps as DP  # noqa: E402
 
 V5 = """v5p as (select c_custkey as page_id, (c_custkey % 10 // 9)::INTEGER as page_namespace,
     split_part(c_name, '#', 1) || '_' || split_part(c_name, '#', 2) as page_title,
@@ -568,7 +578,6 @@ def q_dump_tuples(spark, sf):
 def q_lookup_build(spark, sf):
     """L4 end to end: dump text written to shared storage, read back with
     the dump reader, namespace filter, L1 + L2, union."""
-    from trafficlens.session import fresh_path
     path = fresh_path(spark, "dump")
     v5_dump_lines(spark, sf).write.mode("overwrite").text(path)
     page = DP.read_dump(spark, path, "page", DP.PAGE_SCHEMA)
@@ -665,14 +674,6 @@ def _merge_result(spark, sf) -> "MR.MergeResult":
 
 # ----------------------------------------------------------------------------
 # Files and sinks (S1-S5, S7-S17, S20, S23) and the batch entries
-from trafficlens.plans import batch_trends as BT  # noqa: E402
-from trafficlens.session import fresh_path  # noqa: E402
-from trafficlens.sources import catalog as CT  # noqa: E402
-from trafficlens.sources import manifest as MF  # noqa: E402
-from trafficlens.sources import pagecounts as PC  # noqa: E402
-from trafficlens.sources import search_docs as SD  # noqa: E402
-from trafficlens.sources import text_tables as TT  # noqa: E402
-from trafficlens.sources import trend_lines as TLN  # noqa: E402
 
 
 def staged(spark, lines: DataFrame, name: str) -> str:
@@ -830,7 +831,6 @@ def q_page_links(spark, sf):
 
 # ----------------------------------------------------------------------------
 # Structured Streaming (R1-R6): results after an availableNow run
-from trafficlens.streaming import hourly as HS  # noqa: E402
 
 STREAM_DELAY_HOURS = 3
 V7_CLOSED = f"""{V7} {parsed_sql('v7', 'doc_id, stamp')}
@@ -867,7 +867,6 @@ def q_stream_merge(spark, sf):
 # ----------------------------------------------------------------------------
 # User-code surface (Z1, Z3) and the optional behaviours (D5 gap filling,
 # D6 keep_new, D4 strict extension rule)
-from trafficlens.operators import udf as U  # noqa: E402
 
 
 @register("rank_script", f"""with {V8_ID} {rank_sql_key('merged', 'page_id')}
@@ -959,7 +958,6 @@ def q_stream_docs(spark, sf):
     HS.run_merge(counts, mroot, chk)
     docs = SD.read_search_docs(spark, f"{mroot}/docs")
     # the newest version of every document id (R6: ids are idempotent)
-    from pyspark.sql import Window
     w = Window.partitionBy("_id").orderBy(F.col("version").desc())
     return (docs.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1)
                 .drop("_r", "version"))
