@@ -9,6 +9,9 @@ import __spark_entry__ as E
 from tests.oracle_compare import compare, duck
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
+# Spark type -> DuckDB type of the same column (schemas must agree too)
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "float": "FLOAT",
+         "string": "VARCHAR", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
 KEYS = sorted(E.queries())
 
 
@@ -35,3 +38,6 @@ def test_query_matches_oracle(spark, con, key):
     res = con.execute(E.oracle_sql()[key])
     verdict = compare(rows, df.columns, res.fetchall(), [d[0] for d in res.description])
     assert verdict.startswith("ok"), verdict
+    rel = con.sql(E.oracle_sql()[key])
+    duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert {c: TYPES.get(t) for c, t in df.dtypes} == duck_types
