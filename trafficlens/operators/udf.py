@@ -10,12 +10,18 @@ Z3  user title rules: any Column -> Column predicate, combined with the
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
+# Functions of this module run inside Python workers; ship them by value so
+# executors need only numpy/pandas, not this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def script_transform(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],
                      schema: str) -> DataFrame:
