@@ -61,10 +61,10 @@ def test_stream_watermark_append(spark):
     root, out, chk = fresh_path(spark, "s_in"), fresh_path(spark, "s_out"), fresh_path(spark, "s_chk")
     PC.write_pagecount_files(_lines(spark, [("en A 1 1", "20150301000000"), ("en A 2 1", "20150301010000")]),
                              root)
-    HS.run_to_parquet(HS.hourly_counts_stream(HS.line_stream(spark, root)), out, chk)
+    HS.run_to_parquet(HS.hourly_counts_stream(HS.line_stream(spark, root), delay="3 hours"), out, chk)
     assert spark.read.schema("title string, ts timestamp_ntz, views bigint").parquet(out).count() == 0
     PC.write_pagecount_files(_lines(spark, [("en A 5 1", "20150301080000")]), root, mode="append")
-    HS.run_to_parquet(HS.hourly_counts_stream(HS.line_stream(spark, root)), out, chk)
+    HS.run_to_parquet(HS.hourly_counts_stream(HS.line_stream(spark, root), delay="3 hours"), out, chk)
     got = sorted((r.ts.hour, r.views) for r in spark.read.parquet(out).collect())
     assert got == [(0, 1), (1, 2)]
 
@@ -74,7 +74,7 @@ def test_stream_merge_versions(spark):
     PC.write_pagecount_files(_lines(spark, [("en A 1 1", "20150301000000"), ("en A 2 1", "20150301010000"),
                                             ("en B 4 1", "20150302000000"), ("en A 3 1", "20150302090000")]),
                              root)
-    HS.run_merge(HS.hourly_counts_stream(HS.line_stream(spark, root)), m, chk)
+    HS.run_merge(HS.hourly_counts_stream(HS.line_stream(spark, root), delay="3 hours"), m, chk)
     t = {r.title: (r.dates, r.pageviews) for r in HS.latest_version(spark, m).collect()}
     assert t == {"A": (["20150301"], [3]), "B": (["20150302"], [4])}
     docs = spark.read.json(f"{m}/docs")
@@ -86,11 +86,11 @@ def test_stream_merge_across_runs(spark):
     root, m, chk = fresh_path(spark, "m2_in"), fresh_path(spark, "m2_root"), fresh_path(spark, "m2_chk")
     PC.write_pagecount_files(_lines(spark, [("en A 1 1", "20150301000000"), ("en B 2 1", "20150301010000"),
                                             ("en A 3 1", "20150301120000")]), root)
-    HS.run_merge(HS.hourly_counts_stream(HS.line_stream(spark, root)), m, chk)
+    HS.run_merge(HS.hourly_counts_stream(HS.line_stream(spark, root), delay="3 hours"), m, chk)
     first = {r.title: (r.dates, r.pageviews) for r in HS.latest_version(spark, m).collect()}
     assert first == {"A": (["20150301"], [1]), "B": (["20150301"], [2])}
     PC.write_pagecount_files(_lines(spark, [("en A 5 1", "20150302000000"), ("en A 7 1", "20150302200000")]),
                              root, mode="append")
-    HS.run_merge(HS.hourly_counts_stream(HS.line_stream(spark, root)), m, chk)
+    HS.run_merge(HS.hourly_counts_stream(HS.line_stream(spark, root), delay="3 hours"), m, chk)
     t = {r.title: (r.dates, r.pageviews, r.total_pageviews) for r in HS.latest_version(spark, m).collect()}
     assert t == {"A": (["20150301", "20150302"], [4, 5], 9), "B": (["20150301"], [2], 2)}

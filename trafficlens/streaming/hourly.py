@@ -36,8 +36,9 @@ def line_stream(spark: SparkSession, source: str, max_files_per_trigger: int | N
     return df.select("value", stamp.alias("stamp"), stamp_to_instant(stamp).alias("ts"))
 
 
-def hourly_counts_stream(lines: DataFrame, delay: str = "3 hours", **rules) -> DataFrame:
-    """(title, ts, views) per closed hour."""
+def hourly_counts_stream(lines: DataFrame, delay: str = "48 hours", **rules) -> DataFrame:
+    """(title, ts, views) per closed hour. The default delay is the
+    source's 48-hour offset before an hour is used."""
     parsed = X.parse_lines(lines, keep=["ts"], **rules)
     ok = F.col("status") == "ok"
     # rejected lines: NULL title and views, dropped after the aggregate (see
