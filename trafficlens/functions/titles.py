@@ -33,6 +33,8 @@ BLACKLIST = ("404_error/", "Main_Page", "Hypertext_Transfer_Protocol",
 # ---------------------------------------------------------------------------
 
 _UNIX = "(?d)"
+# The characters of Java's \s class (also Python's str.strip() set for bytes).
+WHITESPACE = " \t\n\r\f\x0b"
 
 
 def _c(c) -> Column:
@@ -143,8 +145,17 @@ def nonempty_title(title) -> Column:
 def parse_count(s) -> Column:
     """Integer count as the source's int(): surrounding blanks allowed,
     anything else (12x, '12 x') gives NULL instead of a crash."""
-    # no match gives '' and try_cast('') is NULL: one regex evaluation per row
-    return F.regexp_extract(_c(s), r"^\s*([0-9]+)\s*$", 1).try_cast("bigint")
+    # Same as matching ^\s*([0-9]+)\s*$, without a regex (which would decode
+    # every value into a Java string): strip the \s set, then digits only.
+    t = F.trim(_c(s), F.lit(WHITESPACE))
+    return F.when((F.length(t) > 0) & (F.translate(t, "0123456789", "") == ""), t) \
+        .try_cast("bigint")
+
+
+def _first_is_digit(c: Column) -> Column:
+    """First character in [0-9] (a one-character string compare, no regex)."""
+    first = F.substring(c, 1, 1)
+    return (first >= F.lit("0")) & (first <= F.lit("9"))
 
 
 def _split(lines: DataFrame, line_col: str, keep: Sequence[str]) -> DataFrame:
@@ -163,7 +174,7 @@ def _fields():
     """
     line, p = F.col("_line"), F.col("_p")
     simple = (F.size(p) == 4) & ~line.contains("\n")
-    fast_ok = (F.get(p, 0) == "en") & F.get(p, 2).rlike("^[0-9]") & F.get(p, 3).rlike("^[0-9]")
+    fast_ok = (F.get(p, 0) == "en") & _first_is_digit(F.get(p, 2)) & _first_is_digit(F.get(p, 3))
     shape = F.when(simple, fast_ok).otherwise(line_shape(line))
     page = F.when(simple, F.get(p, 1)).otherwise(line_group(line, 1))
     raw = F.when(simple, F.get(p, 2)).otherwise(line_group(line, 2))
