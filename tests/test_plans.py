@@ -42,12 +42,29 @@ def test_scan_prunes_columns(spark):
     assert set(x.split(":")[0] for x in schema.split(",")) == {"ts", "event_type"}
 
 
-def test_file_hours_selected(spark):
+def test_file_hours_pruned_before_read(spark):
     from trafficlens.session import fresh_path
     from trafficlens.sources import pagecounts as PC
     root = fresh_path(spark, "t_prune")
     lines = spark.createDataFrame([("en A 1 1", f"201503010{h}0000") for h in range(5)],
                                   "value string, stamp string")
     PC.write_pagecount_files(lines, root)
-    df = PC.read_pagecounts(spark, root, hours=("2015-03-01 02:00:00", "2015-03-01 02:00:00"))
-    assert [r.stamp for r in df.collect()] == ["20150301020000"]
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # plain plan: the scan node is reachable
+    try:
+        df = PC.read_pagecounts(spark, root, hours=("2015-03-01 02:00:00", "2015-03-01 02:00:00"))
+        assert [r.stamp for r in df.collect()] == ["20150301020000"]
+        assert _scan_metric(df._jdf.queryExecution().executedPlan(), "numFiles") == 1  # 1 of 5 read
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+
+
+def _scan_metric(node, key):
+    if "Scan" in node.nodeName() and node.metrics().get(key).isDefined():
+        return node.metrics().get(key).get().value()
+    kids = node.children()
+    for i in range(kids.size()):
+        v = _scan_metric(kids.apply(i), key)
+        if v is not None:
+            return v
+    return None
