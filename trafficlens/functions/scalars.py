@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 # Fixed formats of the stamps carried in file names and keys.
 DAY_FORMAT = "yyyyMMdd"
 HOUR_FORMAT = "yyyyMMddHHmmss"
-FILE_STAMP_PATTERN = r"pagecounts-([0-9]{8})-([0-9]{6})"
-FILE_STAMP_MATCH = r"pagecounts-[0-9]{8}-[0-9]{6}"
 
 
 def _c(c) -> Column:
@@ -45,11 +43,17 @@ def stamp_to_date(stamp) -> Column:
 
 
 def file_stamp(path) -> Column:
-    """S4: 'pagecounts-YYYYMMDD-HHMMSS...' anywhere in a path -> 'YYYYMMDDHHMMSS'."""
-    # One regex per row: the match is 'pagecounts-' + 8 digits + '-' + 6 digits
-    # (NULL when absent); no conditional, so the two uses share one evaluation.
-    m = F.regexp_substr(_c(path), F.lit(FILE_STAMP_MATCH))
-    return F.concat(F.substring(m, 12, 8), F.substring(m, 21, 6))
+    """The 'YYYYMMDD-HHMMSS' after the last 'pagecounts-' of a path (the
+    file or hour-directory name) -> 'YYYYMMDDHHMMSS'; NULL when absent.
+
+    Plain string functions on the UTF-8 bytes: a regex here would decode the
+    whole path into a Java string for every line read.
+    """
+    p = _c(path)
+    cand = F.substring(F.substring_index(p, "pagecounts-", -1), 1, 15)
+    ok = (p.contains("pagecounts-") & (F.length(cand) == 15) & (F.substring(cand, 9, 1) == "-")
+          & (F.translate(cand, "0123456789", "") == "-"))
+    return F.when(ok, F.concat(F.substring(cand, 1, 8), F.substring(cand, 10, 6)))
 
 
 def _stamp_parts(stamp) -> list[Column]:
