@@ -8,8 +8,23 @@ from trafficlens.sources.bindings import table
 
 from . import oracle
 from .contamination import find_contamination
+from .disclosure import find_pii
+from .pieces import encode_digests, read_model
+from .quality import quality_model, score_quality
 from .repetition import repetition_rules
 from .simhash import near_duplicates
+from .toxicity import score_toxicity, toxicity_model
+
+MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op1_pii(spark, sf_dir):
+    return find_pii(table(spark, sf_dir, "documents"))
+
+
+def op2_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return score_toxicity(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
 
 
 def op4_simhash(spark, sf_dir):
@@ -23,6 +38,15 @@ def op6_decontamination(spark, sf_dir):
     return got.drop("items", "spans", "longest_match")
 
 
+def op8_sentencepiece(spark, sf_dir, model=MODEL):
+    return encode_digests(table(spark, sf_dir, "documents"), read_model(model))
+
+
+def op9_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, quality_model(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_repetition(spark, sf_dir):
     got = repetition_rules(table(spark, sf_dir, "documents"), min_words=8, max_covered=0.3,
                            max_repeat=100)
@@ -30,8 +54,12 @@ def op10_repetition(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
+    "op2_toxicity": op2_toxicity,
     "op4_simhash": op4_simhash,
     "op6_decontamination": op6_decontamination,
+    "op8_sentencepiece": op8_sentencepiece,
+    "op9_quality": op9_quality,
     "op10_repetition": op10_repetition,
 }
 ORACLE = {"op6_decontamination": oracle.CONTAMINATION, "op10_repetition": oracle.REPETITION}

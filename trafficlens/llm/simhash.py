@@ -70,16 +70,21 @@ def _fingerprints(texts: pa.Array, shingle: int, seed: int) -> list[int]:
     return out
 
 
-def fingerprints(docs: DataFrame, shingle: int, seed: int = 42) -> DataFrame:
-    """doc_id and ``fp`` (the 64 bits as a bigint), one row per input row."""
+def _prints_with(docs: DataFrame, keep: list[str], shingle: int, seed: int) -> DataFrame:
+    """The bigint columns ``keep`` and ``fp`` (the 64 bits as a bigint)."""
     def run(batches):
         for batch in batches:
             for rows, texts in tb.chunks(batch):
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0).cast(pa.int64()), pa.array(_fingerprints(texts, shingle, seed))],
-                    names=["doc_id", "fp"])
+                    [*[rows.column(k).cast(pa.int64()) for k in range(len(keep))],
+                     pa.array(_fingerprints(texts, shingle, seed))], names=[*keep, "fp"])
+
+    return docs.select(*keep, "text").mapInArrow(run, ", ".join(f"{c} bigint" for c in [*keep, "fp"]))
+
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, fp bigint")
+def fingerprints(docs: DataFrame, shingle: int, seed: int = 42) -> DataFrame:
+    """doc_id and fp, one row per input row."""
+    return _prints_with(docs, ["doc_id"], shingle, seed)
 
 
 def ball_masks(max_distance: int, segments: int = 4) -> list[int]:
@@ -139,15 +144,51 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
 
 
+def groups_of(prints: DataFrame, max_distance: int) -> DataFrame:
+    """fp, root: the smallest fingerprint that each distinct one reaches."""
+    distinct = prints.select("fp").distinct()
+    roots = components(links(distinct, max_distance)).checkpoint()
+    return distinct.join(roots, F.col("fp") == F.col("node"), "left") \
+        .select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int = 2,
                     seed: int = 42) -> DataFrame:
     """doc_id, fp, component_id (the smallest doc_id reachable by links)."""
     shared_root(docs.sparkSession)
     prints = fingerprints(docs, shingle, seed).checkpoint()
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    roots = components(links(distinct, max_distance)).checkpoint()
-    named = distinct.join(roots, F.col("fp") == F.col("node"), "left") \
-        .select("fp", F.coalesce("root", "fp").alias("root"), "first")
+    first = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))  # copies meet here, pre-aggregated
+    named = first.join(groups_of(prints, max_distance), "fp")
     group = named.groupBy("root").agg(F.min("first").alias("component_id"))
     of_print = named.join(group, "root").select("fp", "component_id")
     return prints.join(of_print, "fp", "left").select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, max_distance: int = 2, seed: int = 42,
+             broadcast_bytes: int = 8 << 20) -> DataFrame:
+    """The rows of ``docs``, all columns: one of each group.
+
+    The smallest doc_id stays (no doc_id comes last), then the smallest
+    digest of the text; of rows equal in both, any one.
+    """
+    shared_root(docs.sparkSession)
+    key = {"_llm_id": F.col("doc_id"), "_llm_rank": F.xxhash64("text")}
+    if {*key, "_llm_row"} & set(docs.columns):
+        raise ValueError("documents has a column of the operator's own name")
+    keyed = docs.withColumns(key)
+    prints = _prints_with(keyed, ["_llm_id", "_llm_rank"], shingle, seed).checkpoint()
+    rows = prints.groupBy("_llm_id", "_llm_rank", "fp").agg(F.count("*").alias("n"))
+    rows = rows.join(groups_of(prints, max_distance), "fp").select(
+        "root", "n", F.struct(F.col("_llm_id").isNull().alias("none"), "_llm_id", "_llm_rank").alias("k"))
+    best = rows.groupBy("root").agg(F.min("k").alias("best"))
+    # what must go: losers, and winners written more than once, which come back singly
+    gone = rows.join(best, "root").withColumn("wins", F.col("k") == F.col("best")) \
+        .filter(~F.col("wins") | (F.col("n") > 1)).select("k.*", "wins").drop("none").checkpoint()
+    small = 64 * gone.count() <= broadcast_bytes  # measured, else Spark shuffles both sides
+    side = F.broadcast if small else (lambda df: df)
+    same = lambda g: keyed["_llm_id"].eqNullSafe(g["_llm_id"]) & (keyed["_llm_rank"] == g["_llm_rank"])
+    gone_side, repeated = side(gone), side(gone.filter("wins"))
+    single = keyed.join(gone_side, same(gone_side), "left_anti").select(docs.columns)
+    again = keyed.join(repeated, same(repeated), "left_semi") \
+        .groupBy("_llm_id", "_llm_rank").agg(F.first(F.struct(*docs.columns)).alias("_llm_row"))
+    return single.union(again.select("_llm_row.*"))
