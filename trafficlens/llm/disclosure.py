@@ -155,7 +155,7 @@ def term_documents(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "t bigint, n bigint").groupBy("t").agg(F.sum("n").alias("n"))
 
 
-def disclosing_terms(docs: DataFrame, window: int = 6, min_support: int = 3,
+def disclosing_terms(docs: DataFrame, window: int = 6, min_support: int = 2,
                      generalise_at: float = 0.8, remove_at: float = 0.95) -> DataFrame:
     """key, terms: the context spans (a, b, removed) of each document row
     whose term discloses its entity beyond the thresholds."""
