@@ -56,3 +56,20 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        not base_failed and chars / greatest(word_chars, 1) <= 0.3 and not over_long kept
 from j
 """
+
+LINE_DEDUP = r"""
+with d as (select row_number() over () rid, doc_id, coalesce(text, '') t, text raw from documents),
+l as (select rid, doc_id, raw, t, unnest(string_split(t, chr(10))) line,
+             generate_subscripts(string_split(t, chr(10)), 1) n from d),
+w as (select *, regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x20\x09-\x0D]+') ws,
+             sum(length(line) + 1) over (partition by rid order by n) - length(line) - 1 a from l),
+u as (select rid, n, len(ws) >= 5 and row_number() over (
+        partition by len(ws) >= 5, array_to_string(ws, ' ') order by doc_id nulls last, n) > 1 gone from w),
+j as (select w.*, gone from w join u using (rid, n))
+select doc_id, coalesce(string_agg(line, chr(10) order by n) filter (not gone), '') as text,
+       count(*) n_lines, count(*) filter (gone) n_removed,
+       coalesce(string_agg(cast(a as bigint) || ':' || cast(a + length(line) as bigint), ',' order by n)
+                filter (gone), '') removed_spans
+from j group by rid, doc_id
+"""

@@ -12,8 +12,10 @@ from .disclosure import find_pii
 from .pieces import encode_digests, read_model
 from .quality import quality_model, score_quality
 from .repetition import repetition_rules
+from .secret_scan import scan_secrets
 from .simhash import near_duplicates
 from .toxicity import score_toxicity, toxicity_model
+from .unit_dedup import remove_repeats
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -27,11 +29,19 @@ def op2_toxicity(spark, sf_dir):
     return score_toxicity(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_line_dedup(spark, sf_dir):
+    return remove_repeats(table(spark, sf_dir, "documents"), min_words=5)
+
+
 def op4_simhash(spark, sf_dir):
     got = near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_distance=2)
     return got.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_secrets(spark, sf_dir):
+    return scan_secrets(table(spark, sf_dir, "documents")).drop("added")
+
+
 def op6_decontamination(spark, sf_dir):
     got = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
                              window=13, min_share=0.05)
@@ -56,10 +66,16 @@ def op10_repetition(spark, sf_dir):
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_toxicity": op2_toxicity,
+    "op3_line_dedup": op3_line_dedup,
     "op4_simhash": op4_simhash,
+    "op5_secrets": op5_secrets,
     "op6_decontamination": op6_decontamination,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_quality": op9_quality,
     "op10_repetition": op10_repetition,
 }
-ORACLE = {"op6_decontamination": oracle.CONTAMINATION, "op10_repetition": oracle.REPETITION}
+ORACLE = {
+    "op3_line_dedup": oracle.LINE_DEDUP,
+    "op6_decontamination": oracle.CONTAMINATION,
+    "op10_repetition": oracle.REPETITION,
+}
