@@ -14,6 +14,7 @@ from .quality import quality_model, score_quality
 from .repetition import repetition_rules
 from .secret_scan import scan_secrets
 from .simhash import near_duplicates
+from .style_tree import main_text
 from .toxicity import score_toxicity, toxicity_model
 from .unit_dedup import remove_repeats
 
@@ -48,6 +49,10 @@ def op6_decontamination(spark, sf_dir):
     return got.drop("items", "spans", "longest_match")
 
 
+def op7_html(spark, sf_dir):
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op8_sentencepiece(spark, sf_dir, model=MODEL):
     return encode_digests(table(spark, sf_dir, "documents"), read_model(model))
 
@@ -70,6 +75,7 @@ QUERIES = {
     "op4_simhash": op4_simhash,
     "op5_secrets": op5_secrets,
     "op6_decontamination": op6_decontamination,
+    "op7_html": op7_html,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_quality": op9_quality,
     "op10_repetition": op10_repetition,
