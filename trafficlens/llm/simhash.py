@@ -33,6 +33,7 @@ from trafficlens.session import shared_root
 from . import text_batches as tb
 
 BITS = 64
+BLOCK = 1 << 15
 
 
 def _fingerprints(texts: pa.Array, shingle: int, seed: int) -> list[int]:
@@ -59,13 +60,18 @@ def _fingerprints(texts: pa.Array, shingle: int, seed: int) -> list[int]:
     w0 = head[row_of] + k
     w1 = np.minimum(w0 + shingle, head[row_of + 1])
     view, digest = memoryview(flat), xxhash.xxh64_intdigest
-    h = np.fromiter((digest(view[a:b], seed) for a, b in
-                     zip(first[w0].tolist(), (first[w1] - 1).tolist())), np.uint64, len(w0))
-    bits = np.unpackbits(h.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+    begin, end = first[w0], first[w1] - 1
+    ones = np.zeros((n, BITS), np.int64)
+    for lo in range(0, len(begin), BLOCK):  # bits are counted a block of shingles at a time
+        part = slice(lo, lo + BLOCK)
+        h = np.fromiter((digest(view[a:b], seed) for a, b in zip(begin[part].tolist(), end[part].tolist())),
+                        ">u8", len(begin[part]))
+        bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1)
+        row = row_of[part]
+        starts_at = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
+        ones[row[starts_at]] += np.add.reduceat(bits, starts_at, axis=0, dtype=np.uint32)
     some = np.flatnonzero(n_shingles)
-    begin = (np.cumsum(n_shingles) - n_shingles)[some]
-    ones = np.add.reduceat(bits, begin, axis=0, dtype=np.int64)
-    chosen = np.packbits(2 * ones > n_shingles[some][:, None], axis=1)
+    chosen = np.packbits(2 * ones[some] > n_shingles[some][:, None], axis=1)
     out[some] = chosen.view(">u8").ravel().astype(np.uint64).view(np.int64)
     return out
 
@@ -74,7 +80,7 @@ def _prints_with(docs: DataFrame, keep: list[str], shingle: int, seed: int) -> D
     """The bigint columns ``keep`` and ``fp`` (the 64 bits as a bigint)."""
     def run(batches):
         for batch in batches:
-            for rows, texts in tb.chunks(batch):
+            for rows, texts in tb.chunks(batch, limit=tb.CHUNK_BYTES // 2):
                 yield pa.RecordBatch.from_arrays(
                     [*[rows.column(k).cast(pa.int64()) for k in range(len(keep))],
                      pa.array(_fingerprints(texts, shingle, seed))], names=[*keep, "fp"])

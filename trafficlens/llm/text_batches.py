@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 # Byte classes of the documented word patterns.
 NOT_SPACE = np.ones(256, bool)
@@ -56,6 +56,8 @@ def chunks(batch: pa.RecordBatch, text: str = "text",
         hi = min(max(hi, lo + 1), batch.num_rows)
         yield batch.slice(lo, hi - lo), col.slice(lo, hi - lo)
         lo = hi
+    del col
+    pa.default_memory_pool().release_unused()  # an idle worker should not hold a batch
 
 
 def word_bounds(data: np.ndarray, offs: np.ndarray, member: np.ndarray):
