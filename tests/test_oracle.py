@@ -6,13 +6,14 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from trafficlens.plans import registered
 from tests.oracle_compare import compare, duck
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 # Spark type -> DuckDB type of the same column (schemas must agree too)
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "float": "FLOAT",
          "string": "VARCHAR", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
-KEYS = sorted(E.queries())
+KEYS = sorted(registered.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -27,8 +28,9 @@ def test_entry_smoke(spark):
 
 
 def test_every_key_has_oracle():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(KEYS) - set(E.oracle_sql())
     assert not missing, missing
+    assert set(KEYS) <= set(E.queries())
 
 
 @pytest.mark.parametrize("key", KEYS)

@@ -6,8 +6,9 @@ total_pageviews). Arrays are bounded by the number of days of one page.
 Merge = one outer join on page_id (matched pages get the new points, quiet
 pages are kept), instead of the source's inner join + outer/IS NULL pair:
 one shuffle instead of two. A new day that is already in the history
-replaces it, so re-applying the same batch never double counts, and the
-total is the sum of the merged series (decision D8).
+replaces it, so re-applying the same batch never double counts. The stored
+total of a page may cover more than its points: it stays for quiet pages,
+and matched pages get the new views less those of replaced days (D8).
 """
 
 from __future__ import annotations
@@ -47,17 +48,19 @@ def merge_timelines(history: DataFrame, new_counts: DataFrame, keep_new: bool =
     """
     new = timelines_from_counts(new_counts, key, dt, views).select(
         key, F.arrays_zip(F.col("dates").alias("d"), F.col("pageviews").alias("v")).alias("_n"))
-    h = history.select(key, F.arrays_zip(F.col("dates").alias("d"),
-                                         F.col("pageviews").alias("v")).alias("_h"))
+    h = history.select(key, F.arrays_zip(F.col("dates").alias("d"), F.col("pageviews").alias("v")).alias("_h"),
+                       F.coalesce("total_pageviews", sum_array(F.col("pageviews"))).alias("_t"))
     j = h.join(new, key, "full" if keep_new else "left")
     empty = F.array().cast("array<struct<d:string,v:bigint>>")
     n = F.coalesce(F.col("_n"), empty)
     new_days = F.transform(n, lambda p: p["d"])
-    kept = F.filter(F.coalesce(F.col("_h"), empty), lambda p: ~F.array_contains(new_days, p["d"]))
-    merged = F.array_sort(F.concat(kept, n))
-    out = j.select(key, merged.alias("_m"))
+    old = F.coalesce(F.col("_h"), empty)
+    kept = F.filter(old, lambda p: ~F.array_contains(new_days, p["d"]))
+    views_of = lambda points: F.coalesce(sum_array(F.transform(points, lambda p: p["v"])), F.lit(0))
+    total = F.coalesce("_t", F.lit(0)) + views_of(n) - (views_of(old) - views_of(F.col("_k")))
+    out = j.select(key, "_t", "_n", "_h", kept.alias("_k"), F.array_sort(F.concat(kept, n)).alias("_m"))
     return out.select(key, F.col("_m.d").alias("dates"), F.col("_m.v").alias("pageviews"),
-                      sum_array(F.col("_m.v")).alias("total_pageviews"))
+                      total.cast("bigint").alias("total_pageviews"))
 
 
 def timeline_points(timelines: DataFrame, key: str = "page_id") -> DataFrame:

@@ -439,7 +439,7 @@ def q_missing_hours(spark, sf):
 
 
 DOCS_SQL = """select sha1(title || dt) as _id, title, strptime(dt, '%Y%m%d')::DATE as page_date,
-  views::INTEGER as page_views, daily_trend::FLOAT as daily_trend,
+  views as page_views, daily_trend::FLOAT as daily_trend,
   weekly_trend::FLOAT as weekly_trend, monthly_trend::FLOAT as monthly_trend from trend"""
 
 
@@ -771,10 +771,9 @@ def q_trend_lines_roundtrip(spark, sf):
     s = TLN.read_trend_lines(spark, path).where(~F.col("bad"))
     z = s.select("title", F.posexplode("dates").alias("i", "dt"), "views", "daily", "weekly", "monthly")
     i = F.col("i") + 1
-    return z.select("title", "dt", F.element_at("views", i).alias("views"),
-                    F.element_at("daily", i).alias("daily_trend"),
-                    F.coalesce(F.try_element_at("weekly", i), F.lit(0.0)).alias("weekly_trend"),
-                    F.coalesce(F.try_element_at("monthly", i), F.lit(0.0)).alias("monthly_trend"))
+    at = lambda c: F.when(i <= F.size(c), F.try_element_at(c, i)).otherwise(F.lit(0.0))
+    return z.select("title", "dt", F.element_at("views", i).alias("views"), at("daily").alias("daily_trend"),
+                    at("weekly").alias("weekly_trend"), at("monthly").alias("monthly_trend"))
 
 
 @register("search_docs_scan", f"with {V3} {trend_sql('v3')} {DOCS_SQL}")
@@ -784,6 +783,18 @@ def q_search_docs_scan(spark, sf):
     return SD.read_search_docs(spark, path)
 
 
+@register("publish_upsert", f"""with {V3} {trend_sql('v3')}, d as ({DOCS_SQL})
+select _id, title, page_date, case when day(page_date) % 2 = 0 and title > '2' then page_views else page_views + 1000 end
+  as page_views, daily_trend, weekly_trend, monthly_trend from d""")
+def q_publish_upsert(spark, sf):
+    """All documents, then newer ones of some titles on the even days."""
+    path = fresh_path(spark, "docs_store")
+    docs = D.search_documents(T.trend_table(v3(spark, sf)))
+    SD.publish_search_docs(docs.withColumn("page_views", F.col("page_views") + 1000), path)
+    SD.publish_search_docs(docs.where((F.day("page_date") % 2 == 0) & (F.col("title") > "2")), path)
+    return SD.read_search_docs(spark, path)
+
+
 @register("delimited_table", f"with {V5} select * from lookup")
 def q_delimited_table(spark, sf):
     path = fresh_path(spark, "lookup_txt")

@@ -2,8 +2,10 @@
 
 Each statement line is split into its tuples with one quote-aware regex
 (a parenthesis inside a quoted string does not end a tuple), and each tuple
-is parsed with ``from_csv`` using ' as the quote and \\ as the escape. All of
-it is per-row Column work; a dump file of any size is read in parallel as
+into its values with another. Both use possessive repeats, which Java's
+matcher runs without recursion, so long strings do not exhaust the stack.
+Escapes in quoted strings are undone; only the bare word NULL is null. All
+of it is per-row Column work; a dump file of any size is read in parallel as
 text (uncompressed or splittable codecs split by size, gz by file).
 """
 
@@ -14,7 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # A tuple: '(' then any mix of non-quote/non-paren chars and quoted strings, ')'.
-TUPLE_PATTERN = r"\(((?:[^'()]|'(?:[^'\\]|\\.)*')*)\)"
+QUOTED = r"'[^'\\]*+(?:\\.[^'\\]*+)*+'"
+TUPLE_PATTERN = r"(?s)\(((?:[^'()]++|" + QUOTED + r")*+)\)"
+VALUE_PATTERN = r"(?s)" + QUOTED + r"|[^,']++"
+# What a backslash and a letter stand for; any other letter is itself.
+ESCAPED = {"n": "\n", "r": "\r", "t": "\t", "0": "\0", "b": "\b", "Z": "\x1a"}
 INSERT_PATTERN = r"^INSERT INTO `([^`]*)` VALUES "
 
 PAGE_SCHEMA = T.StructType([
@@ -47,12 +53,24 @@ def dump_tuples(lines: DataFrame, line_col: str = "value", table: str | None = N
                      F.explode(F.regexp_extract_all(v, F.lit(TUPLE_PATTERN), F.lit(1))).alias("tuple"))
 
 
+def _unescape(quoted):
+    """The string that a quoted value stands for; pairs of backslashes are
+    set apart first, so that the second of a pair escapes nothing."""
+    def piece(x):
+        for letter, char in ESCAPED.items():
+            x = F.replace(x, F.lit("\\" + letter), F.lit(char))
+        return F.regexp_replace(x, r"(?s)\\(.)", "$1")
+
+    inner = F.substring(quoted, F.lit(2), F.length(quoted) - 2)
+    return F.array_join(F.transform(F.split(inner, r"\\\\", -1), piece), "\\")
+
+
 def parse_tuples(tuples: DataFrame, schema: T.StructType, col: str = "tuple") -> DataFrame:
-    """Tuple text -> typed columns (quote ', escape \\); NULL for 'NULL'."""
-    opts = {"quote": "'", "escape": "\\", "nullValue": "NULL", "mode": "PERMISSIVE"}
-    parsed = F.from_csv(F.col(col), schema.simpleString().replace("struct<", "").rstrip(">")
-                        .replace(":", " "), opts)
-    return tuples.select(parsed.alias("_r")).select("_r.*")
+    """Tuple text -> typed columns."""
+    raw = F.regexp_extract_all(F.col(col), F.lit(VALUE_PATTERN), F.lit(0))
+    values = F.transform(raw, lambda x: F.when(x.startswith("'"), _unescape(x)).when(x != "NULL", x))
+    return tuples.select(values.alias("_v")).select(
+        *[F.get("_v", k).try_cast(f.dataType).alias(f.name) for k, f in enumerate(schema.fields)])
 
 
 def read_dump(spark: SparkSession, path: str, table: str, schema: T.StructType) -> DataFrame:
@@ -65,7 +83,9 @@ def to_dump_lines(rows: DataFrame, table: str, batch: str, cols: list[str],
     (a bounded group: the caller's batch key caps the tuples per line)."""
     def fmt(c):
         if c in quoted:
-            esc = F.regexp_replace(F.regexp_replace(F.col(c), r"\\", r"\\\\"), "'", r"\\'")
+            esc = F.col(c)
+            for plain, code in (("\\", "\\\\"), ("'", "\\'"), ("\n", "\\n"), ("\r", "\\r")):
+                esc = F.replace(esc, F.lit(plain), F.lit(code))
             return F.concat(F.lit("'"), esc, F.lit("'"))
         return F.col(c).cast("string")
     tup = F.concat(F.lit("("), F.concat_ws(",", *[fmt(c) for c in cols]), F.lit(")"))

@@ -66,7 +66,8 @@ def write_pagecount_files(lines: DataFrame, root: str, stamp: str = "stamp",
     ``src=pagecounts-YYYYMMDD-HHMMSS`` (the layout the reader accepts)."""
     src = F.concat(F.lit("pagecounts-"), F.substring(stamp, 1, 8), F.lit("-"),
                    F.substring(stamp, 9, 6))
-    (lines.select("value", src.alias("src")).repartition("src")
+    # large hours are split over tasks and files, small ones share a task
+    (lines.select("value", src.alias("src")).hint("rebalance", "src")
           .write.mode(mode).option("compression", compression)
           .partitionBy("src").text(root))
     return root

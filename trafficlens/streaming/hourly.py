@@ -16,6 +16,7 @@ State is bounded by the watermark (one row per open hour and title).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,10 +64,17 @@ def run_to_parquet(counts: DataFrame, out: str, checkpoint: str, available_now:
     return q
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def committed(spark: SparkSession, root: str, before: int | None = None) -> int | None:
+    """The newest batch (below ``before``) whose outputs are all written."""
+    try:
+        done = spark.read.schema("batch bigint").json(f"{root.rstrip('/')}/commits")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    if before is not None:
+        done = done.where(F.col("batch") < before)
+    return done.agg(F.max("batch")).first()[0]
 
 
 # stored closed hours; dt and batch are partition columns (typed here, not inferred)
@@ -80,6 +88,10 @@ class TimelineMerger:
       hourly/dt=<day>/batch=<id>   closed hours of each batch, by day
       timelines/version=<id>       merged timelines after batch <id>
       docs/version=<id>            documents of the titles batch <id> touched
+      commits/version=<id>         written last: the version is whole
+    A batch builds on the newest committed version before it; only batch 0
+    may start from an empty history, so a moved root or a lost version
+    stops the stream instead of publishing a history without its past.
     A batch rewrites only its own partitions (dynamic overwrite), and day
     totals are recomputed only for the (title, day) pairs it touched; the
     semi-join on the ``dt`` partition column lets Spark prune the other days.
@@ -104,9 +116,11 @@ class TimelineMerger:
                      .select("title", "dt", "views")
                      .join(touched, ["title", "dt"], "left_semi")
                      .groupBy("title", "dt").agg(F.sum("views").cast("bigint").alias("views")))
-        prev = self.timelines_path(batch_id - 1)
-        if batch_id > 0 and _exists(spark, prev):
-            history = spark.read.parquet(prev)
+        if batch_id > 0:
+            prev = committed(spark, self.root, before=batch_id)
+            if prev is None:
+                raise RuntimeError(f"no committed version before batch {batch_id} under {self.root}")
+            history = spark.read.parquet(self.timelines_path(prev))
         else:
             history = spark.createDataFrame(
                 [], "title string, dates array<string>, pageviews array<bigint>, total_pageviews bigint")
@@ -117,6 +131,8 @@ class TimelineMerger:
             touched.select("title").distinct(), "title", "left_semi")
         trends = trend_table(TL.timeline_points(fresh, key="title"))
         search_documents(trends).write.mode("overwrite").json(f"{self.root}/docs/version={batch_id}")
+        spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch")).coalesce(1) \
+            .write.mode("overwrite").json(f"{self.root}/commits/version={batch_id}")
 
 
 def run_merge(counts: DataFrame, root: str, checkpoint: str, available_now: bool = True):
@@ -130,7 +146,5 @@ def run_merge(counts: DataFrame, root: str, checkpoint: str, available_now: bool
 
 
 def latest_version(spark: SparkSession, root: str, what: str = "timelines") -> DataFrame:
-    """The newest written version of a merge output."""
-    df = spark.read.parquet(f"{root.rstrip('/')}/{what}")
-    top = df.select(F.max("version")).scalar()
-    return df.where(F.col("version") == top).drop("version")
+    """The newest committed version of a merge output."""
+    return spark.read.parquet(f"{root.rstrip('/')}/{what}/version={committed(spark, root)}")
