@@ -11,7 +11,9 @@ Defined cases: null and empty texts have no pieces and decode to the empty
 text; control symbols written in a text are ordinary characters; a text
 that holds the marker itself decodes with a space in its place (as the
 sentencepiece library does) and is flagged ``round_trip = false``; repeated
-rows encode alike; other columns are ignored.
+rows encode alike; other columns are ignored. A text that spells out the
+name of a byte symbol ("<0x41>") may differ under a unigram model, whose
+library form knows byte symbols by name: ``parity`` then says so.
 """
 
 from __future__ import annotations
@@ -69,7 +71,9 @@ def build(model: bytes, normalise: bool = True):
     m = parse(model)
     unk = m.pieces[m.trainer_spec.unk_id].piece
     if m.trainer_spec.model_type == UNIGRAM:
-        core = models.Unigram([(p.piece, p.score) for p in m.pieces], m.trainer_spec.unk_id,
+        # control symbols are never found in a text: their names are put out of reach
+        core = models.Unigram([(f"\U0010ffff{i}" if p.type == CONTROL else p.piece, p.score)
+                               for i, p in enumerate(m.pieces)], m.trainer_spec.unk_id,
                               m.trainer_spec.byte_fallback)
     elif m.trainer_spec.model_type == BPE:
         core = models.BPE(vocab={p.piece: i for i, p in enumerate(m.pieces)}, merges=_merges(m.pieces),

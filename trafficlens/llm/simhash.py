@@ -165,7 +165,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int = 2,
     prints = fingerprints(docs, shingle, seed).checkpoint()
     first = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))  # copies meet here, pre-aggregated
     named = first.join(groups_of(prints, max_distance), "fp")
-    group = named.groupBy("root").agg(F.min("first").alias("component_id"))
+    group = named.groupBy("root").agg(F.min("first").alias("component_id")).checkpoint()
     of_print = named.join(group, "root").select("fp", "component_id")
     return prints.join(of_print, "fp", "left").select("doc_id", "fp", "component_id")
 
@@ -186,7 +186,8 @@ def keep_one(docs: DataFrame, shingle: int = 3, max_distance: int = 2, seed: int
     rows = prints.groupBy("_llm_id", "_llm_rank", "fp").agg(F.count("*").alias("n"))
     rows = rows.join(groups_of(prints, max_distance), "fp").select(
         "root", "n", F.struct(F.col("_llm_id").isNull().alias("none"), "_llm_id", "_llm_rank").alias("k"))
-    best = rows.groupBy("root").agg(F.min("k").alias("best"))
+    # written first, so that the join below may split the rows of a large group
+    best = rows.groupBy("root").agg(F.min("k").alias("best")).checkpoint()
     # what must go: losers, and winners written more than once, which come back singly
     gone = rows.join(best, "root").withColumn("wins", F.col("k") == F.col("best")) \
         .filter(~F.col("wins") | (F.col("n") > 1)).select("k.*", "wins").drop("none").checkpoint()
