@@ -792,7 +792,7 @@ def q_publish_upsert(spark, sf):
     docs = D.search_documents(T.trend_table(v3(spark, sf)))
     SD.publish_search_docs(docs.withColumn("page_views", F.col("page_views") + 1000), path)
     SD.publish_search_docs(docs.where((F.day("page_date") % 2 == 0) & (F.col("title") > "2")), path)
-    return SD.read_search_docs(spark, path)
+    return SD.read_search_docs(spark, path).drop("part")
 
 
 @register("delimited_table", f"with {V5} select * from lookup")
