@@ -63,17 +63,20 @@ def repeated_units(docs: DataFrame, min_words: int) -> DataFrame:
     units = _units(docs, min_words).checkpoint()
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "n")
     first = units.groupBy("h").agg(F.min(rank).alias("first"), F.count("*").alias("times")) \
-        .filter("times > 1").select("h", "first")
+        .filter("times > 1").select("h", "first").checkpoint()  # so that the join may split a frequent line
     later = units.join(first, "h").filter(rank != F.col("first"))
     return later.groupBy("key").agg(F.collect_set(F.struct("n", "a", "b")).alias("removed"))
 
 
-def remove_repeats(docs: DataFrame, min_words: int = 5, broadcast_bytes: int = 8 << 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, min_words: int = 5, broadcast_bytes: int = 0) -> DataFrame:
     """doc_id, the remaining text, lines, removed lines and their spans
-    (``start:end`` in code points of the original text)."""
+    (``start:end`` in code points of the original text).
+
+    Texts and removals meet by a shuffle; ``broadcast_bytes`` allows the
+    removals to be broadcast instead when they are measured to be smaller."""
     gone = repeated_units(docs, min_words).checkpoint()
     rows, spans = gone.agg(F.count("*"), F.coalesce(F.sum(F.size("removed")), F.lit(0))).first()
-    if 64 * rows + 32 * spans <= broadcast_bytes:  # measured, else Spark shuffles both sides
+    if 64 * rows + 32 * spans <= broadcast_bytes:
         gone = F.broadcast(gone)
     lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
     out = F.array_sort(F.coalesce("removed", F.array().cast("array<struct<n:int,a:int,b:int>>")))
