@@ -36,6 +36,32 @@ def test_top_per_day_limits_before_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2  # partial (before Exchange) + final
 
 
+@pytest.mark.parametrize("key", ["top_24h", "top_30d", "recent_hours"])
+def test_time_window_reaches_the_scan(spark, key):
+    pushed = re.findall(r"PushedFilters: \[([^\]]*)\]", _plan(E.queries()[key](spark, SF)))
+    assert any("GreaterThanOrEqual(" in p for p in pushed), pushed
+
+
+@pytest.mark.parametrize("key", ["ns_filter", "lowercase_filter", "ext_filter", "strict_ext",
+                                 "space_filter", "blacklist", "valid_title", "clean_nonempty"])
+def test_title_rules_drop_rows(spark, key):
+    from trafficlens.plans import registered as R
+    assert E.queries()[key](spark, SF).count() < R.v6_pages(spark, SF).count()
+
+
+def test_every_reject_reason_occurs(spark):
+    got = {r.status for r in E.queries()["rejects"](spark, SF).collect()}
+    assert got == {"shape", "keyword", "title", "empty", "count"}
+
+
+def test_new_pages_enter_without_history(spark):
+    from trafficlens.operators import timelines as TL
+    from trafficlens.plans import registered as R
+    hist, new = R.split_history(R.v8_page_counts(spark, SF), R.v8(spark, SF), days=1500)
+    matched = TL.merge_timelines(TL.timelines_from_counts(hist), new)
+    assert matched.count() < E.queries()["timeline_merge_keep_new"](spark, SF).count()
+
+
 def test_scan_prunes_columns(spark):
     plan = _plan(E.queries()["daily_counts"](spark, SF))
     schema = re.search(r"ReadSchema: struct<([^>]*)>", plan).group(1)

@@ -34,9 +34,15 @@ def top_recent_hours(hourly: DataFrame, n: int = 10, hours: int = 24, as_of=None
     as_of = latest(hourly, ts) if as_of is None else F.lit(as_of).cast("timestamp_ntz")
     start = as_of - F.make_dt_interval(F.lit(0), F.lit(hours))
     recent = hourly.where((F.col(ts) > start) & (F.col(ts) <= as_of))
-    scored = rank_long(recent, key, ts, views)
-    return _top(scored, n, [F.col("daily_trend").desc(), F.col("total_pageviews").desc(),
-                            F.col(key).asc()])
+    return top_by(recent, n, "daily_trend", ts, key, views)
+
+
+def top_by(recent: DataFrame, n: int, score: str, order: str, key: str = "title",
+           views: str = "views") -> DataFrame:
+    """The ``n`` best titles of counts that already hold the window only
+    (cut on the raw rows by ``hour_range`` / ``day_range``)."""
+    scored = rank_long(recent, key, order, views)
+    return _top(scored, n, [F.col(score).desc(), F.col("total_pageviews").desc(), F.col(key).asc()])
 
 
 def top_recent_days(daily: DataFrame, n: int = 10, days: int = 30, as_of=None,
@@ -45,9 +51,7 @@ def top_recent_days(daily: DataFrame, n: int = 10, days: int = 30, as_of=None,
     day = F.to_date(F.col(dt), "yyyyMMdd")
     as_of = F.to_date(latest(daily, dt), "yyyyMMdd") if as_of is None else F.to_date(F.lit(as_of))
     recent = daily.where((day > F.date_sub(as_of, days)) & (day <= as_of))
-    scored = rank_long(recent, key, dt, views)
-    return _top(scored, n, [F.col("monthly_trend").desc(), F.col("total_pageviews").desc(),
-                            F.col(key).asc()])
+    return top_by(recent, n, "monthly_trend", dt, key, views)
 
 
 def _top(df: DataFrame, n: int, order: list[Column]) -> DataFrame:

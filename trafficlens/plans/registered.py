@@ -159,9 +159,24 @@ V7 = r"""v7 as (
   from (select doc_id, lang, n_chars, unnest(regexp_split_to_array(text, '[ \t\r\n]+')) as tok
         from documents))"""
 LINE_RE = "'^en (.*) ([0-9].*) ([0-9].*)'"
-NS_RE = "'" + X.namespace_pattern() + "'"
-EXT_RE = "'" + X.extension_pattern() + "'"
-BLACK = ", ".join("'" + b + "'" for b in X.BLACKLIST)
+V6 = r"""v6 as (
+  select doc_id, concat_ws(' ', lang,
+      case m when 0 then 'User_talk:' || tok when 1 then 'Wikipedia:' || tok when 2 then 'X' || tok || '.png'
+             when 3 then 'X' || tok || '.JPG' when 4 then 'Mexico' || tok when 5 then 'Big ' || tok
+             when 6 then 'Main_Page' when 7 then 'Search' when 8 then 'Caf%C3%A9_' || tok
+             when 9 then '%23' || tok when 10 then 'A%zz+' || tok when 11 then 'Big#' || tok
+             when 12 then 'T' || tok else tok end,
+      (doc_id % 97 + 1)::VARCHAR || case when m = 12 then 'x' else '' end, n_chars::VARCHAR) as value,
+    strftime(TIMESTAMP '2015-03-01 00:00:00'
+             + to_hours(((doc_id % 30) * 24 + (doc_id % 4) * 6)::BIGINT), '%Y%m%d%H%M%S') as stamp
+  from (select *, (doc_id + length(tok)) % 16 as m
+        from (select doc_id, lang, n_chars, unnest(regexp_split_to_array(text, '[ \t\r\n]+')) as tok
+              from documents)))"""
+# Fixed values that must equal the source behaviour, for the oracle alone.
+NS_RE = ("'^(Media|Special|Talk|User|User_talk|Project|Project_talk|File|File_talk|MediaWiki|MediaWiki_talk"
+         "|Template|Template_talk|Help|Help_talk|Category|Category_talk|Portal|Wikipedia|Wikipedia_talk):'")
+EXT_RE = "'^.*.(jpg|gif|png|JPG|GIF|PNG|txt|ico)'"
+BLACK = "'404_error/', 'Main_Page', 'Hypertext_Transfer_Protocol', 'Favicon.ico', 'Search'"
 
 
 def parsed_sql(src: str, keep: str, keyword: str | None = None) -> str:
@@ -198,17 +213,21 @@ def v7_lines(spark, sf):
     return B.token_lines(spark, sf)
 
 
+def v6_lines(spark, sf):
+    return B.tricky_lines(spark, sf)
+
+
 def v7_parsed(spark, sf):
     return X.parse_lines(v7_lines(spark, sf), keep=["doc_id", "stamp"])
 
 
-def v7_pages(spark, sf):
-    """en-shaped V7 lines -> (doc_id, page) (F1 then the page group)."""
-    lines = v7_lines(spark, sf).where(X.line_shape("value"))
+def v6_pages(spark, sf):
+    """en-shaped V6 lines -> (doc_id, page) (F1 then the page group)."""
+    lines = v6_lines(spark, sf).where(X.line_shape("value"))
     return lines.select("doc_id", X.line_group(F.col("value"), 1).alias("page"))
 
 
-V7_PAGES = f"v7p as (select doc_id, regexp_extract(value, {LINE_RE}, 1) as page from v7 " \
+V6_PAGES = f"v6p as (select doc_id, regexp_extract(value, {LINE_RE}, 1) as page from v6 " \
            f"where regexp_matches(value, {LINE_RE}))"
 
 
@@ -222,65 +241,67 @@ def q_parse_line(spark, sf):
     return v7_parsed(spark, sf)
 
 
+@register("parse_tricky", f"with {V6} {parsed_sql('v6', 'doc_id, stamp')} select * from parsed")
+def q_parse_tricky(spark, sf):
+    return X.parse_lines(v6_lines(spark, sf), keep=["doc_id", "stamp"])
+
+
 @register("keyword_filter", f"with {V7} select doc_id, value from v7 where contains(lower(value), 'the')")
 def q_keyword_filter(spark, sf):
     return v7_lines(spark, sf).where(X.keyword_in_line("value", "the")).select("doc_id", "value")
 
 
-@register("ns_filter", f"with {V7}, {V7_PAGES} select doc_id, page from v7p "
+@register("ns_filter", f"with {V6}, {V6_PAGES} select doc_id, page from v6p "
           f"where not regexp_matches(page, {NS_RE})")
 def q_ns_filter(spark, sf):
-    return v7_pages(spark, sf).where(~X.in_excluded_namespace("page"))
+    return v6_pages(spark, sf).where(~X.in_excluded_namespace("page"))
 
 
-@register("lowercase_filter", f"with {V7}, {V7_PAGES} select doc_id, page from v7p "
+@register("lowercase_filter", f"with {V6}, {V6_PAGES} select doc_id, page from v6p "
           "where not regexp_matches(page, '^[a-z]')")
 def q_lowercase_filter(spark, sf):
-    return v7_pages(spark, sf).where(~X.starts_lowercase("page"))
+    return v6_pages(spark, sf).where(~X.starts_lowercase("page"))
 
 
-@register("ext_filter", f"with {V7}, {V7_PAGES} select doc_id, page from v7p "
+@register("ext_filter", f"with {V6}, {V6_PAGES} select doc_id, page from v6p "
           f"where not regexp_matches(page, {EXT_RE})")
 def q_ext_filter(spark, sf):
-    return v7_pages(spark, sf).where(~X.looks_like_file("page"))
+    return v6_pages(spark, sf).where(~X.looks_like_file("page"))
 
 
-@register("space_filter", f"with {V4} , v4p as (select page_id, regexp_extract(value, {LINE_RE}, 1) as page "
-          f"from v4 where regexp_matches(value, {LINE_RE})) "
-          "select page_id, page from v4p where not contains(page, ' ')")
+@register("space_filter", f"with {V6}, {V6_PAGES} select doc_id, page from v6p "
+          "where not contains(page, ' ')")
 def q_space_filter(spark, sf):
-    lines = v4_lines(spark, sf).where(X.line_shape("value"))
-    pages = lines.select("page_id", X.line_group(F.col("value"), 1).alias("page"))
-    return pages.where(~X.has_space("page"))
+    return v6_pages(spark, sf).where(~X.has_space("page"))
 
 
-@register("blacklist", f"with {V7}, {V7_PAGES} select doc_id, page from v7p where page not in ({BLACK})")
+@register("blacklist", f"with {V6}, {V6_PAGES} select doc_id, page from v6p where page not in ({BLACK})")
 def q_blacklist(spark, sf):
-    return v7_pages(spark, sf).where(~X.blacklisted("page"))
+    return v6_pages(spark, sf).where(~X.blacklisted("page"))
 
 
-@register("valid_title", f"with {V7}, {V7_PAGES} select doc_id, page from v7p "
+@register("valid_title", f"with {V6}, {V6_PAGES} select doc_id, page from v6p "
           f"where not (regexp_matches(page, {NS_RE}) or regexp_matches(page, '^[a-z]') "
           f"or regexp_matches(page, {EXT_RE}) or contains(page, ' ') or page in ({BLACK}))")
 def q_valid_title(spark, sf):
-    return v7_pages(spark, sf).where(X.is_valid_title("page"))
+    return v6_pages(spark, sf).where(X.is_valid_title("page"))
 
 
-@register("clean_nonempty", f"with {V7} {parsed_sql('v7', 'doc_id, stamp')} "
+@register("clean_nonempty", f"with {V6} {parsed_sql('v6', 'doc_id, stamp')} "
           "select doc_id, title from parsed where status not in ('shape', 'title') "
           "and title <> '' and not starts_with(title, '#')")
 def q_clean_nonempty(spark, sf):
-    return X.accepted_lines(v7_lines(spark, sf), keep=["doc_id"], require_count=False) \
+    return X.accepted_lines(v6_lines(spark, sf), keep=["doc_id"], require_count=False) \
         .select("doc_id", "title")
 
 
-@register("scalar_title_clean", f"with {V7}, {V7_PAGES} select doc_id, page, "
+@register("scalar_title_clean", f"with {V6}, {V6_PAGES} select doc_id, page, "
           "replace(page, '+', ' ') as plus_spaced, url_decode(replace(page, '+', ' ')) as decoded, "
           "split_part(url_decode(replace(page, '+', ' ')), '#', 1) as title, "
           "trim(split_part(url_decode(replace(page, '+', ' ')), '#', 1)) as trimmed, "
-          "lower(split_part(url_decode(replace(page, '+', ' ')), '#', 1)) as lowered from v7p")
+          "lower(split_part(url_decode(replace(page, '+', ' ')), '#', 1)) as lowered from v6p")
 def q_scalar_title_clean(spark, sf):
-    p = v7_pages(spark, sf)
+    p = v6_pages(spark, sf)
     dec = X.url_decode_plus("page")
     return p.select("doc_id", "page", F.replace("page", F.lit("+"), F.lit(" ")).alias("plus_spaced"),
                     dec.alias("decoded"), X.cut_anchor(dec).alias("title"),
@@ -385,9 +406,14 @@ def q_consecutive_ratio(spark, sf):
                                 and ts <= (select max(ts) from v2))
 {rank_sql('recent', 'ts')}
 select *, row_number() over (order by daily_trend desc, total_pageviews desc, title)::INTEGER as rank
-from (select * from ranked order by daily_trend desc, total_pageviews desc, title limit 10)""")
+from (select * from ranked order by daily_trend desc, total_pageviews desc, title limit 3)""")
 def q_top_24h(spark, sf):
-    return rounded_rank(TN.top_recent_hours(v2(spark, sf), n=10, hours=24))
+    return rounded_rank(top_24h(spark, sf))
+
+
+def top_24h(spark, sf):
+    recent = C.hourly_counts(PC.hour_range(B.event_hits(spark, sf), 0, 23))
+    return TN.top_by(recent, 3, "daily_trend", "ts")
 
 
 @register("top_30d", f"""with {V3}
@@ -395,9 +421,44 @@ def q_top_24h(spark, sf):
                (select max(strptime(dt, '%Y%m%d'))::DATE from v3) - 30)
 {rank_sql('recent')}
 select *, row_number() over (order by monthly_trend desc, total_pageviews desc, title)::INTEGER as rank
-from (select * from ranked order by monthly_trend desc, total_pageviews desc, title limit 10)""")
+from (select * from ranked order by monthly_trend desc, total_pageviews desc, title limit 3)""")
 def q_top_30d(spark, sf):
-    return rounded_rank(TN.top_recent_days(v3(spark, sf), n=10, days=30))
+    return rounded_rank(top_30d(spark, sf))
+
+
+def top_30d(spark, sf):
+    recent = C.daily_counts(PC.day_range(B.order_hits(spark, sf), 30))
+    return TN.top_by(recent, 3, "monthly_trend", "dt")
+
+
+@register("top_30d_pages", f"""with {V8}
+, recent as (select * from v8 where strptime(dt, '%Y%m%d')::DATE >
+               (select max(strptime(dt, '%Y%m%d'))::DATE from v8) - 30)
+{rank_sql('recent')}
+select *, row_number() over (order by monthly_trend desc, total_pageviews desc, title)::INTEGER as rank
+from (select * from ranked order by monthly_trend desc, total_pageviews desc, title limit 10)""")
+def q_top_30d_pages(spark, sf):
+    return rounded_rank(TN.top_recent_days(v8(spark, sf), n=10, days=30))
+
+
+@register("forecast_trending", f"""with {V2}
+, recent as (select * from v2 where ts > (select max(ts) from v2) - interval 24 hour)
+{rank_sql('recent', 'ts')}
+, best as (select title from ranked order by daily_trend desc, total_pageviews desc, title limit 3)
+, pts as (select title, views::DOUBLE as y, (row_number() over (partition by title order by ts) - 1)::DOUBLE as x
+          from v2 where title in (select title from best))
+, fit as (select title, count(*)::BIGINT as n, regr_slope(y, x) as slope, regr_intercept(y, x) as intercept
+          from pts group by title)
+select title, n, round(slope, {FIT_DECIMALS}) as slope, round(intercept, {FIT_DECIMALS}) as intercept,
+  round(intercept + slope * (n - 1 + 1), {FIT_DECIMALS}) as forecast_1,
+  round(intercept + slope * (n - 1 + 24), {FIT_DECIMALS}) as forecast_24
+from fit""")
+def q_forecast_trending(spark, sf):
+    """T1 then M1: the hourly series of the titles trending now, carried on."""
+    series = v2(spark, sf).join(top_24h(spark, sf).select("title"), "title", "left_semi")
+    f = M.forecast(series, horizons=(1, 24), order="ts")
+    return f.select("title", "n", *[F.round(c, FIT_DECIMALS).alias(c)
+                                    for c in ("slope", "intercept", "forecast_1", "forecast_24")])
 
 
 @register("top_per_day", f"""with {V3} {trend_sql('v3')}
@@ -712,8 +773,7 @@ def q_union_sources(spark, sf):
 @register("recent_hours", f"""with {V2} select * from v2
 where ts >= (select max(ts) from v2) - interval 70 hour and ts <= (select max(ts) from v2) - interval 48 hour""")
 def q_recent_hours(spark, sf):
-    h = v2(spark, sf)
-    return PC.recent_hours(h, TN.latest(h, "ts"), 48, 70)
+    return C.hourly_counts(PC.hour_range(B.event_hits(spark, sf), 48, 70))
 
 
 V7_DAY = f"""{V7} {parsed_sql('v7', 'doc_id, stamp')}
@@ -740,10 +800,10 @@ def q_latest_trends(spark, sf):
     return BT.trends_from_lines(recent.drop("ts"), grain="hour")
 
 
-@register("rejects", f"with {V7} {parsed_sql('v7', 'doc_id, stamp')} "
+@register("rejects", f"with {V6} {parsed_sql('v6', 'doc_id, stamp', keyword='a')} "
           "select status, count(*)::BIGINT as n from parsed where status <> 'ok' group by status")
 def q_rejects(spark, sf):
-    return BT.rejects(v7_lines(spark, sf)).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    return BT.rejects(v6_lines(spark, sf), keyword="a").groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("trend_lines", f"""with {V3} {trend_sql('v3')}
@@ -829,10 +889,22 @@ def q_sql_view(spark, sf):
   || regexp_extract(name, 'pagecounts-([0-9]{8})-([0-9]{6})', 2), '%Y%m%d%H%M%S') as ts,
   (hour(strptime(regexp_extract(name, 'pagecounts-([0-9]{8})-([0-9]{6})', 1)
   || regexp_extract(name, 'pagecounts-([0-9]{8})-([0-9]{6})', 2), '%Y%m%d%H%M%S')) // 8)::INTEGER as shard
-from (select page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) as name from pages)
+from (select page_id, unnest(regexp_extract_all('<a href="pagecounts-' || strftime(
+    TIMESTAMP '2015-03-01 00:00:00' + to_hours((page_id % 72)::BIGINT), '%Y%m%d-%H%M%S') || '.gz">' || html,
+    'href="([^"]*)"', 1)) as name from pages)
 where starts_with(name, 'pagecounts-')""")
 def q_listing_manifest(spark, sf):
-    return MF.listing_manifest(B.table(spark, sf, "pages"))
+    return MF.listing_manifest(B.listing_pages(spark, sf))
+
+
+@register("missing_files", f"""with {V7}
+, h as (select distinct {TS_OF_STAMP} as ts from v7)
+select ts from (select unnest(generate_series((select min(ts) from h), (select max(ts) from h),
+                                              interval 1 hour)) as ts)
+where ts not in (select ts from h)""")
+def q_missing_files(spark, sf):
+    """Expected hourly files that are not there."""
+    return G.missing_hours(PC.file_hours(spark, staged(spark, v7_lines(spark, sf), "v7files")))
 
 
 @register("page_links", r"""select page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) as name from pages""")
@@ -895,10 +967,10 @@ def q_title_rule(spark, sf):
     return X.accepted_lines(v7_lines(spark, sf), keep=["doc_id"], extra_rule=lambda pg: F.length(pg) <= 8)
 
 
-@register("strict_ext", f"""with {V7}, {V7_PAGES} select doc_id, page from v7p
+@register("strict_ext", f"""with {V6}, {V6_PAGES} select doc_id, page from v6p
 where not regexp_matches(page, '\\.(jpg|gif|png|JPG|GIF|PNG|txt|ico)$')""")
 def q_strict_ext(spark, sf):
-    return v7_pages(spark, sf).where(~X.looks_like_file("page", strict=True))
+    return v6_pages(spark, sf).where(~X.looks_like_file("page", strict=True))
 
 
 @register("filled_trends", f"""with {V3}
@@ -916,7 +988,8 @@ select page_id, '[' || string_agg(dt, ',' order by dt) || ']' as dates,
   '[' || string_agg(views::VARCHAR, ',' order by dt) || ']' as pageviews,
   sum(views)::BIGINT as total_pageviews from cid group by page_id""")
 def q_timeline_merge_keep_new(spark, sf):
-    hist, new = split_history(v8_page_counts(spark, sf), v8(spark, sf))
+    # most of the history is the new batch, so many pages enter without any
+    hist, new = split_history(v8_page_counts(spark, sf), v8(spark, sf), days=1500)
     m = TL.merge_timelines(TL.timelines_from_counts(hist), new, keep_new=True)
     return m.select("page_id", S.json_array_text("dates").alias("dates"),
                     S.json_array_text("pageviews").alias("pageviews"), "total_pageviews")
@@ -936,7 +1009,7 @@ TOP30 = f"""with {V3}
                (select max(strptime(dt, '%Y%m%d'))::DATE from v3) - 30)
 {rank_sql('recent')}
 select *, row_number() over (order by monthly_trend desc, total_pageviews desc, title)::INTEGER as rank
-from (select * from ranked order by monthly_trend desc, total_pageviews desc, title limit 10)"""
+from (select * from ranked order by monthly_trend desc, total_pageviews desc, title limit 3)"""
 
 
 @register("report_export", TOP30)
@@ -944,7 +1017,7 @@ def q_report_export(spark, sf):
     """The top-30-days report (at most N rows, so one file is safe) exported
     as one tab-separated file and read back."""
     path = fresh_path(spark, "report")
-    top = rounded_rank(TN.top_recent_days(v3(spark, sf), n=10, days=30))
+    top = rounded_rank(top_30d(spark, sf))
     TT.write_delimited(top, path, sep="\t", single_file=True)
     return TT.read_delimited(spark, path, "title string, total_pageviews bigint, n bigint, "
                              "monthly_trend double, daily_trend double, error double, rank int",
@@ -959,6 +1032,19 @@ def q_search_docs_from_lines(spark, sf):
     return D.documents_from_series(series)
 
 
+@register("filled_docs_from_lines", f"""with {V3}
+, span as (select title, unnest(generate_series(min(strptime(dt, '%Y%m%d')), max(strptime(dt, '%Y%m%d')),
+           interval 1 day)) as d from v3 group by title)
+, v3f as (select s.title, strftime(s.d, '%Y%m%d') as dt, coalesce(v3.views, 0)::BIGINT as views
+          from span s left join v3 on v3.title = s.title and v3.dt = strftime(s.d, '%Y%m%d'))
+{trend_sql('v3f')} {DOCS_SQL}""")
+def q_filled_docs_from_lines(spark, sf):
+    """Series with zero counts (trends that are NULL) through the text."""
+    path = fresh_path(spark, "trendlines")
+    TLN.write_trend_lines(T.trend_table(G.fill_gaps(v3(spark, sf))), path)
+    return D.documents_from_series(TLN.read_trend_lines(spark, path).where(~F.col("bad")))
+
+
 @register("stream_docs", f"""with {V7_CLOSED}
 , d as (select title, strftime(ts, '%Y%m%d') as dt, sum(views)::BIGINT as views from closed group by 1, 2)
 {trend_sql('d')} {DOCS_SQL}""")

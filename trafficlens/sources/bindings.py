@@ -118,6 +118,38 @@ def token_lines(spark, sf_dir) -> DataFrame:
     return t.select("doc_id", F.concat("_pre", "token", "_suf").alias("value"), "stamp")
 
 
+def tricky_lines(spark, sf_dir) -> DataFrame:
+    """V6: the lines of V7 with every title decorated by ``(doc_id + token
+    length) % 16``, so that each cleaning rule meets lines it must drop or
+    change: namespaces, suffixes, spaces, excluded titles, escapes, anchors
+    and counts that are no number. No line of V7 is left out."""
+    d = table(spark, sf_dir, "documents")
+    hours = (F.col("doc_id") % 30) * 24 + (F.col("doc_id") % 4) * 6
+
+    def line(tok):
+        m = (F.col("doc_id") + F.length(tok)) % 16
+        pick = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), (m + 1).cast("int"))
+        head = pick(["User_talk:", "Wikipedia:", "X", "X", "Mexico", "Big ", "Main_Page", "Search",
+                     "Caf%C3%A9_", "%23", "A%zz+", "Big#", "T", "", "", ""])
+        tail = F.when(m == 2, ".png").when(m == 3, ".JPG").otherwise("")
+        title = F.concat(head, F.when(m.isin(6, 7), "").otherwise(tok), tail)
+        views = F.concat((F.col("doc_id") % 97 + 1).cast("string"), F.when(m == 12, "x").otherwise(""))
+        return F.concat_ws(" ", "lang", title, views, F.col("n_chars").cast("string"))
+
+    # built before the explode: the parse's filters then stop at it, not inline it
+    lines = F.transform(F.split("text", TOKEN_SPLIT), line)
+    return d.select("doc_id", F.explode(lines).alias("value"), _stamp(hours).alias("stamp"))
+
+
+def listing_pages(spark, sf_dir) -> DataFrame:
+    """Directory listings: every web page with a link to its hourly file
+    (the stamp of V4) put in front of its html."""
+    s = _stamp(F.col("page_id") % 72)
+    name = F.concat(F.lit("pagecounts-"), F.substring(s, 1, 8), F.lit("-"), F.substring(s, 9, 6), F.lit(".gz"))
+    return table(spark, sf_dir, "pages").select(
+        "page_id", F.concat(F.lit('<li><a href="'), name, F.lit('">'), name, F.lit("</a></li>"), "html").alias("html"))
+
+
 def token_line_stamps(spark, sf_dir) -> DataFrame:
     """The stamps of V7 without the token explode: every document yields at
     least one line (a split returns one or more fields), so the set of stamps

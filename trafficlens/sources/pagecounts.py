@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trafficlens.functions.scalars import file_stamp, stamp_to_ts
+from trafficlens.functions.scalars import file_stamp, hour_of, stamp_to_ts
 
 
 def read_pagecounts(spark: SparkSession, paths: str | Sequence[str], glob: str | None = None,
@@ -60,6 +60,36 @@ def recent_hours(df: DataFrame, as_of, first: int = 48, last: int = 70, ts: str
     return df.where((F.col(ts) >= lo) & (F.col(ts) <= hi))
 
 
+def hour_range(hits: DataFrame, first: int = 48, last: int = 70, ts: str = "ts") -> DataFrame:
+    """S3 on raw rows: those whose hour is ``first``..``last`` hours
+    (inclusive) before the hour of the latest row.
+
+    The lower bound is a scalar subquery compared with the stored column
+    itself, so it reaches the scan and only the range is aggregated. The upper
+    bound is counted from it: two different subqueries would be merged by
+    Spark into one of a struct, which is not pushed.
+    """
+    hour = hour_of(F.max(ts))
+    lo = hits.select((hour - F.make_dt_interval(F.lit(0), F.lit(last))).alias("lo")).scalar()
+    recent = hits.where(F.col(ts) >= lo)
+    if first <= 0:
+        return recent
+    return recent.where(F.col(ts) < lo + F.make_dt_interval(F.lit(0), F.lit(last - first + 1)))
+
+
+def day_range(hits: DataFrame, days: int, ts: str = "ts") -> DataFrame:
+    """Raw rows of the last ``days`` days up to the day of the latest row
+    (a bound on the stored column, as in ``hour_range``)."""
+    first = F.date_sub(F.max(ts).cast("date"), days - 1).cast(hits.schema[ts].dataType)
+    return hits.where(F.col(ts) >= hits.select(first.alias("lo")).scalar())
+
+
+def file_hours(spark: SparkSession, root: str) -> DataFrame:
+    """The hours (ts) for which there are files; no file is opened."""
+    paths = spark.read.format("binaryFile").load(root).select("path")
+    return paths.select(stamp_to_ts(file_stamp(F.col("path"))).alias("ts")).distinct()
+
+
 def write_pagecount_files(lines: DataFrame, root: str, stamp: str = "stamp",
                           compression: str = "gzip", mode: str = "overwrite") -> str:
     """Lay lines out as hourly page-count files, one directory per hour
@@ -78,5 +108,5 @@ def hour_glob(day: str) -> str:
     return f"src=pagecounts-{day}-*"
 
 
-__all__ = ["read_pagecounts", "union_sources", "recent_hours", "write_pagecount_files",
-           "hour_glob"]
+__all__ = ["read_pagecounts", "union_sources", "recent_hours", "hour_range", "day_range",
+           "file_hours", "write_pagecount_files", "hour_glob"]
