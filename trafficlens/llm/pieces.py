@@ -101,8 +101,10 @@ def build(model: bytes, normalise: bool = True):
 
 
 class Codec:
-    """Encoder of a task. ``parts`` maps a normalised part to its ids and
-    whether the sentencepiece library agrees and the part decodes to itself."""
+    """Encoder of a task. ``parts`` maps a part (a word and the spaces that
+    follow the one before it) to its ids, comma-joined; the parts on which the
+    sentencepiece library differs are ``odd``, those that do not decode to
+    themselves ``lossy``."""
 
     def __init__(self, model: bytes, threads: int):
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
@@ -115,37 +117,54 @@ class Codec:
         # parts can be checked one by one if normalising only marks spaces
         self.by_part = splits_at_marks(m.pieces) and plain.add_dummy_prefix and plain.escape_whitespaces \
             and not plain.precompiled_charsmap and not plain.remove_extra_whitespaces
-        self.part = re.compile(f"{MARK}+[^{MARK}]*")
-        self.parts: dict[str, tuple] = {}
+        self.parts: dict[str, str] = {}
+        self.odd: set[str] = set()
+        self.lossy: set[str] = set()
 
     def _learn(self, new: list[str]) -> None:
-        ids = [e.ids for e in self.core.encode_batch_fast(new, add_special_tokens=False)]
-        plain = [p.replace(MARK, " ")[1:] for p in new]  # their encoder puts the first marker itself
-        theirs = self.theirs.encode(plain, num_threads=1)
+        # their encoder puts the first marker itself
+        ids = [e.ids for e in self.core.encode_batch_fast([MARK + p.replace(" ", MARK) for p in new],
+                                                          add_special_tokens=False)]
+        theirs = self.theirs.encode(new, num_threads=1)
         back = self.core.decode_batch(ids, skip_special_tokens=False)
-        for p, i, q, t, b in zip(new, ids, plain, theirs, back):
-            # a part that is only the first marker has no text for their encoder to see
-            self.parts[p] = (np.array(i, np.int32), i == t if q else True, b == q)
-
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, bool, bool]]:
-        """(ids, parity, round trip) of each text."""
+        for p, i, t, b in zip(new, ids, theirs, back):
+            self.parts[p] = ",".join(map(str, i))
+            if p and i != t:  # a first marker alone has no text for their encoder to see
+                self.odd.add(p)
+            if b != p:
+                self.lossy.add(p)
+
+    @staticmethod
+    def split(text: str) -> list[str]:
+        """The parts of a text, each without its first marker."""
+        words = text.replace(MARK, " ").split(" ")
+        if "" not in words:
+            return words
+        return _PART.findall(" " + " ".join(words)) if text else []
+
+    def encode(self, texts: list[str]) -> list[tuple[str, bool, bool]]:
+        """(comma-joined ids, parity, round trip) of each text."""
         if not self.by_part:
             ids = [e.ids for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
             theirs = self.theirs.encode(texts, num_threads=1)
             back = self.whole.decode_batch(ids, skip_special_tokens=False)
-            return [(np.array(i, np.int32), i == t, b == x) for i, t, b, x in zip(ids, theirs, back, texts)]
-        split = [self.part.findall(MARK + x.replace(" ", MARK)) if x else [] for x in texts]
+            return [(",".join(map(str, i)), i == t, b == x) for i, t, b, x in zip(ids, theirs, back, texts)]
         if len(self.parts) > CACHE:
-            self.parts.clear()
-        new = list({p for s in split for p in s if p not in self.parts})
+            for known in (self.parts, self.odd, self.lossy):
+                known.clear()
+        split = [self.split(x) for x in texts]
+        new = set().union(*split).difference(self.parts)
         if new:
-            self._learn(new)
-        out = []
-        for x, s in zip(texts, split):
-            got = [self.parts[p] for p in s]
-            ids = np.concatenate([g[0] for g in got]) if got else np.zeros(0, np.int32)
-            out.append((ids, all(g[1] for g in got), all(g[2] for g in got) and MARK not in x))
-        return out
+            self._learn(list(new))
+        return [(",".join(map(self.parts.__getitem__, s)), self.odd.isdisjoint(s),
+                 MARK not in x and self.lossy.isdisjoint(s)) for x, s in zip(texts, split)]
+
+
+_PART = re.compile(" ( *[^ ]*)")
+
+
+def numbers(ids: str) -> np.ndarray:
+    return np.fromstring(ids, np.int32, sep=",") if ids else np.zeros(0, np.int32)
 
 
 def encode(docs: DataFrame, model: bytes, threads: int = 2) -> DataFrame:
@@ -167,11 +186,11 @@ def _encoded(docs, model, threads, digest):
         for batch in batches:
             for rows, texts in tb.chunks(batch):
                 got = codec.encode(texts.to_pylist())
-                ids = [pa.array([hashlib.sha256(",".join(map(str, g[0].tolist())).encode()).hexdigest()
-                                 for g in got], pa.string())] if digest else \
-                    [pa.array([g[0] for g in got], pa.list_(pa.int32()))]
+                ids = pa.array([hashlib.sha256(g[0].encode()).hexdigest() for g in got], pa.string()) if digest \
+                    else pa.array([numbers(g[0]) for g in got], pa.list_(pa.int32()))
+                count = [g[0].count(",") + 1 if g[0] else 0 for g in got]
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0).cast(pa.int64()), *ids, pa.array([len(g[0]) for g in got], pa.int64()),
+                    [rows.column(0).cast(pa.int64()), ids, pa.array(count, pa.int64()),
                      pa.array([g[1] for g in got]), pa.array([g[2] for g in got])],
                     names=["doc_id", "ids_sha256" if digest else "ids", "n_tokens", "parity", "round_trip"])
 
