@@ -49,6 +49,35 @@ def test_title_rules_drop_rows(spark, key):
     assert E.queries()[key](spark, SF).count() < R.v6_pages(spark, SF).count()
 
 
+def test_search_by_title_reads_one_bucket(spark, capsys):
+    auto = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+    spark.conf.set(auto, "false")  # the plan then names the buckets; files are pruned either way
+    try:
+        E.queries()["trend_of_title"](spark, SF).explain("formatted")
+    finally:
+        spark.conf.unset(auto)
+    assert "SelectedBucketsCount: 1 out of 16" in capsys.readouterr().out
+
+
+def test_entry_2_reads_the_files_of_its_hours(spark):
+    from trafficlens.plans import batch_trends as BT
+    from trafficlens.session import fresh_path
+    from trafficlens.sources import pagecounts as PC
+    root, out = fresh_path(spark, "t_latest"), fresh_path(spark, "t_latest_out")
+    lines = spark.createDataFrame([("en A 1 1", f"201503010{h}0000") for h in range(6)],
+                                  "value string, stamp string")
+    PC.write_pagecount_files(lines, root)
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = BT.run_latest(spark, root, out=out, first=2, last=3)
+        assert sorted(r.dt for r in df.collect()) == ["20150301020000", "20150301030000"]
+        assert _scan_metric(df._jdf.queryExecution().executedPlan(), "numFiles") == 2  # of 6
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    assert spark.read.text(out).count() == 1
+
+
 def test_every_reject_reason_occurs(spark):
     got = {r.status for r in E.queries()["rejects"](spark, SF).collect()}
     assert got == {"shape", "keyword", "title", "empty", "count"}

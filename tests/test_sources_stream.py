@@ -94,3 +94,26 @@ def test_stream_merge_across_runs(spark):
     HS.run_merge(HS.hourly_counts_stream(HS.line_stream(spark, root), delay="3 hours"), m, chk)
     t = {r.title: (r.dates, r.pageviews, r.total_pageviews) for r in HS.latest_version(spark, m).collect()}
     assert t == {"A": (["20150301", "20150302"], [4, 5], 9), "B": (["20150301"], [2], 2)}
+
+
+def test_stream_merge_three_runs_and_late_rows(spark):
+    """A run writes the days it touched only; documents before them are not
+    published again; lines of a closed hour are counted."""
+    root, m, chk = fresh_path(spark, "m3_in"), fresh_path(spark, "m3_root"), fresh_path(spark, "m3_chk")
+
+    def run(lines):
+        PC.write_pagecount_files(_lines(spark, lines), root, mode="append")
+        return HS.run_merge(HS.hourly_counts_stream(HS.line_stream(spark, root), delay="3 hours"), m, chk)
+
+    run([("en A 1 1", "20150301000000"), ("en B 2 1", "20150301010000"), ("en A 1 1", "20150301200000")])
+    run([("en A 5 1", "20150302000000"), ("en A 7 1", "20150302200000")])
+    assert HS.late_rows(run([("en B 9 1", "20150301020000"), ("en A 1 1", "20150303200000")])) == 1
+    t = {r.title: (r.dates, r.pageviews) for r in HS.latest_version(spark, m).collect()}
+    assert t == {"A": (["20150301", "20150302"], [2, 12]), "B": (["20150301"], [2])}
+    last = HS.committed(spark, m)
+    days = spark.read.schema(HS.DAYS_SCHEMA).parquet(f"{m}/days")
+    newest = days.where(F.col("batch") == days.agg(F.max("batch")).first()[0]).collect()
+    assert [(r.title, r.dt, r.views) for r in newest] == [("A", "20150302", 12)]
+    docs = spark.read.json(f"{m}/docs")
+    newest = docs.where(F.col("version") == docs.where("title is not null").agg(F.max("version")).first()[0])
+    assert {(r.title, r.page_date) for r in newest.collect()} == {("A", "2015-03-02")} and last is not None

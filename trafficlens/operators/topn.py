@@ -75,7 +75,9 @@ def top_per_day(trends: DataFrame, n: int = 10, key: str = "title", dt: str = "d
 
 def trend_search(trends: DataFrame, title: str | None = None, pattern: str | None = None,
                  key: str = "title") -> DataFrame:
-    """T4: all points of one title (exact) or of titles matching a regex."""
+    """T4: all points of one title (exact) or of titles matching a regex. On
+    a stored trend table bucketed by the title (``catalog.save_table``), the
+    exact form reads one bucket, and within it the row groups of the title."""
     if title is not None:
         return trends.where(F.col(key) == F.lit(title))
     return trends.where(F.col(key).rlike(pattern))

@@ -10,13 +10,14 @@ built from the same parse.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trafficlens.functions import titles as X
 from trafficlens.operators.trends import trend_table
-from trafficlens.sources.pagecounts import read_pagecounts
+from trafficlens.sources.pagecounts import file_hours, read_pagecounts
 from trafficlens.sources.trend_lines import write_trend_lines
 
 GRAIN_CHARS = {"day": 8, "hour": 14}
@@ -71,3 +72,15 @@ def run(spark: SparkSession, paths, out: str | None = None, grain: str = "day",
     if out:
         write_trend_lines(trends, out)
     return trends
+
+
+def run_latest(spark: SparkSession, root: str, out: str | None = None, first: int = 48, last: int = 70,
+               as_of=None, **rules) -> DataFrame:
+    """Entry 2: hourly trends of the files ``first``..``last`` hours back.
+
+    ``as_of`` (a datetime) is the hour of the newest file unless given; it is
+    found by listing, and only the files of the range are opened."""
+    if as_of is None:
+        as_of = file_hours(spark, root).agg(F.max("ts")).first()[0]
+    hours = (as_of - timedelta(hours=last), as_of - timedelta(hours=first))
+    return run(spark, root, out=out, grain="hour", hours=hours, **rules)

@@ -1,8 +1,9 @@
 """Entry 3: attach page ids to new day counts, merge them into the history
 timelines, score every page and project `pages` / `daily_trends`.
 
-One DAG; the scored table feeds two projections, so it is persisted
-(memory and disk: a lost executor recomputes its blocks from lineage).
+One DAG; the merged timelines are written and also scored, so they are
+persisted (memory and disk: a lost executor recomputes its blocks from
+lineage). Scores are arithmetic on a row's arrays.
 """
 
 from __future__ import annotations
@@ -35,14 +36,20 @@ def page_day_counts(day_counts: DataFrame, lookup: DataFrame) -> DataFrame:
 
 def merge_and_rank(history: DataFrame, day_counts: DataFrame, lookup: DataFrame,
                    pages: DataFrame, keep_new: bool = False, persist: bool = True) -> MergeResult:
-    counts = page_day_counts(day_counts, lookup)
+    return rank_merged(history, page_day_counts(day_counts, lookup), pages,
+                       L.unmatched_titles(day_counts, lookup), keep_new, persist)
+
+
+def rank_merged(history: DataFrame, counts: DataFrame, pages: DataFrame, unmatched: DataFrame,
+                keep_new: bool = False, persist: bool = True) -> MergeResult:
+    """As above, on counts that already have page ids: (page_id, dt, views)."""
     merged = TL.merge_timelines(history, counts, keep_new=keep_new)
+    if persist:
+        merged = merged.persist(StorageLevel.MEMORY_AND_DISK)
     scored = RK.rank_arrays(merged).select("page_id", "total_pageviews", "monthly_trend",
                                            "daily_trend", "error")
-    if persist:
-        scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
     return MergeResult(merged, scored, TL.attach_pages(pages, scored),
-                       TL.daily_trend_rows(pages, scored), L.unmatched_titles(day_counts, lookup))
+                       TL.daily_trend_rows(pages, scored), unmatched)
 
 
 def write_version(result: MergeResult, root: str, batch_id: int) -> str:
@@ -52,5 +59,5 @@ def write_version(result: MergeResult, root: str, batch_id: int) -> str:
     result.timelines.write.mode("overwrite").parquet(f"{out}/daily_timelines")
     result.pages.write.mode("overwrite").parquet(f"{out}/pages")
     result.daily_trends.write.mode("overwrite").parquet(f"{out}/daily_trends")
-    result.scored.unpersist()
+    result.timelines.unpersist()
     return out

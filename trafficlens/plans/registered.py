@@ -475,6 +475,19 @@ def q_trend_search(spark, sf):
     return TN.trend_search(T.trend_table(v3(spark, sf)), pattern="^[12]-")
 
 
+def stored_trends(spark, sf) -> DataFrame:
+    """The trend table, stored for searches by title."""
+    path = fresh_path(spark, "trends")
+    name = CT.save_table(T.trend_table(v3(spark, sf)), "tl_trends_" + path.rsplit("-", 1)[1],
+                         bucket_by=(16, "title"), path=path)
+    return spark.table(name)
+
+
+@register("trend_of_title", f"with {V3} {trend_sql('v3')} select * from trend where title = '1-URGENT'")
+def q_trend_of_title(spark, sf):
+    return TN.trend_search(stored_trends(spark, sf), title="1-URGENT")
+
+
 @register("forecast", f"""with {V1}
 , pts as (select title, views::DOUBLE as y, (row_number() over (partition by title order by dt) - 1)::DOUBLE as x
           from v1)
@@ -660,6 +673,13 @@ def v8_page_counts(spark, sf):
     return MR.page_day_counts(v8(spark, sf), v5_lookup(spark, sf))
 
 
+def stored_counts(spark, sf):
+    """V8 counts by page, written once: both halves of a merge read them."""
+    path = fresh_path(spark, "page_counts")
+    v8_page_counts(spark, sf).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def split_history(counts: DataFrame, as_of_source: DataFrame, days: int = 30):
     """History = all but the last ``days`` days; new batch = the last days.
     The time reference is the latest day of the input counts (a cheap scalar
@@ -679,7 +699,7 @@ select page_id, '[' || string_agg(dt, ',' order by dt) || ']' as dates,
   '[' || string_agg(views::VARCHAR, ',' order by dt) || ']' as pageviews,
   sum(views)::BIGINT as total_pageviews from merged group by page_id""")
 def q_timeline_merge(spark, sf):
-    hist, new = split_history(v8_page_counts(spark, sf), v8(spark, sf))
+    hist, new = split_history(stored_counts(spark, sf), v8(spark, sf))
     m = TL.merge_timelines(TL.timelines_from_counts(hist), new)
     return m.select("page_id", S.json_array_text("dates").alias("dates"),
                     S.json_array_text("pageviews").alias("pageviews"), "total_pageviews")
@@ -722,15 +742,10 @@ def _merge_result(spark, sf) -> "MR.MergeResult":
     """Entry 3 on the bindings: history = V8 days before the last 30, the
     new batch = V8 counts of the last 30 days entering by title."""
     v8c = v8(spark, sf)
-    lookup = v5_lookup(spark, sf)
-    counts = MR.page_day_counts(v8c, lookup)
-    hist, _ = split_history(counts, v8c)
-    cut_last = F.to_date(TN.latest(v8c, "dt"), "yyyyMMdd")
-    cut = F.date_format(F.date_sub(cut_last, 30), "yyyyMMdd")
-    new_titles = v8c.where(F.col("dt") > cut)
+    hist, new = split_history(stored_counts(spark, sf), v8c)
     page = L.main_namespace(B.wiki_page(spark, sf), "page_namespace")
-    return MR.merge_and_rank(TL.timelines_from_counts(hist), new_titles, lookup,
-                             TL.pages_table(page), persist=False)
+    return MR.rank_merged(TL.timelines_from_counts(hist), new, TL.pages_table(page),
+                          L.unmatched_titles(v8c, v5_lookup(spark, sf)), persist=False)
 
 
 # ----------------------------------------------------------------------------
@@ -794,10 +809,7 @@ def q_batch_trends(spark, sf):
 , v7h as (select title, stamp as dt, sum(views)::BIGINT as views from recent group by 1, 2)
 {trend_sql('v7h')} select * from trend""")
 def q_latest_trends(spark, sf):
-    lines = v7_lines(spark, sf).withColumn("ts", S.stamp_to_ts("stamp"))
-    stamps = B.token_line_stamps(spark, sf).select(S.stamp_to_ts("stamp").alias("ts"))
-    recent = PC.recent_hours(lines, TN.latest(stamps, "ts"), 48, 70)
-    return BT.trends_from_lines(recent.drop("ts"), grain="hour")
+    return BT.run_latest(spark, staged(spark, v7_lines(spark, sf), "v7files"))
 
 
 @register("rejects", f"with {V6} {parsed_sql('v6', 'doc_id, stamp', keyword='a')} "

@@ -15,9 +15,12 @@ def create_database(spark: SparkSession, name: str) -> None:
 
 
 def save_table(df: DataFrame, name: str, partition_by: list[str] | None = None,
-               bucket_by: tuple[int, str] | None = None) -> str:
-    """create/replace a table, optionally bucketed for co-located joins."""
+               bucket_by: tuple[int, str] | None = None, path: str | None = None) -> str:
+    """create/replace a table (at ``path``, if given), optionally
+    bucketed for co-located joins and single-key reads."""
     w = df.write.mode("overwrite").format("parquet")
+    if path:
+        w = w.option("path", path)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if bucket_by:

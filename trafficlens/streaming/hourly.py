@@ -5,17 +5,20 @@ R1  new files are picked up exactly once: file source + checkpoint,
 R2  hourly tumbling counts per title with an event-time watermark; append
     mode emits an hour once no later data can change it.
 R3  the watermark delay is the lateness rule (a parameter).
-R4  ``foreachBatch`` merges each batch into the daily timelines and writes a
-    new version keyed by the batch id; a replayed batch rewrites the same
-    version from the same inputs, so nothing is counted twice.
+R4  ``foreachBatch`` adds each batch to the stored days: the new totals of the
+    (title, day) pairs it touched, keyed by the batch id; a replayed batch
+    rewrites its own rows from the same inputs, so nothing is counted twice.
 R5  trends are recomputed only for titles the batch touched (semi-join).
-R6  their search documents are published (idempotent ids).
+R6  their search documents are published from the first touched day on
+    (idempotent ids).
 
 State is bounded by the watermark (one row per open hour and title).
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,56 +84,62 @@ def committed(spark: SparkSession, root: str, before: int | None = None) -> int
 HOURLY_SCHEMA = "title string, ts timestamp_ntz, views bigint, dt string, batch bigint"
 
 
+# totals of a day as of a batch; the newest batch of a (title, dt) holds
+DAYS_SCHEMA = "title string, views bigint, dt string, batch bigint"
+
+
+def stored_days(spark: SparkSession, root: str, upto: int) -> DataFrame:
+    """(title, dt, views) after batch ``upto``."""
+    days = spark.read.schema(DAYS_SCHEMA).parquet(f"{root.rstrip('/')}/days")
+    return (days.where(F.col("batch") <= upto)
+                .groupBy("title", "dt").agg(F.max_by("views", "batch").alias("views")))
+
+
 class TimelineMerger:
     """foreachBatch target for R4-R6, keyed by title.
 
     Layout under ``root``:
       hourly/dt=<day>/batch=<id>   closed hours of each batch, by day
-      timelines/version=<id>       merged timelines after batch <id>
-      docs/version=<id>            documents of the titles batch <id> touched
+      days/dt=<day>/batch=<id>     totals of the (title, day) pairs it touched
+      docs/version=<id>            documents of the touched titles, from the
+                                   first day the batch touched of each
       commits/version=<id>         written last: the version is whole
-    A batch builds on the newest committed version before it; only batch 0
-    may start from an empty history, so a moved root or a lost version
-    stops the stream instead of publishing a history without its past.
-    A batch rewrites only its own partitions (dynamic overwrite), and day
-    totals are recomputed only for the (title, day) pairs it touched; the
-    semi-join on the ``dt`` partition column lets Spark prune the other days.
+    A batch writes what it touched and no copy of the rest; the timelines of
+    a version are read from the days (``timelines``). Only batch 0 may start
+    from an empty history, so a moved root stops the stream instead of
+    publishing a history without its past. A batch rewrites only its own
+    partitions (dynamic overwrite), and reads the closed hours from its
+    earliest day on: a bound on the partition column.
     """
 
     def __init__(self, root: str):
         self.root = root.rstrip("/")
 
-    def timelines_path(self, batch_id: int) -> str:
-        return f"{self.root}/timelines/version={batch_id}"
+    def _write(self, rows: DataFrame, name: str, batch_id: int) -> str:
+        path = f"{self.root}/{name}"
+        (rows.withColumn("batch", F.lit(batch_id).cast("bigint"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("dt", "batch").parquet(path))
+        return path
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        hourly = f"{self.root}/hourly"
-        (batch.select("title", "ts", "views", F.date_format("ts", "yyyyMMdd").alias("dt"),
-                      F.lit(batch_id).cast("bigint").alias("batch"))
-              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy("dt", "batch").parquet(hourly))
-        hours = spark.read.schema(HOURLY_SCHEMA).parquet(hourly)
+        if batch_id > 0 and committed(spark, self.root, before=batch_id) is None:
+            raise RuntimeError(f"no committed version before batch {batch_id} under {self.root}")
+        hourly = self._write(batch.select("title", "ts", "views", F.date_format("ts", "yyyyMMdd").alias("dt")),
+                             "hourly", batch_id)
+        hours = spark.read.schema(HOURLY_SCHEMA).parquet(hourly).where(F.col("batch") <= batch_id)
         touched = hours.where(F.col("batch") == batch_id).select("title", "dt").distinct()
-        days = (hours.where(F.col("batch") <= batch_id)
-                     .select("title", "dt", "views")
+        earliest = touched.select(F.min("dt")).first()[0]  # one value; none without rows
+        days = (hours.where(F.col("dt") >= F.lit(earliest))
                      .join(touched, ["title", "dt"], "left_semi")
                      .groupBy("title", "dt").agg(F.sum("views").cast("bigint").alias("views")))
-        if batch_id > 0:
-            prev = committed(spark, self.root, before=batch_id)
-            if prev is None:
-                raise RuntimeError(f"no committed version before batch {batch_id} under {self.root}")
-            history = spark.read.parquet(self.timelines_path(prev))
-        else:
-            history = spark.createDataFrame(
-                [], "title string, dates array<string>, pageviews array<bigint>, total_pageviews bigint")
-        merged = TL.merge_timelines(history, days, keep_new=True, key="title")
-        merged.write.mode("overwrite").parquet(self.timelines_path(batch_id))
-        # Trends and documents for the touched titles only
-        fresh = spark.read.parquet(self.timelines_path(batch_id)).join(
-            touched.select("title").distinct(), "title", "left_semi")
-        trends = trend_table(TL.timeline_points(fresh, key="title"))
-        search_documents(trends).write.mode("overwrite").json(f"{self.root}/docs/version={batch_id}")
+        self._write(days, "days", batch_id)
+        # A changed day changes the trends of that day and of later ones
+        first = touched.groupBy("title").agg(F.min("dt").alias("_first"))
+        points = stored_days(spark, self.root, batch_id).join(first, "title", "left_semi")
+        changed = trend_table(points).join(first, "title").where(F.col("dt") >= F.col("_first")).drop("_first")
+        search_documents(changed).write.mode("overwrite").json(f"{self.root}/docs/version={batch_id}")
         spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch")).coalesce(1) \
             .write.mode("overwrite").json(f"{self.root}/commits/version={batch_id}")
 
@@ -145,6 +154,19 @@ def run_merge(counts: DataFrame, root: str, checkpoint: str, available_now: bool
     return s
 
 
-def latest_version(spark: SparkSession, root: str, what: str = "timelines") -> DataFrame:
-    """The newest committed version of a merge output."""
-    return spark.read.parquet(f"{root.rstrip('/')}/{what}/version={committed(spark, root)}")
+def late_rows(query) -> int:
+    """(title, hour) rows a query left out because their hour was closed, in
+    the progress reports it still holds (``numRecentProgressUpdates``). Hours
+    with late lines are counted anew by the batch entry over their files."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress
+               for op in json.loads(p.json)["stateOperators"])
+
+
+def timelines(spark: SparkSession, root: str, version: int) -> DataFrame:
+    """(title, dates, pageviews, total_pageviews) after batch ``version``."""
+    return TL.timelines_from_counts(stored_days(spark, root, version), key="title")
+
+
+def latest_version(spark: SparkSession, root: str) -> DataFrame:
+    """The timelines of the newest committed version."""
+    return timelines(spark, root, committed(spark, root))
