@@ -5,12 +5,13 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.oracle_compare import compare, duck
 from trafficlens.llm import pieces as P
 from trafficlens.llm import queries as Q
 from trafficlens.llm.quality import quality_model, score_quality
-from trafficlens.llm.secret_scan import scan_secrets
+from trafficlens.llm.secret_scan import HEX, matches, scan_secrets
 from trafficlens.llm.toxicity import drop_toxic, score_toxicity, toxicity_model
 from trafficlens.sources.bindings import table
 
@@ -66,6 +67,14 @@ def test_secrets(spark):
     assert scan_secrets(df.limit(0)).count() == 0
 
 
+def test_positions_of_many_matches(spark):
+    """More matches than a block of running totals."""
+    text = "é ".join(hashlib.sha1(str(i).encode()).hexdigest() for i in range(700))
+    got = spark.createDataFrame([(text,), ("",)], "text string").select(matches(F.col("text"), HEX).alias("s")).collect()
+    assert [(x.a, x.b, x.m) for x in got[0].s] == [(*m.span(), m[0]) for m in re.finditer("[0-9a-f]{16,}", text)]
+    assert got[1].s == []
+
+
 def unigram_model():
     """A small unigram model put together by hand."""
     from sentencepiece import sentencepiece_model_pb2 as proto

@@ -34,21 +34,44 @@ LETTERS = 67  # of TOKEN's alphabet, for smoothing
 GRID = 128  # a pair of ASCII letters is a cell of GRID x GRID
 
 
+BLOCK = 256  # matches whose positions are added up together
+
+
+def _let(value: Column, body) -> Column:
+    """body(value) with the value worked out once, also inside a lambda."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _running(parts: Column, at: Column, out: Column, width, item) -> Column:
+    """The items of ``parts`` with the running total of widths before each;
+    null items are left out."""
+    return F.aggregate(parts, F.struct(at.alias("at"), out.alias("out")), lambda acc, x: F.struct(
+        (acc["at"] + width(x)).alias("at"),
+        F.concat(acc["out"], F.array_compact(F.array(item(acc["at"], x)))).alias("out")), lambda acc: acc["out"])
+
+
 def matches(text: Column, pattern: str, may: Column | None = None) -> Column:
     """array<struct<a, b, m>>: start, end (code points) and text of every
-    leftmost non-overlapping match; ``may`` is a cheap necessary condition."""
+    leftmost non-overlapping match; ``may`` is a cheap necessary condition.
+
+    Running totals copy what they have so far, so they are taken over blocks
+    and then within each: a text of many matches stays cheap."""
     rx = F.lit(pattern)
     parts = F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, rx, F.lit(0)),
                        lambda gap, m: F.struct(F.length(gap).alias("gap"), m.alias("m")))
     empty = F.array().cast("array<struct<a:int,b:int,m:string>>")
-    start = F.struct(F.lit(0).alias("at"), empty.alias("out"))
-    summed = F.aggregate(parts, start, lambda acc, x: F.struct(
-        (acc["at"] + x["gap"] + F.coalesce(F.length(x["m"]), F.lit(0))).alias("at"),
-        F.when(x["m"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(F.struct(
-            (acc["at"] + x["gap"]).alias("a"), (acc["at"] + x["gap"] + F.length(x["m"])).alias("b"),
-            x["m"].alias("m"))))).alias("out")), lambda acc: acc["out"])
-    found = text.rlike(pattern)
-    return F.when(found if may is None else may & found, summed).otherwise(empty)
+    width = lambda x: x["gap"] + F.coalesce(F.length(x["m"]), F.lit(0))
+    span = lambda at, x: F.when(x["m"].isNotNull(), F.struct(
+        (at + x["gap"]).alias("a"), (at + x["gap"] + F.length(x["m"])).alias("b"), x["m"].alias("m")))
+    total = lambda block: F.aggregate(block, F.lit(0), lambda s, x: s + width(x))
+    blocks = lambda p: F.transform(F.sequence(F.lit(1), F.size(p), F.lit(BLOCK)),
+                                   lambda i: F.slice(p, i, F.lit(BLOCK)))
+    begins = lambda b: _running(F.transform(b, total), F.lit(0), F.array().cast("array<int>"),
+                                lambda w: w, lambda at, w: at)
+    found = _let(parts, lambda p: _let(blocks(p), lambda b: F.flatten(F.zip_with(
+        b, begins(b), lambda block, at: _running(block, at, empty, width, span)))))
+    some = text.rlike(pattern)
+    return F.when(some if may is None else may & some, found).otherwise(empty)
 
 
 def _found(docs: DataFrame) -> DataFrame:
@@ -61,8 +84,9 @@ def _found(docs: DataFrame) -> DataFrame:
         matches(F.col("text"), ACCESS, F.col("text").contains("AKIA")).alias("access"),
         matches(F.col("text"), HEX).alias("hex"),
         matches(F.col("text"), TOKEN).alias("token"))
-    base = F.concat("assign", "access", "hex")
-    outside = lambda t: ~F.exists(base, lambda s: (s["a"] < t["b"]) & (t["a"] < s["b"]))
+    # hex and access spans lie within one token: its own text shows them
+    outside = lambda t: ~(t["m"].rlike(HEX) | t["m"].rlike(ACCESS) | F.exists(
+        "assign", lambda s: (s["a"] < t["b"]) & (t["a"] < s["b"])))
     return got.withColumn("token", F.filter("token", outside))
 
 
