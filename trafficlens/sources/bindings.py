@@ -27,8 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin an input that scans into fewer partitions than the
     session has cores (one big file, one row group) before heavy per-row
-    work. Inputs that already split (many files, a real cluster) pass
-    through untouched; the check plans the scan but runs no job."""
+    work; the check plans the scan but runs no job."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)
@@ -150,14 +149,6 @@ def listing_pages(spark, sf_dir) -> DataFrame:
         "page_id", F.concat(F.lit('<li><a href="'), name, F.lit('">'), name, F.lit("</a></li>"), "html").alias("html"))
 
 
-def token_line_stamps(spark, sf_dir) -> DataFrame:
-    """The stamps of V7 without the token explode: every document yields at
-    least one line (a split returns one or more fields), so the set of stamps
-    (and their max) equals that of ``token_lines``."""
-    d = table(spark, sf_dir, "documents")
-    return d.select(_stamp((F.col("doc_id") % 30) * 24 + (F.col("doc_id") % 4) * 6).alias("stamp"))
-
-
 def wiki_page(spark, sf_dir) -> DataFrame:
     """V5 page: one wiki page per customer; every 10th key is outside ns 0."""
     c = table(spark, sf_dir, "customer")
