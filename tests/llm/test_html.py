@@ -46,3 +46,14 @@ def test_null_empty_repeated_and_extra_columns(spark):
 
 def test_stray_markup_is_text():
     assert Page("a < b <p>c</div>d").text(set()) == "a < b\n\nc d".replace("c d", "cd")
+
+
+def test_pages_with_an_article_count_in_the_tree(spark):
+    bar, low = "<div class='top'>Welcome to the site</div>", "<div class='low'>Always the same line</div>"
+    rows = [(i, f"http://site.example/{i}", f"{bar}<article><p>Story {i}</p></article><div class='note'>Beside {i}"
+                                            f"</div>{low}") for i in range(8)]
+    rows.append((99, "http://site.example/99", f"{bar}<div class='story'><p>No article here</p></div>{low}"))
+    got = texts(main_text(pages(spark, rows)))
+    assert got[99] == "No article here"
+    # beside an article the tree decides as well
+    assert all(got[i] == f"Story {i}\n\nBeside {i}" for i in range(8))

@@ -1,24 +1,27 @@
 """HTML main text with a site style tree.
 
 The DOMs of a host are merged: an element is known by the chain of its
-ancestors' tags and classes, their styles (the sequence of their children,
-runs of equal children taken together) and its place in it. Over the
-host's pages an element's presentation importance is the entropy of its
-styles, to the base of the pages that have it; a text block's content
-importance is 1 minus the entropy of its text over those pages, so text
-that all pages repeat has 0 and text of one page has 1. An element on a
-single page of its host has importance 1.
+ancestors' tags and classes and by its own. Every element and text block
+of every page counts, also those that a landmark decides, so a bar that a
+host repeats is known on a page of any layout. Over the pages of the host
+that have it, an element's presentation importance is the entropy of its
+styles (the sequence of its children, runs of equal children taken
+together), to the base of these pages; a text block's content importance
+is 1 minus the share log n / log m of the n among them with its text, so
+text that all m pages repeat has 0 and text of one page has 1. An element
+on a single page of its host has importance 1.
 
 Landmarks fix the importance where HTML names the role: navigation,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-comments have 0; the article (article, main) has 1, and where a page has
-one, everything beside it has 0. What no landmark decides is judged by the
-tree: a branch in which no element or text reaches the importance ``least``
-is removed.
+comments have 0; the article (article, main) has 1. What no landmark
+decides, also beside an article, is judged by the tree: a branch in which
+no element or text reaches the importance ``least`` is removed. The tree
+does not overrule a landmark: menus and adverts differ by page, and an
+article may be on several.
 
-Pages that landmarks decide wholly need nothing from the tree, so only the
-undecided nodes are counted and joined. Counts are pre-aggregated by
-(host, node, style or text); nothing is gathered by host alone.
+A page's nodes are one row of arrays; counts are pre-aggregated in each
+task by (host, node, style or text); nothing is gathered by host alone,
+and only the nodes of pages with undecided text are joined.
 
 Defined cases: null and empty html have no text; rows equal in url and
 html are one page in each count and each get a row; a null or odd url is
@@ -63,85 +66,71 @@ def _role(node: Node, inside_main: bool) -> int:
     return MAIN if node.tag in MAIN_TAGS or "main" in node.names()[-1:] else OPEN
 
 
-def _has_main(node: Node) -> bool:
-    role = _role(node, False)
-    return role == MAIN or role == OPEN and any(_has_main(c) for c in node.children if isinstance(c, Node))
-
-
 class Page:
-    """A page's blocks in order and its undecided nodes.
+    """A page's blocks in order and its nodes.
 
     ``blocks`` has (text, node or None): None is decided and kept. ``nodes``
-    has, for each undecided node, (parent, key, style, children are blocks):
-    its place in the merged tree and what it looks like on this page.
+    has (parent, key, look, is text, state) of every element and text block:
+    its place in the merged tree, what it looks like on this page and what
+    landmarks say of it.
     """
 
     def __init__(self, page: str):
         self.blocks: list[tuple[str, int | None]] = []
-        self.nodes: list[tuple[int, int, int]] = []
+        self.nodes: list[tuple[int, int, int, bool, int]] = []
         self._run: list[str] = []
         root = parse(page)
-        self._main_only = _has_main(root)
-        self._walk(root, False, -1, _number("#root"))
-        self._flush(-1, 0, True)
+        self._walk(root, OPEN, -1, _number("#root"))
 
-    def _flush(self, parent: int, key: int, kept: bool) -> None:
+    def _flush(self, parent: int, key: int, state: int) -> None:
         text = squeeze("".join(self._run))
         self._run = []
         if not text:
             return
-        if kept:
-            self.blocks.append((text, None))
-        elif not self._main_only:
-            self.nodes.append((parent, _number(key, "#text"), _number("text", text)))
-            self.blocks.append((text, len(self.nodes) - 1))
-
-    def _walk(self, node: Node, kept: bool, parent: int, key: int) -> None:
-        """``kept``: a landmark has decided for this branch."""
-        mine = parent
-        if not kept and not self._main_only:
-            looks = [c.signature() if isinstance(c, Node) else "#text" for c in node.children
-                     if isinstance(c, Node) or c.strip()]
-            style = _number("style", *[s for i, s in enumerate(looks) if not i or looks[i - 1] != s])
-            self.nodes.append((parent, key, style))
-            mine = len(self.nodes) - 1
-        place, last = 0, None
+        self.nodes.append((parent, _number(key, "#text"), _number("text", text), True, state))
+        if state != NOISE:
+            self.blocks.append((text, None if state == MAIN else len(self.nodes) - 1))
+
+    def _state(self, node: Node, state: int) -> int:
+        """The state of an element in a branch of ``state``."""
+        if state == NOISE:
+            return NOISE
+        role = _role(node, state == MAIN)
+        return role if role != OPEN else state
+
+    def _walk(self, node: Node, state: int, parent: int, key: int) -> None:
+        looks = [c.signature() if isinstance(c, Node) else "#text" for c in node.children
+                 if isinstance(c, Node) or c.strip()]
+        style = _number("style", *[s for i, s in enumerate(looks) if not i or looks[i - 1] != s])
+        self.nodes.append((parent, key, style, False, state))
+        mine = len(self.nodes) - 1
         for c in node.children:
             if not isinstance(c, Node):
                 self._run.append(c)
                 continue
-            role = _role(c, kept)
-            if c.signature() != last:
-                place, last = place + 1, c.signature()
-            block = c.tag in BLOCK
+            role = self._state(c, state)
             if c.tag == "br":
                 self._run.append(" ")
-            elif role == NOISE:
-                if block:
-                    self._flush(mine, key, kept)
-            elif block or role == MAIN:
-                self._flush(mine, key, kept)
-                style = self.nodes[mine][2] if mine >= 0 else 0
-                deeper = _number(key, style, place, c.signature()) if not self._main_only else 0
-                self._walk(c, kept or role == MAIN, mine, deeper)
-                self._flush(mine, deeper, kept or role == MAIN)
-            else:  # inline: its text belongs to the block around it
-                self._inline(c, mine, key, kept)
-        self._flush(mine, key, kept)
-
-    def _inline(self, node: Node, mine: int, key: int, kept: bool) -> None:
+            elif c.tag in BLOCK or role == MAIN != state:
+                self._flush(mine, key, state)
+                self._walk(c, role, mine, _number(key, c.signature()))
+            elif role == state:  # inline: its text belongs to the block around it
+                self._inline(c, mine, key, state)
+        self._flush(mine, key, state)
+
+    def _inline(self, node: Node, mine: int, key: int, state: int) -> None:
         for c in node.children:
             if not isinstance(c, Node):
                 self._run.append(c)
-            elif c.tag == "br":
-                self._run.append(" ")
-            elif _role(c, kept) == NOISE:
                 continue
+            role = self._state(c, state)
+            if c.tag == "br":
+                self._run.append(" ")
             elif c.tag in BLOCK:  # a block inside inline markup
-                self._flush(mine, key, kept)
-                self._walk(c, kept or _role(c, kept) == MAIN, mine, _number(key, "inline", c.signature()))
-            else:
-                self._inline(c, mine, key, kept)
+                self._flush(mine, key, state)
+                self._walk(c, role, mine, _number(key, "inline", c.signature()))
+            elif role != NOISE or state == NOISE:
+                self._inline(c, mine, key, state)
 
     def undecided(self) -> bool:
         return any(n is not None for _, n in self.blocks)
@@ -149,8 +138,8 @@ class Page:
     def text(self, low: set[int]) -> str:
         """The blocks that stay when the branches at ``low`` are removed."""
         gone = set(low)
-        for k, (parent, _, _) in enumerate(self.nodes):  # parents come before children
-            if parent in gone:
+        for k, (parent, _, _, _, state) in enumerate(self.nodes):  # parents come before children
+            if parent in gone and state != MAIN:
                 gone.add(k)
         return "\n\n".join(t for t, n in self.blocks if n is None or n not in gone)
 
@@ -161,40 +150,56 @@ def _keyed(pages: DataFrame) -> DataFrame:
                         F.xxhash64("url", "html").alias("key"), host.alias("host"))
 
 
-_NODE = pa.schema([("key", pa.int64()), ("host", pa.string()), ("number", pa.int32()), ("parent", pa.int32()),
-                   ("node", pa.int64()), ("look", pa.int64()), ("text", pa.bool_())])
+_NODE = pa.struct([("parent", pa.int32()), ("node", pa.int64()), ("look", pa.int64()), ("text", pa.bool_()),
+                   ("state", pa.int32()), ("first", pa.bool_()), ("new", pa.bool_())])
 
 
 def _nodes(pages: DataFrame) -> DataFrame:
-    """Undecided nodes of the pages that have undecided text."""
+    """One row a page: every node, ``first`` of its key on the page, ``new``
+    with its look; ``undecided``: a text needs the tree."""
     def run(batches):
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
-                rows, out = batch.slice(lo, 64).to_pylist(), []
-                for r in rows:
-                    page = Page(r["html"])
-                    if page.undecided():
-                        texts = {n for _, n in page.blocks if n is not None}
-                        out += [dict(key=r["key"], host=r["host"], number=k, parent=p, node=n, look=s, text=k in texts)
-                                for k, (p, n, s) in enumerate(page.nodes)]
-                yield pa.RecordBatch.from_pylist(out, schema=_NODE)
+                part = batch.slice(lo, 64)
+                rows, ends, undecided = [], [0], []
+                for html in part.column(2).to_pylist():
+                    page, keys, looks = Page(html), set(), set()
+                    for parent, key, look, text, state in page.nodes:
+                        one = (key, look, text)
+                        rows.append((parent, key, look, text, state, key not in keys, one not in looks))
+                        keys.add(key)
+                        looks.add(one)
+                    ends.append(len(rows))
+                    undecided.append(page.undecided())
+                nodes = pa.StructArray.from_arrays(
+                    [pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [()] * len(_NODE), _NODE)],
+                    fields=list(_NODE))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(undecided, pa.bool_()),
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), nodes)],
+                    names=["key", "host", "undecided", "nodes"])
 
     return _keyed(pages).select("key", "host", "html").mapInArrow(
-        run, "key bigint, host string, number int, parent int, node bigint, look bigint, text boolean")
+        run, "key bigint, host string, undecided boolean, nodes array<struct<parent:int,node:bigint,look:bigint,"
+             "text:boolean,state:int,first:boolean,new:boolean>>").dropDuplicates(["key"])  # a page counts once
 
 
 def importance(nodes: DataFrame) -> DataFrame:
-    """key, number, parent and the node's own importance on that page."""
-    once = nodes.select("host", "node", "look", "text", "key").distinct()  # a page counts once
-    looks = once.groupBy("host", "node", "look", "text").agg(F.count("*").alias("n"))
+    """key, number, parent and own importance of the undecided nodes."""
+    each = nodes.select("host", F.explode("nodes").alias("x")).filter("x.new").select("host", "x.*")
+    looks = each.groupBy("host", "node", "look", "text").agg(
+        F.count("*").alias("n"), F.sum(F.col("first").cast("long")).alias("pages"))
     tree = looks.groupBy("host", "node").agg(
-        F.sum("n").alias("m"), F.sum(F.col("n") * F.log2("n")).alias("nlogn"))
-    m = F.col("m").cast("double")
-    # styles: entropy to the base m; a text: 1 - log n / log m
+        F.sum("pages").alias("m"), F.sum("n").alias("total"), F.sum(F.col("n") * F.log2("n")).alias("nlogn"))
+    open_ = nodes.filter("undecided").select("key", "host", F.posexplode("nodes").alias("number", "x")) \
+        .filter(F.col("x.state") != NOISE).filter(F.col("x.state") != MAIN) \
+        .select("key", "host", "number", "x.parent", "x.node", "x.look", "x.text", "x.state")
+    m, total = F.col("m").cast("double"), F.col("total").cast("double")
+    # a text: 1 - log n / log m; styles: entropy to the base m, a page may have several
     own = F.when(m <= 1, 1.0).when(F.col("text"), 1 - F.log2("n") / F.log2(m)) \
-        .otherwise((F.log2(m) - F.col("nlogn") / m) / F.log2(m))
-    known = looks.join(tree, ["host", "node"]).select("host", "node", "look", "text", own.alias("own"))
-    return nodes.join(known, ["host", "node", "look", "text"]).select("key", "number", "parent", "own")
+        .otherwise(F.least(F.lit(1.0), (F.log2(total) - F.col("nlogn") / total) / F.log2(m)))
+    known = open_.join(looks, ["host", "node", "look", "text"]).join(tree, ["host", "node"])
+    return known.select("key", "number", "parent", own.alias("own"))
 
 
 def low_branches(nodes: DataFrame, least: float) -> DataFrame:
