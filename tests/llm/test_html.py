@@ -57,3 +57,27 @@ def test_pages_with_an_article_count_in_the_tree(spark):
     assert got[99] == "No article here"
     # beside an article the tree decides as well
     assert all(got[i] == f"Story {i}\n\nBeside {i}" for i in range(8))
+
+
+def test_names_inside_an_article_are_hints(spark):
+    lone = ("<article><h2 id='related-work'>Related</h2><h2 id='search-and-rescue'>Rescue</h2><p class='notice'>Note"
+            "</p><p id='header-files'>Files</p><header class='entry'><h1>Title</h1></header><pre>x <span "
+            "class='comment'># y</span></pre><div class='share'>tell</div></article>")
+    box = "<article><p>Story {i}, and a story it is</p><div class='widget'>{w}</div></article>"
+    rows = [(1, "http://lone.example/", lone)]
+    rows += [(10 + i, f"http://same.example/{i}", box.format(i=i, w="Share this")) for i in range(8)]
+    rows += [(20 + i, f"http://other.example/{i}", box.format(i=i, w=f"Figure {i}")) for i in range(8)]
+    got = texts(main_text(pages(spark, rows)))
+    assert got[1] == "Related\n\nRescue\n\nNote\n\nFiles\n\nTitle\n\nx # y"
+    assert all(got[10 + i] == f"Story {i}, and a story it is" for i in range(8))
+    assert all(got[20 + i] == f"Story {i}, and a story it is\n\nFigure {i}" for i in range(8))
+
+
+def test_wrappers_and_teasers_hide_nothing(spark):
+    form = "<form><div>Go</div><article><p>The story</p></article></form>"
+    plain = "<form><p>A long story without any article</p></form><form>Search</form>"
+    card = "<div><p>A long story beside a card, told in full</p></div><article>Card</article>"
+    got = texts(main_text(pages(spark, [(1, "http://a.example/", form), (2, "http://b.example/", plain),
+                                        (3, "http://c.example/", card)])))
+    assert got == {1: "Go\n\nThe story", 2: "A long story without any article",
+                   3: "A long story beside a card, told in full\n\nCard"}

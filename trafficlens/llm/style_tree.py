@@ -11,13 +11,20 @@ is 1 minus the share log n / log m of the n among them with its text, so
 text that all m pages repeat has 0 and text of one page has 1. An element
 on a single page of its host has importance 1.
 
-Landmarks fix the importance where HTML names the role: navigation,
-headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-comments have 0; the article (article, main) has 1. What no landmark
-decides, also beside an article, is judged by the tree: a branch in which
-no element or text reaches the importance ``least`` is removed. The tree
-does not overrule a landmark: menus and adverts differ by page, and an
-article may be on several.
+Landmarks fix the importance where HTML names the role by a tag or by a
+whole class, id or role: navigation, headers, footers, sidebars, notices,
+adverts, scripts, styles and comments have 0; the article (article, main)
+has 1. What no landmark decides, also beside an article, is judged by the
+tree: a branch in which no element or text reaches the importance
+``least`` is removed. The tree does not overrule a landmark: menus and
+adverts differ by page, and an article may be on several.
+
+Inside an article a name is only a hint, as is a form anywhere: the branch
+is judged by the tree with half its importance. Where the host has the
+node on one page only, there is nothing to judge by: a named line
+(heading, paragraph, item ...) stays, a named box or a form goes. A named
+box or a form that holds most of the page's text, and outside of articles
+the page's article if it has one, wraps the page and is no hint.
 
 A page's nodes are one row of arrays; counts are pre-aggregated in each
 task by (host, node, style or text); nothing is gathered by host alone,
@@ -40,15 +47,16 @@ from trafficlens.session import shared_root
 
 from .html_text import BLOCK, Node, parse, squeeze
 
-# Roles by element and by the words of class, id and role; fixed values.
-NOISE_TAGS = frozenset("nav header footer aside form script style noscript template iframe svg head button select "
+# Roles by element and by whole class, id and role; fixed values.
+NOISE_TAGS = frozenset("nav header footer aside script style noscript template iframe svg head button select "
                        "textarea input dialog menu object".split())
 NOISE_WORDS = frozenset("ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments cookie "
                         "cookies consent disqus footer header masthead menu modal nav navbar navigation newsletter "
                         "notice notices popup promo related reply replies share sharing sidebar social sponsor "
                         "sponsored subscribe toolbar widget contentinfo complementary search".split())
 MAIN_TAGS = frozenset(("article", "main"))
-NOISE, MAIN, OPEN = 0, 1, 2
+LINES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre table tr td th caption figcaption".split())
+NOISE, MAIN, OPEN, LINE_HINT, BOX_HINT = range(5)
 
 
 def _number(*parts) -> int:
@@ -56,14 +64,14 @@ def _number(*parts) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
 
 
-def _role(node: Node, inside_main: bool) -> int:
-    if node.tag in ("html", "body", "#root"):
-        return OPEN
-    if node.tag in NOISE_TAGS and not (node.tag == "header" and inside_main and not node.names()):
-        return NOISE
-    if not NOISE_WORDS.isdisjoint(node.names()):
-        return NOISE
-    return MAIN if node.tag in MAIN_TAGS or "main" in node.names()[-1:] else OPEN
+def _tokens(node: Node) -> set[str]:
+    """The whole id, and each class and role."""
+    text = " ".join((node.attrs.get("class", ""), node.attrs.get("role", ""))).lower()
+    return {*text.split(), node.attrs.get("id", "").strip().lower()}
+
+
+def _main(node: Node) -> bool:
+    return node.tag in MAIN_TAGS or "main" in node.names()[-1:]
 
 
 class Page:
@@ -79,7 +87,9 @@ class Page:
         self.blocks: list[tuple[str, int | None]] = []
         self.nodes: list[tuple[int, int, int, bool, int]] = []
         self._run: list[str] = []
+        self._sizes: dict[int, tuple[int, bool]] = {}
         root = parse(page)
+        self._all = self._size(root)
         self._walk(root, OPEN, -1, _number("#root"))
 
     def _flush(self, parent: int, key: int, state: int) -> None:
@@ -91,12 +101,43 @@ class Page:
         if state != NOISE:
             self.blocks.append((text, None if state == MAIN else len(self.nodes) - 1))
 
+    def _size(self, node: Node) -> tuple[int, bool]:
+        """Characters outside noise tags, and whether a main element is inside."""
+        chars, main = 0, False
+        for c in node.children:
+            if not isinstance(c, Node):
+                chars += len(c.strip())
+            elif c.tag not in NOISE_TAGS or c.tag == "header":
+                n, m = self._size(c)
+                chars, main = chars + n, main or m or _main(c)
+        if node.children:
+            self._sizes[id(node)] = chars, main
+        return chars, main
+
+    def _wraps(self, node: Node, inside: bool) -> bool:
+        """Holds most of the page's text, and its main element if outside one."""
+        chars, main = self._sizes.get(id(node), (0, False))
+        return 2 * chars > self._all[0] and (inside or main or not self._all[1])
+
     def _state(self, node: Node, state: int) -> int:
         """The state of an element in a branch of ``state``."""
-        if state == NOISE:
+        if state == NOISE or node.tag in ("html", "body"):
+            return state
+        if node.tag in NOISE_TAGS and not (node.tag == "header" and state != OPEN):
+            return NOISE
+        if state in (LINE_HINT, BOX_HINT):
+            return state
+        named = bool(node.attrs) and not NOISE_WORDS.isdisjoint(_tokens(node))
+        if state == MAIN:
+            if (named and node.tag in BLOCK or node.tag == "form") and not self._wraps(node, True):
+                return LINE_HINT if node.tag in LINES else BOX_HINT
+            return MAIN
+        if node.tag == "form":
+            holds = self._sizes.get(id(node), (0, False))[1]
+            return OPEN if holds or self._wraps(node, False) else BOX_HINT
+        if named and not self._wraps(node, False):
             return NOISE
-        role = _role(node, state == MAIN)
-        return role if role != OPEN else state
+        return MAIN if _main(node) else OPEN
 
     def _walk(self, node: Node, state: int, parent: int, key: int) -> None:
         looks = [c.signature() if isinstance(c, Node) else "#text" for c in node.children
@@ -194,10 +235,13 @@ def importance(nodes: DataFrame) -> DataFrame:
     open_ = nodes.filter("undecided").select("key", "host", F.posexplode("nodes").alias("number", "x")) \
         .filter(F.col("x.state") != NOISE).filter(F.col("x.state") != MAIN) \
         .select("key", "host", "number", "x.parent", "x.node", "x.look", "x.text", "x.state")
+    hint = F.col("state") != OPEN
     m, total = F.col("m").cast("double"), F.col("total").cast("double")
     # a text: 1 - log n / log m; styles: entropy to the base m, a page may have several
-    own = F.when(m <= 1, 1.0).when(F.col("text"), 1 - F.log2("n") / F.log2(m)) \
+    own = F.when(m <= 1, F.when(F.col("state") == BOX_HINT, 0.0).otherwise(1.0)) \
+        .when(F.col("text"), 1 - F.log2("n") / F.log2(m)) \
         .otherwise(F.least(F.lit(1.0), (F.log2(total) - F.col("nlogn") / total) / F.log2(m)))
+    own = F.when(hint & (m > 1), own / 2).otherwise(own)
     known = open_.join(looks, ["host", "node", "look", "text"]).join(tree, ["host", "node"])
     return known.select("key", "number", "parent", own.alias("own"))
 
