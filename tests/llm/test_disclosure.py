@@ -75,3 +75,21 @@ def test_sanitise(spark, limit):
 
 def test_overlapping_spans():
     assert redact("x 1.2.3.4 y", [{"a": 2, "b": 5, "removed": False}]) == "x [IP] y"
+
+
+@pytest.mark.parametrize("limit", [0, 8 << 20])
+def test_a_disclosing_term_is_masked_wherever_it_stands(spark, limit):
+    rows = [(i, f"Quibbly wrote\nzor@bax.example for Zorblax{' again' * (i % 2)}\n\nzorblax it is") for i in range(9)]
+    rows += [(20, "only Zorblax, without the address"), (21, "nobody here")]
+    rows += [(30 + i, f"wrote again for it, only without the address here {i}") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.text for r in sanitise(df, broadcast_bytes=limit).collect()}
+    # 10 documents hold Zorblax, 9 of them the address; Quibbly stands on the line above it
+    assert got[0] == " wrote\n[EMAIL] for \n\n it is"
+    assert got[20] == "only , without the address" and got[21] == "nobody here" and got[30] == rows[11][1]
+    spans = {r.doc_id: r.spans for r in find_pii(df, broadcast_bytes=limit).collect()}
+    assert spans[0] == "email:14:29,term:0:7,term:34:41,term:43:50" and spans[20] == "term:5:12"
+    assert spans[21] == spans[30] == ""
+    # between the two bounds a term is generalised
+    got = {r.doc_id: r.text for r in sanitise(df, broadcast_bytes=limit, remove_at=0.99).collect()}
+    assert got[20] == "only [TERM], without the address"

@@ -1,13 +1,19 @@
 """PII: base patterns and information-theoretic sanitisation.
 
-Base spans (email, ip, card, phone) are found in every whole text. Around
-each, the terms of the same line within ``window`` words are its context.
-Over the whole corpus, N documents, the information that a term t gives
-about a protected entity e is PMI(e; t) = log2(P(e, t) / (P(e) P(t))); its
+Base spans (email, ip, card, phone) are found in every whole text and name
+the protected entities. Over the whole corpus, N documents, the information
+that a term t gives about an entity e is PMI(e; t) = log2(P(e, t) / (P(e)
+P(t))), by documents that hold both, the term outside of base spans; its
 share of the entity's own information -log2 P(e) is the disclosure, 1 when
 every document of t holds e. A term met with an entity in ``min_support``
 documents or more is generalised from ``generalise_at`` on and removed
-from ``remove_at`` on, wherever it stands in the context of that entity.
+from ``remove_at`` on, by its highest disclosure: at every place of every
+document, with or without the entity, for there it tells of it.
+
+Pairs are counted for entities of ``min_support`` documents only. The
+distinct terms of all documents meet the disclosing ones by term: by
+broadcast where these are measured small, else shuffled, with salt, for
+frequent terms.
 
 Defined cases: a null text is empty and has no spans; every row is a
 document, so repeated rows support a disclosure; an entity that all
@@ -66,7 +72,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     if not _MAYBE.search(text):
         return []
     out = [("email", a, b) for a, b in _emails(text)]
-    out += [("ip", *m.span()) for m in _IP.finditer(text) if all(_small(p) for p in m[0].split("."))]
+    out += [("ip", *m.span()) for m in _IP.finditer(text) if all(_octet(p) for p in m[0].split("."))]
     for m in _CARD.finditer(text):
         digits = m[0].replace(" ", "").replace("-", "")
         if 13 <= len(digits) <= 19 and luhn(digits):
@@ -77,7 +83,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def _small(part: str) -> bool:
+def _octet(part: str) -> bool:
     part = part.lstrip("0")
     return len(part) <= 3 and int(part or 0) <= 255
 
@@ -95,48 +101,46 @@ def _number(word: str) -> int:
     return int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little", signed=True)
 
 
-def _context(text: str, spans, window: int):
-    """(entity, term, start, end) of the words near each mention, on its line."""
-    for kind, a, b in spans:
-        e = _number(entity(kind, text[a:b]))
-        line0 = text.rfind("\n", 0, a) + 1
-        line1 = text.find("\n", b)
-        line1 = len(text) if line1 < 0 else line1
-        # enough room for the window's words, whole words only
-        left = [m.span() for m in _WORD.finditer(text, max(line0, a - 40 * window), a)][-window:]
-        right = [m.span() for m in _WORD.finditer(text, b, min(line1, b + 40 * window))][:window]
-        for s, t in left + right:
-            if not any(x < t and s < y for _, x, y in spans):
-                yield e, _number(text[s:t].lower()), s, t
-        if not left and not right:
-            yield e, None, a, a
+def _terms(text: str) -> set[str]:
+    return {w.lower() for w in set(_WORD.findall(text))}
+
+
+def _outside(text: str, spans) -> list[tuple[int, int]]:
+    """Places of the words that no base span touches."""
+    inside, out, at = sorted((a, b) for _, a, b in spans), [], 0
+    end = 0  # of the spans that start before the word's end
+    for m in _WORD.finditer(text):
+        s, t = m.span()
+        while at < len(inside) and inside[at][0] < t:
+            end = max(end, inside[at][1])
+            at += 1
+        if end <= s:
+            out.append((s, t))
+    return out
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
 
 
-def _contexts(docs: DataFrame, window: int) -> DataFrame:
-    """key, e, t, spans: one row per document row, entity and term."""
-    def run(batches):
-        for batch in batches:
-            keys = batch.column(2)
-            out = []
-            for key, text in zip(keys.to_pylist(), tb.text_column(batch, "text").to_pylist()):
-                spans = base_spans(text)
-                if spans:
-                    found: dict = {}
-                    for e, t, a, b in _context(text, spans, window):
-                        found.setdefault((e, t), set()).add((a, b))
-                    out += [{"key": key, "e": e, "t": t, "spans": [{"a": a, "b": b} for a, b in sorted(s)]}
-                            for (e, t), s in found.items()]
-            yield pa.RecordBatch.from_pylist(out, schema=_CONTEXT)
+def _lists(values) -> pa.ListArray:
+    return pa.array(values, pa.list_(pa.int64()))
 
-    return _keyed(docs).mapInArrow(run, "key bigint, e bigint, t bigint, spans array<struct<a:int,b:int>>")
 
+def _mentions(docs: DataFrame) -> DataFrame:
+    """es, ts: entities and terms of every document row with an entity."""
+    def run(batches):
+        for batch in batches:
+            for _, texts in tb.chunks(batch):
+                es, ts = [], []
+                for text in texts.to_pylist():
+                    spans = base_spans(text)
+                    if spans:
+                        es.append([_number(e) for e in {entity(k, text[a:b]) for k, a, b in spans}])
+                        ts.append([_number(w) for w in {text[a:b].lower() for a, b in _outside(text, spans)}])
+                yield pa.RecordBatch.from_arrays([_lists(es), _lists(ts)], names=["es", "ts"])
 
-_CONTEXT = pa.schema([("key", pa.int64()), ("e", pa.int64()), ("t", pa.int64()),
-                      ("spans", pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))])
+    return docs.select("text").mapInArrow(run, "es array<bigint>, ts array<bigint>")
 
 
 def term_documents(docs: DataFrame) -> DataFrame:
@@ -146,7 +150,7 @@ def term_documents(docs: DataFrame) -> DataFrame:
             for _, texts in tb.chunks(batch):
                 n: dict[str, int] = {}
                 for text in texts.to_pylist():
-                    for w in set(_WORD.findall(text.lower())):
+                    for w in _terms(text):
                         n[w] = n.get(w, 0) + 1
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([_number(w) for w in n], pa.int64()), pa.array(list(n.values()), pa.int64())],
@@ -155,25 +159,69 @@ def term_documents(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "t bigint, n bigint").groupBy("t").agg(F.sum("n").alias("n"))
 
 
-def disclosing_terms(docs: DataFrame, window: int = 6, min_support: int = 2,
-                     generalise_at: float = 0.8, remove_at: float = 0.95) -> DataFrame:
-    """key, terms: the context spans (a, b, removed) of each document row
-    whose term discloses its entity beyond the thresholds."""
-    shared_root(docs.sparkSession)
-    context = _contexts(docs, window).checkpoint()
+def telling_terms(docs: DataFrame, min_support: int = 2, generalise_at: float = 0.8) -> DataFrame:
+    """t, share: the terms that disclose an entity, by their highest share."""
+    mentions = _mentions(docs).checkpoint()
     total = docs.count()
-    # a row of the context is a (document row, entity, term); equal rows repeat it
-    copies = context.groupBy("key", "e", "t").agg(F.count("*").alias("c"))
-    holds = copies.groupBy("key", "e").agg(F.max("c").alias("c")).groupBy("e").agg(F.sum("c").alias("n_e"))
-    pairs = copies.filter("t is not null").groupBy("e", "t").agg(F.sum("c").alias("n_et")) \
+    holds = mentions.select(F.explode("es").alias("e")).groupBy("e").agg(F.count("*").alias("n_e")) \
+        .filter(F.col("n_e") >= min_support)
+    pairs = mentions.select(F.explode("es").alias("e"), "ts").join(holds, "e") \
+        .select("e", "n_e", F.explode("ts").alias("t")) \
+        .groupBy("e", "t").agg(F.count("*").alias("n_et"), F.first("n_e").alias("n_e")) \
         .filter(F.col("n_et") >= min_support)
     own = F.log2(F.lit(float(total)) / F.col("n_e"))
     share = F.when(own > 0, F.least(F.lit(1.0), 1 + F.log2(F.col("n_et") / F.col("n")) / own)).otherwise(0.0)
-    telling = pairs.join(holds, "e").join(term_documents(docs), "t").select("e", "t", share.alias("share")) \
-        .filter(F.col("share") >= generalise_at)
-    spans = context.join(telling, ["e", "t"]).select("key", F.explode("spans").alias("s"), "share")
-    return spans.groupBy("key").agg(F.collect_set(F.struct(
-        "s.a", "s.b", (F.col("share") >= remove_at).alias("removed"))).alias("terms")).checkpoint()
+    return pairs.join(term_documents(docs), "t").select("t", share.alias("share")) \
+        .groupBy("t").agg(F.max("share").alias("share")).filter(F.col("share") >= generalise_at)
+
+
+def _held(docs: DataFrame) -> DataFrame:
+    """key, t: the distinct terms of every document row."""
+    def run(batches):
+        for batch in batches:
+            for rows, texts in tb.chunks(batch):
+                number: dict[str, int] = {}
+                out = []
+                for text in texts.to_pylist():
+                    words = _terms(text)
+                    for w in words:
+                        if w not in number:
+                            number[w] = _number(w)
+                    out.append([number[w] for w in words])
+                yield pa.RecordBatch.from_arrays([rows.column(2), _lists(out)], names=["key", "ts"])
+
+    return _keyed(docs).mapInArrow(run, "key bigint, ts array<bigint>").select("key", F.explode("ts").alias("t"))
+
+
+def disclosing_terms(docs: DataFrame, min_support: int = 2, generalise_at: float = 0.8, remove_at: float = 0.95,
+                     broadcast_bytes: int = 8 << 20, salt: int = 16) -> DataFrame:
+    """key, terms: the disclosing terms (t, removed) that each document holds."""
+    shared_root(docs.sparkSession)
+    telling = telling_terms(docs, min_support, generalise_at).checkpoint()
+    if 16 * telling.count() <= broadcast_bytes:  # measured, else Spark shuffles both sides
+        held = _held(docs).join(F.broadcast(telling), "t")
+    else:
+        held = _held(docs).withColumn("salt", F.pmod("key", F.lit(salt)).cast("int")).join(
+            telling.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)))), ["t", "salt"])
+    return held.groupBy("key").agg(F.collect_set(F.struct(
+        "t", (F.col("share") >= remove_at).alias("removed"))).alias("terms")).checkpoint()
+
+
+def term_spans(text: str, spans, terms) -> list[dict]:
+    """Every place of the document's disclosing terms outside its base spans."""
+    removed = {x["t"]: x["removed"] for x in terms or ()}
+    if not removed:
+        return []
+    number: dict[str, int] = {}
+    out = []
+    for a, b in _outside(text, spans):
+        w = text[a:b].lower()
+        t = number.get(w)
+        if t is None:
+            t = number[w] = _number(w)
+        if t in removed:
+            out.append({"a": a, "b": b, "removed": removed[t]})
+    return out
 
 
 def _merged_terms(terms) -> list[tuple[int, int, bool]]:
@@ -184,37 +232,38 @@ def _merged_terms(terms) -> list[tuple[int, int, bool]]:
     return [(a, b, r) for (a, b), r in sorted(out.items())]
 
 
-def find_pii(docs: DataFrame, **parameters) -> DataFrame:
+def _small(terms: DataFrame, broadcast_bytes: int) -> DataFrame:
+    """``terms``, to broadcast if measured small, else Spark shuffles both sides."""
+    rows, n = terms.agg(F.count("*"), F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()
+    return F.broadcast(terms) if 64 * rows + 32 * n <= broadcast_bytes else terms
+
+
+def find_pii(docs: DataFrame, broadcast_bytes: int = 8 << 20, **parameters) -> DataFrame:
     """One row per document: counts by kind, the digest of the base spans,
     and all spans; terms come after the kinds, as ``term:start:end``."""
-    terms = disclosing_terms(docs, **parameters)
+    terms = disclosing_terms(docs, broadcast_bytes=broadcast_bytes, **parameters)
 
     def run(batches):
         for batch in batches:
-            ids, keys = batch.column(0).cast(pa.int64()), batch.column(2)
+            ids = batch.column(0).cast(pa.int64())
             rows = []
-            for text in tb.text_column(batch, "text").to_pylist():
+            for text, t in zip(tb.text_column(batch, "text").to_pylist(), batch.column(2).to_pylist()):
                 spans = base_spans(text)
                 count = dict.fromkeys(KINDS, 0)
                 for k, _, _ in spans:
                     count[k] += 1
-                rows.append([*count.values(), hashlib.sha256(joined(spans).encode()).hexdigest(), joined(spans)])
+                extra = [(TERM, x["a"], x["b"]) for x in term_spans(text, spans, t)]
+                rows.append([*count.values(), hashlib.sha256(joined(spans).encode()).hexdigest(),
+                             joined(spans + extra)])
             columns = list(zip(*rows)) if rows else [[]] * 6
             yield pa.RecordBatch.from_arrays(
-                [ids, keys, *[pa.array(c, pa.int64()) for c in columns[:4]],
+                [ids, *[pa.array(c, pa.int64()) for c in columns[:4]],
                  *[pa.array(c, pa.string()) for c in columns[4:]]],
-                names=["doc_id", "key", *[f"n_{k}" for k in KINDS], "base_sha256", "base"])
+                names=["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans"])
 
-    base = _keyed(docs).mapInArrow(run, "doc_id bigint, key bigint, n_email bigint, n_ip bigint, n_card bigint, "
-                                        "n_phone bigint, base_sha256 string, base string")
-    # several entities may name a span: one text for it
-    as_text = terms.select("key", F.concat_ws(",", F.transform(
-        F.array_sort(F.array_distinct(F.transform("terms", lambda x: F.struct(x["a"], x["b"])))),
-        lambda x: F.concat(F.lit(f"{TERM}:"), x["a"].cast("string"), F.lit(":"), x["b"].cast("string"))
-    )).alias("extra"))
-    return base.join(as_text, "key", "left").select(
-        "doc_id", *[f"n_{k}" for k in KINDS], "base_sha256",
-        F.concat_ws(",", F.nullif("base", F.lit("")), "extra").alias("spans"))
+    return _keyed(docs).join(_small(terms, broadcast_bytes), "key", "left").select("doc_id", "text", "terms") \
+        .mapInArrow(run, "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, "
+                         "base_sha256 string, spans string")
 
 
 def redact(text: str, terms) -> str:
@@ -238,11 +287,8 @@ def sanitise(docs: DataFrame, broadcast_bytes: int = 8 << 20, **parameters) -> D
     state = "_llm_terms"
     if state in docs.columns or "_llm_key" in docs.columns:
         raise ValueError("documents has a column of the operator's own name")
-    terms = disclosing_terms(docs, **parameters)
-    rows, spans = terms.agg(F.count("*"), F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()
+    terms = _small(disclosing_terms(docs, broadcast_bytes=broadcast_bytes, **parameters), broadcast_bytes)
     side = terms.select(F.col("key").alias("_llm_key"), F.col("terms").alias(state))
-    if 64 * rows + 32 * spans <= broadcast_bytes:  # measured, else Spark shuffles both sides
-        side = F.broadcast(side)
     joined_ = docs.join(side, F.xxhash64("doc_id", "text") == F.col("_llm_key"), "left").drop("_llm_key")
     schema, names = docs.schema, docs.columns
     at, chars = names.index("text"), names.index("n_chars") if "n_chars" in names else None
@@ -250,7 +296,7 @@ def sanitise(docs: DataFrame, broadcast_bytes: int = 8 << 20, **parameters) -> D
     def run(batches):
         for batch in batches:
             col = batch.column(at)
-            new = [None if x is None else redact(x, t) for x, t in
+            new = [None if x is None else redact(x, term_spans(x, base_spans(x), t) if t else ()) for x, t in
                    zip(col.to_pylist(), batch.column(len(names)).to_pylist())]
             columns = list(batch.columns[:len(names)])
             columns[at] = pa.array(new, col.type)
