@@ -17,6 +17,7 @@ from .simhash import near_duplicates
 from .style_tree import main_text
 from .toxicity import score_toxicity, toxicity_model
 from .unit_dedup import remove_repeats
+from .whitening import whiten
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -68,6 +69,10 @@ def op10_repetition(spark, sf_dir):
     return got.drop("covered_fraction", "longest_repeat")
 
 
+def op13_whitening(spark, sf_dir):
+    return whiten(table(spark, sf_dir, "embeddings"), k=8)
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_toxicity": op2_toxicity,
@@ -79,6 +84,7 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_quality": op9_quality,
     "op10_repetition": op10_repetition,
+    "op13_whitening": op13_whitening,
 }
 ORACLE = {
     "op3_line_dedup": oracle.LINE_DEDUP,
