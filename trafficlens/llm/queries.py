@@ -9,6 +9,7 @@ from trafficlens.sources.bindings import table
 from . import oracle
 from .contamination import find_contamination
 from .disclosure import find_pii
+from .packing import pack
 from .pieces import encode_digests, read_model
 from .quality import quality_model, score_quality
 from .repetition import repetition_rules
@@ -20,6 +21,7 @@ from .unit_dedup import remove_repeats
 from .whitening import whiten
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+WORD_TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
 
 
 def op1_pii(spark, sf_dir):
@@ -69,6 +71,10 @@ def op10_repetition(spark, sf_dir):
     return got.drop("covered_fraction", "longest_repeat")
 
 
+def op12_packing(spark, sf_dir, tokenizer=WORD_TOKENIZER):
+    return pack(table(spark, sf_dir, "documents"), read_model(tokenizer).decode(), capacity=2048, separator=0)
+
+
 def op13_whitening(spark, sf_dir):
     return whiten(table(spark, sf_dir, "embeddings"), k=8)
 
@@ -84,6 +90,7 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_quality": op9_quality,
     "op10_repetition": op10_repetition,
+    "op12_packing": op12_packing,
     "op13_whitening": op13_whitening,
 }
 ORACLE = {
