@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from trafficlens.sources.bindings import table
 
 from . import oracle
+from .alignment import align_digests
 from .contamination import find_contamination
 from .disclosure import find_pii
 from .packing import pack
@@ -21,6 +22,7 @@ from .unit_dedup import remove_repeats
 from .whitening import whiten
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+BYTE_TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 WORD_TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
 
 
@@ -71,6 +73,10 @@ def op10_repetition(spark, sf_dir):
     return got.drop("covered_fraction", "longest_repeat")
 
 
+def op11_alignment(spark, sf_dir, tokenizer=BYTE_TOKENIZER, model=MODEL):
+    return align_digests(table(spark, sf_dir, "documents"), read_model(tokenizer).decode(), read_model(model))
+
+
 def op12_packing(spark, sf_dir, tokenizer=WORD_TOKENIZER):
     return pack(table(spark, sf_dir, "documents"), read_model(tokenizer).decode(), capacity=2048, separator=0)
 
@@ -90,6 +96,7 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_quality": op9_quality,
     "op10_repetition": op10_repetition,
+    "op11_alignment": op11_alignment,
     "op12_packing": op12_packing,
     "op13_whitening": op13_whitening,
 }
