@@ -75,18 +75,45 @@ def test_no_documents(spark):
     assert remove_repeats(docs(spark, [])).count() == 0
 
 
-@pytest.mark.parametrize("limit", [0, 8 << 20])
-def test_line_dedup(spark, limit):
-    line, other = "A line of six whole words", "quite another line with é words"
-    rows = [(2, f"x\n{line}\n{other}"), (1, f"{other}\nshort\na  LINE of six\twhole words"), (3, f"{line}\n{line}"),
-            (3, f"{line}\n{line}"), (4, None), (5, ""), (None, other), (6, "w " * 50_000 + "\nend")]
-    df = docs(spark, rows).selectExpr("*", "1 as key", "2 as removed", "3 as h")
-    got = sorted((str(r.doc_id), r.text, r.n_lines, r.n_removed, r.removed_spans)
-                 for r in remove_repeats(df, broadcast_bytes=limit).collect() if r.doc_id != 6)
-    a = len(other)
-    assert got == sorted([("2", "x", 3, 2, f"2:27,28:{28 + a}"), ("1", rows[1][1], 3, 0, ""),
-                          ("3", "", 2, 2, "0:25,26:51"), ("3", "", 2, 2, "0:25,26:51"),
-                          ("4", "", 1, 0, ""), ("5", "", 1, 0, ""), ("None", "", 1, 1, f"0:{a}")])
+def brute_dedup(rows, min_run):
+    """The rows in rank order, one unit after the other."""
+    seen, out = set(), []
+    for doc_id, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
+        parts, at = [], 0
+        for m in re.finditer(r"(?s).*?(?:[.!?]+['\")\]]*[ \t]+|\n|\Z)[ \t-\r]*", text or ""):
+            if m.end() > at:
+                parts.append((at, m.end()))
+                at = m.end()
+        norm = [tuple(re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text[x:y]))) for x, y in parts]
+        later = []
+        for words in norm:
+            later.append(bool(words) and words in seen)
+            seen.add(words)
+        gone, n = set(), 0
+        while n < len(parts):
+            end = n
+            while end < len(parts) and later[end]:
+                end += 1
+            if sum(map(len, norm[n:end])) >= min_run:
+                gone |= set(range(n, end))
+            n = max(end, n + 1)
+        out.append((str(doc_id), "".join(text[x:y] for i, (x, y) in enumerate(parts) if i not in gone), len(parts), len(gone),
+                    ",".join(f"{x}:{y}" for i, (x, y) in enumerate(parts) if i in gone)))
+    return sorted(out)
+
+
+def test_unit_dedup(spark):
+    one, two, three = "A line of six  whole words. ", "quite another sentence\twith é words! ", 'He said "go." '
+    rows = [(1, f"{two}{three}short\na  LINE of six\twhole words.\n"), (2, f"x\n{one}{two}{three}\n\n tail 3.5 e.g.no"),
+            (3, f"{one}{two}"), (3, f"{one}{two}"), (3, f"{one}{two}"), (4, None), (5, ""), (None, two + one), (None, two + one),
+            (6, "w " * 50_000 + "\nend"), (7, "\n\n" + one + "new " + two + "Single. " * 40), (8, " \n "), (9, "same. " * 9)]
+    rng = np.random.default_rng(2)
+    pool = [" ".join(rng.choice(list("abcdefgh"), rng.integers(1, 6))) + rng.choice([". ", "\n", "! "]) for _ in range(25)]
+    rows += [(100 + i, "".join(rng.choice(pool, rng.integers(0, 12)))) for i in range(60)]
+    df = docs(spark, rows).selectExpr("*", "1 as row", "2 as later", "3 as h", "4 as words").repartition(4)
+    for least in (1, 8, 30):
+        got = sorted((str(r.doc_id), r.text, r.n_units, r.n_removed, r.removed_spans) for r in remove_repeats(df, least).collect())
+        assert got == brute_dedup(rows, least)
 
 
 def test_suffix_repeats_match_brute_force():

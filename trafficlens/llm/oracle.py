@@ -58,18 +58,21 @@ from j
 """
 
 LINE_DEDUP = r"""
-with d as (select row_number() over () rid, doc_id, coalesce(text, '') t, text raw from documents),
-l as (select rid, doc_id, raw, t, unnest(string_split(t, chr(10))) line,
-             generate_subscripts(string_split(t, chr(10)), 1) n from d),
-w as (select *, regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+with d as (select row_number() over () rid, doc_id, coalesce(text, '') t from documents),
+l as (select rid, doc_id, string_split(regexp_replace(t, '((?:[.!?]+[''")\]]*[ \t]+|\n)[ \t-\r]*)',
+                                       '\1' || chr(57344), 'g'), chr(57344)) tiles from d),
+x as (select rid, doc_id, unnest(tiles) tile, generate_subscripts(tiles, 1) n from l),
+w as (select *, regexp_extract_all(translate(tile, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
              '[^\x20\x09-\x0D]+') ws,
-             sum(length(line) + 1) over (partition by rid order by n) - length(line) - 1 a from l),
-u as (select rid, n, len(ws) >= 5 and row_number() over (
-        partition by len(ws) >= 5, array_to_string(ws, ' ') order by doc_id nulls last, n) > 1 gone from w),
-j as (select w.*, gone from w join u using (rid, n))
-select doc_id, coalesce(string_agg(line, chr(10) order by n) filter (not gone), '') as text,
-       count(*) n_lines, count(*) filter (gone) n_removed,
-       coalesce(string_agg(cast(a as bigint) || ':' || cast(a + length(line) as bigint), ',' order by n)
+             sum(length(tile)) over (partition by rid order by n) - length(tile) a
+      from x where tile <> '' or n = 1),
+u as (select rid, n, len(ws) > 0 and row_number() over (
+        partition by len(ws) > 0, array_to_string(ws, ' ') order by doc_id nulls last, rid, n) > 1 later from w),
+r as (select w.*, later, n - row_number() over (partition by rid, later order by n) run from w join u using (rid, n)),
+j as (select *, later and sum(len(ws)) over (partition by rid, later, run) >= 30 gone from r)
+select doc_id, coalesce(string_agg(tile, '' order by n) filter (not gone), '') as text,
+       count(*) filter (tile <> '') n_units, count(*) filter (gone) n_removed,
+       coalesce(string_agg(cast(a as bigint) || ':' || cast(a + length(tile) as bigint), ',' order by n)
                 filter (gone), '') removed_spans
 from j group by rid, doc_id
 """

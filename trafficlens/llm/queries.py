@@ -36,7 +36,7 @@ def op2_toxicity(spark, sf_dir):
 
 
 def op3_line_dedup(spark, sf_dir):
-    return remove_repeats(table(spark, sf_dir, "documents"), min_words=5)
+    return remove_repeats(table(spark, sf_dir, "documents"), min_run=30)
 
 
 def op4_simhash(spark, sf_dir):

@@ -1,91 +1,127 @@
-"""Substring dedup: line hashing over the whole corpus.
-
-A text falls into lines; a line of ``min_words`` words or more is a unit,
-normalised by lower-casing A-Z and one space between words. The units'
-128-bit digests are grouped globally, the earliest occurrence (smallest
-doc_id, then place in the text) is kept, and every other is removed. The
-original offsets of what was removed stay with the result.
-
-Defined cases: null and empty texts have no units; shorter lines always
-stay; rows equal in doc_id and text are one document, so none removes the
-other's lines; documents without a doc_id come last; very long texts and
-lines are whole units; other columns are ignored.
+"""Substring dedup: hashing of units inside lines over the whole corpus.
+
+A text falls into units: a unit ends with a line, or after a full stop,
+exclamation or question mark and the space behind it, and takes along the
+white space that follows, so the units tile the text. Normalised by
+lower-casing A-Z and one space between words, the units' 128-bit digests are
+grouped globally and the earliest occurrence (smallest doc_id, then row, then
+place in the text) is kept. Later occurrences are removed where they stand in
+a run of neighbours of ``min_run`` words or more in all: single short units
+that prose happens to share stay. The original offsets of what was removed
+stay with the result.
+
+Rows are staged with a number of their own, so equal rows are documents of
+their own, and no verdict is applied by a digest of a row.
+
+Defined cases: null and empty texts have no units; a run ends at a unit that
+is kept; repeated rows lose their runs, but for one of them; documents
+without a doc_id come last; very long texts and units are whole; other
+columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
+
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trafficlens.session import shared_root
+from trafficlens.session import fresh_path, shared_root
 
 from . import text_batches as tb
 
+_END = re.compile(r"(?:[.!?]+['\")\]]*[ \t]+|\n)[ \t-\r]*")
+
+
+def unit_ends(text: str) -> list[int]:
+    """Where the units of a text end, in code points."""
+    ends = [m.end() for m in _END.finditer(text)]
+    if text and (not ends or ends[-1] < len(text)):
+        ends.append(len(text))
+    return ends
+
+
+def units(text: str):
+    """(end, words, digest) of the units."""
+    at, out = 0, []
+    for end in unit_ends(text):
+        words = text[at:end].encode().lower().split()  # ASCII letters and white space only
+        out.append((end, len(words), xxhash.xxh3_128_digest(b" ".join(words))))
+        at = end
+    return out
+
 
-def line_units(text: str, min_words: int):
-    """(number, start, end, digest) of the lines that are units."""
-    at = 0
-    for k, line in enumerate(text.split("\n")):
-        words = line.encode().lower().split()  # ASCII letters and white space only
-        if len(words) >= min_words:
-            yield k, at, at + len(line), xxhash.xxh3_128_digest(b" ".join(words))
-        at += len(line) + 1
+def removed_runs(later: list[int], words: list[int], min_run: int) -> list[int]:
+    """The numbers of the units that go: later occurrences in runs of
+    ``min_run`` words or more."""
+    out, run, total = [], [], 0
+    for n in [*sorted(later), None]:
+        if run and n != run[-1] + 1:
+            if total >= min_run:
+                out += run
+            run, total = [], 0
+        if n is not None:
+            run.append(n)
+            total += words[n]
+    return out
 
 
-def _units(docs: DataFrame, min_words: int) -> DataFrame:
+_STAGED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("text", pa.large_string()),
+                     ("ends", pa.list_(pa.int32())), ("words", pa.list_(pa.int32())), ("h", pa.list_(pa.binary()))])
+
+
+def _stage(docs: DataFrame) -> DataFrame:
+    """Every row with its number and its units, in the shared folder."""
     def run(batches):
+        row = TaskContext.get().partitionId() << 32
         for batch in batches:
             for rows, texts in tb.chunks(batch):
-                out = {"doc_id": [], "key": [], "n": [], "a": [], "b": [], "h": []}
-                for i, key, text in zip(rows.column(0).to_pylist(), rows.column(2).to_pylist(), texts.to_pylist()):
-                    for unit in line_units(text, min_words):
-                        for name, value in zip(out, (i, key, *unit)):
-                            out[name].append(value)
-                yield pa.RecordBatch.from_pydict(out, schema=_UNIT)
-
-    return _keyed(docs).mapInArrow(run, "doc_id bigint, key bigint, n int, a int, b int, h binary")
-
-
-_UNIT = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("n", pa.int32()), ("a", pa.int32()),
-                   ("b", pa.int32()), ("h", pa.binary())])
-
-
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text",
-                       F.xxhash64("doc_id", "text").alias("key"))
-
-
-def repeated_units(docs: DataFrame, min_words: int) -> DataFrame:
-    """key, removed: the units (n, a, b) of each document that stood earlier."""
-    shared_root(docs.sparkSession)
-    units = _units(docs, min_words).checkpoint()
-    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "n")
-    first = units.groupBy("h").agg(F.min(rank).alias("first"), F.count("*").alias("times")) \
-        .filter("times > 1").select("h", "first").checkpoint()  # so that the join may split a frequent line
-    later = units.join(first, "h").filter(rank != F.col("first"))
-    return later.groupBy("key").agg(F.collect_set(F.struct("n", "a", "b")).alias("removed"))
-
-
-def remove_repeats(docs: DataFrame, min_words: int = 5, broadcast_bytes: int = 0) -> DataFrame:
-    """doc_id, the remaining text, lines, removed lines and their spans
-    (``start:end`` in code points of the original text).
-
-    Texts and removals meet by a shuffle; ``broadcast_bytes`` allows the
-    removals to be broadcast instead when they are measured to be smaller."""
-    gone = repeated_units(docs, min_words).checkpoint()
-    rows, spans = gone.agg(F.count("*"), F.coalesce(F.sum(F.size("removed")), F.lit(0))).first()
-    if 64 * rows + 32 * spans <= broadcast_bytes:
-        gone = F.broadcast(gone)
-    lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    out = F.array_sort(F.coalesce("removed", F.array().cast("array<struct<n:int,a:int,b:int>>")))
-    numbers = F.transform(out, lambda x: x["n"])
-    kept = F.transform(F.filter(F.transform(lines, lambda x, i: F.struct(x.alias("x"), i.alias("i"))),
-                                lambda y: ~F.array_contains(numbers, y["i"])), lambda y: y["x"])
-    return _keyed(docs).join(gone, "key", "left").select(
-        "doc_id", F.when(F.size(out) == 0, F.coalesce("text", F.lit("")))
-        .otherwise(F.array_join(kept, "\n")).alias("text"),
-        F.size(lines).cast("bigint").alias("n_lines"), F.size(out).cast("bigint").alias("n_removed"),
-        F.array_join(F.transform(out, lambda x: F.concat(
-            x["a"].cast("string"), F.lit(":"), x["b"].cast("string"))), ",").alias("removed_spans"))
+                cols = [list(zip(*units(text))) or [(), (), ()] for text in texts.to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(range(row, row + len(cols)), pa.int64()), rows.column(0).cast(pa.int64()), texts,
+                     *(pa.array([c[i] for c in cols], _STAGED.field(3 + i).type) for i in range(3))], schema=_STAGED)
+                row += len(cols)
+
+    path = fresh_path(docs.sparkSession, "units")
+    docs.select("doc_id", "text").mapInArrow(
+        run, "row bigint, doc_id bigint, text string, ends array<int>, words array<int>, h array<binary>").write.parquet(path)
+    return docs.sparkSession.read.parquet(path)
+
+
+def later_units(staged: DataFrame) -> DataFrame:
+    """of, later: the row and the numbers of its units that stood earlier."""
+    shared_root(staged.sparkSession)
+    found = staged.select("row", "doc_id", F.posexplode(F.arrays_zip("h", "words")).alias("n", "u")) \
+        .filter("u.words > 0").select("row", "doc_id", "n", F.col("u.h").alias("h"))
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "n")
+    first = found.groupBy("h").agg(F.min(rank).alias("first"), F.count("*").alias("times")) \
+        .filter("times > 1").select("h", "first").checkpoint()  # so that the join may split a frequent unit
+    return found.join(first, "h").filter(rank != F.col("first")) \
+        .groupBy(F.col("row").alias("of")).agg(F.collect_list("n").alias("later"))
+
+
+def remove_repeats(docs: DataFrame, min_run: int = 30) -> DataFrame:
+    """doc_id, the remaining text, units, removed units and their spans
+    (``start:end`` in code points of the original text)."""
+    staged = _stage(docs)
+    schema = "doc_id bigint, text string, n_units bigint, n_removed bigint, removed_spans string"
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for text, ends, words, later in zip(*(batch.column(i).to_pylist() for i in range(1, 5))):
+                gone = removed_runs(later or [], words, min_run)
+                starts = [0, *ends]
+                if gone:
+                    drop = set(gone)
+                    text = "".join(text[starts[n]:ends[n]] for n in range(len(ends)) if n not in drop)
+                out.append((text, len(ends), len(gone), ",".join(f"{starts[n]}:{ends[n]}" for n in gone)))
+            cols = list(zip(*out)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(
+                cols, (pa.string(), pa.int64(), pa.int64(), pa.string())))], names=[c.split()[0] for c in schema.split(", ")])
+
+    return staged.join(later_units(staged), F.col("row") == F.col("of"), "left") \
+        .select("doc_id", "text", "ends", "words", "later").mapInArrow(run, schema)
