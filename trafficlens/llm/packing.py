@@ -23,6 +23,7 @@ the tokenizer does by default; other columns are ignored.
 from __future__ import annotations
 
 import bisect
+import gc
 import json
 import os
 import re
@@ -41,7 +42,7 @@ from trafficlens.session import fresh_path
 
 from . import text_batches as tb
 
-CACHE = 400_000  # distinct words a task remembers
+CACHE = 800_000  # distinct words, and parts of them, that a task remembers
 EFFORT = 200_000  # exchanges the local search may make
 
 Pattern = tuple[tuple[int, int], ...]  # (length, copies), longest first
@@ -65,8 +66,27 @@ def drops_space(spec: dict) -> bool:
                                    for t in spec.get("added_tokens", []))
 
 
+# Latin words need no normalising beyond lower case, and fall apart where the pattern says
+# (letters run from U+00DF to U+024F, but for the division sign).
+_LATIN = "a-z\u00df-\u00f6\u00f8-\u024f"
+_PLAIN_WORD = re.compile(f"[!-~{_LATIN}]+")
+_PLAIN_PART = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LATIN}]+|[0-9]|[^0-9{_LATIN}]+")
+PARTS_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def has_parts(spec: dict) -> bool:
+    """Is a word cut by PARTS_PATTERN, after NFC and lower-casing, so that its
+    parts can be encoded one by one?"""
+    steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    kinds = [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])]
+    return (steps[0].get("pattern") or {}).get("Regex") == PARTS_PATTERN and kinds == ["NFC", "Replace", "Lowercase"] \
+        and [x.get("type") for x in steps[1:]] == ["ByteLevel"] and not steps[1].get("use_regex") \
+        and not steps[1].get("add_prefix_space")
+
+
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit integers."""
+    """Ids of texts as little-endian unsigned 32-bit integers. A task remembers
+    words, and the parts that words fall into."""
 
     def __init__(self, spec: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task a core
@@ -74,8 +94,12 @@ class Encoder:
         self.core = Tokenizer.from_str(spec)
         self.core.no_truncation()
         self.core.no_padding()
-        self.by_word = drops_space(json.loads(spec))
+        found = json.loads(spec)
+        self.by_word = drops_space(found)
+        self.by_part = self.by_word and has_parts(found)
+        self.marks = frozenset(t["content"][0].lower() for t in found.get("added_tokens", []))  # of special tokens
         self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         got = self.core.encode_batch_fast(texts, add_special_tokens=False)
@@ -87,10 +111,30 @@ class Encoder:
         if len(self.words) > CACHE:
             self.words.clear()
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list(set().union(*split).difference(self.words))
-        self.words.update(zip(new, self._ids(new)))
+        gc.disable()  # no cycles here, and many small lists
+        self._learn(set().union(*split).difference(self.words))
+        gc.enable()
         return [b"".join(map(self.words.__getitem__, s)) for s in split]
 
+    def _learn(self, new: set[str]) -> None:
+        whole, apart, parts = [], [], set()
+        if len(self.parts) > CACHE:
+            self.parts.clear()
+        for word in new:
+            low = word.lower()
+            if self.by_part and _PLAIN_WORD.fullmatch(low) and self.marks.isdisjoint(low):
+                found = _PLAIN_PART.findall(low)
+                parts.update(found)
+                apart.append((word, found))
+            else:
+                whole.append(word)
+        fresh = list(parts.difference(self.parts))
+        self.parts.update(zip(fresh, self._ids(fresh)))
+        known = self.parts
+        for word, found in apart:
+            self.words[word] = known[found[0]] if len(found) == 1 else b"".join([known[p] for p in found])
+        self.words.update(zip(whole, self._ids(whole)))
+
 
 # ---------------------------------------------------------------- plan of the bins
 
