@@ -107,6 +107,19 @@ def blacklisted(title, blacklist: Sequence[str] = BLACKLIST) -> Column:
     return _c(title).isin(list(blacklist))
 
 
+def exclude_titles(df: DataFrame, exclusions: DataFrame, title: str = "title", excluded: str = "title",
+                   broadcast_bytes: int = 8 << 20) -> DataFrame:
+    """F8 with a list of any length: the rows whose title is not among the
+    ``excluded`` ones (rows without a title stay). The list is broadcast where
+    its distinct titles are measured to be small; else both sides meet by a
+    shuffle, in which a frequent title of ``df`` may be split."""
+    names = exclusions.select(F.col(excluded).alias("_x")).where("_x is not null").distinct()
+    rows, size = names.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("_x")), F.lit(0))).first()
+    if size + 32 * rows <= broadcast_bytes:
+        names = F.broadcast(names)
+    return df.join(names, F.col(title) == F.col("_x"), "left_anti")
+
+
 def is_valid_title(title, strict_ext: bool = False,
                    blacklist: Sequence[str] = BLACKLIST,
                    namespaces: Sequence[str] = EXCLUDED_NAMESPACES) -> Column:

@@ -39,6 +39,19 @@ def parse_timelines(df: DataFrame) -> DataFrame:
                      F.col("total_pageviews").try_cast("bigint").alias("total_pageviews"))
 
 
+def split_corrupt(text: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Text timelines -> (typed timelines, rows that are none). A row is corrupt
+    if a list does not parse, the lists differ in length, or a date or a count
+    is missing; it goes with its text, for the bad-row rule (W8)."""
+    pair = text.select(
+        "page_id", "dates", "pageviews", F.col("total_pageviews").cast("string").alias("total_pageviews"),
+        json_string_array("dates").alias("_dates"), json_bigint_array("pageviews").alias("_pageviews"))
+    bad = (F.col("_dates").isNull() | F.col("_pageviews").isNull() | (F.size("_dates") != F.size("_pageviews"))
+           | F.exists("_dates", lambda d: d.isNull()) | F.exists("_pageviews", lambda v: v.isNull()))
+    bad = F.coalesce(bad, F.lit(True))
+    return parse_timelines(pair.where(~bad)), pair.where(bad).select(*TIMELINE_COLUMNS)
+
+
 def merge_timelines(history: DataFrame, new_counts: DataFrame, keep_new: bool = False,
                     key: str = "page_id", dt: str = "dt", views: str = "views") -> DataFrame:
     """L7 + L8 + U1 + A6: history timelines merged with new (key, dt, views).

@@ -3,6 +3,8 @@
 Z1  script transform: a pandas function over row batches (``mapInPandas``,
     Arrow transfer), the counterpart of piping rows through an external
     script. Spark still partitions the rows; the function sees one batch.
+    ``line_transform`` pipes tab-separated lines through an external program
+    instead (SQL ``TRANSFORM .. USING``).
 Z2  per-title lambdas are not needed: every built-in rule is a Column.
 Z3  user title rules: any Column -> Column predicate, combined with the
     built-in ones (see ``titles.parse_lines(extra_rule=...)``).
@@ -10,7 +12,9 @@ Z3  user title rules: any Column -> Column predicate, combined with the
 
 from __future__ import annotations
 
+import os
 import sys
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -60,3 +64,20 @@ def rank_batch(pdf: pd.DataFrame) -> pd.DataFrame:
         out["daily_trend"].append(daily)
         out["error"].append(error)
     return pd.DataFrame(out)
+
+
+def line_transform(df: DataFrame, script: str, schema: str, program: str | None = None) -> DataFrame:
+    """The rows of ``df`` as tab-separated lines through ``script``, which
+    Spark sends to the executors; its lines are read by ``schema``. Values must
+    hold no tab and no line break. ``program`` runs the script on an executor:
+    the workers' Python unless given (``spark.pyspark.python``)."""
+    spark = df.sparkSession
+    spark.sparkContext.addFile(script)
+    program = program or spark.conf.get("spark.pyspark.python", None) or os.environ.get("PYSPARK_PYTHON") or "python3"
+    tabs = "ROW FORMAT DELIMITED FIELDS TERMINATED BY '\t' LINES TERMINATED BY '\n' NULL DEFINED AS '\\\\N'"
+    df.createOrReplaceTempView(view := f"_lines_{uuid.uuid4().hex[:12]}")
+    return spark.sql(f"SELECT TRANSFORM({', '.join(f'`{c}`' for c in df.columns)}) {tabs} "
+                     f"USING '{program} {os.path.basename(script)}' AS ({schema}) {tabs} FROM {view}")
+
+
+RANK_LINES = os.path.join(os.path.dirname(os.path.abspath(__file__)), "rank_lines.py")

@@ -20,6 +20,7 @@ from trafficlens.operators import gaps as G
 from trafficlens.operators import lookups as L
 from trafficlens.operators import ranking as RK
 from trafficlens.operators import timelines as TL
+from trafficlens.operators import title_index as TI
 from trafficlens.operators import topn as TN
 from trafficlens.operators import trends as T
 from trafficlens.operators import udf as U
@@ -35,6 +36,7 @@ from trafficlens.sources import search_docs as SD
 from trafficlens.sources import text_tables as TT
 from trafficlens.sources import trend_lines as TLN
 from trafficlens.streaming import hourly as HS
+from trafficlens.streaming import store as ST
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -55,6 +57,8 @@ V1 = """v1 as (select event_type as title, strftime(ts, '%Y%m%d') as dt,
                count(*)::BIGINT as views from events group by 1, 2)"""
 V2 = """v2 as (select event_type as title, date_trunc('hour', ts) as ts,
                count(*)::BIGINT as views from events group by 1, 2)"""
+V9 = """v9 as (select event_type || '/' || (user_id % 12)::VARCHAR as title, date_trunc('hour', ts) as ts,
+               count(*)::BIGINT as views from events group by 1, 2)"""
 V3 = """v3 as (select o_orderpriority as title, strftime(o_orderdate, '%Y%m%d') as dt,
                count(*)::BIGINT as views from orders group by 1, 2)"""
 
@@ -401,34 +405,34 @@ def q_consecutive_ratio(spark, sf):
     return RK.consecutive_ratio(v2(spark, sf))
 
 
-@register("top_24h", f"""with {V2}
-, recent as (select * from v2 where ts > (select max(ts) from v2) - interval 24 hour
-                                and ts <= (select max(ts) from v2))
+@register("top_24h", f"""with {V9}
+, recent as (select * from v9 where ts > (select max(ts) from v9) - interval 24 hour
+                                and ts <= (select max(ts) from v9))
 {rank_sql('recent', 'ts')}
 select *, row_number() over (order by daily_trend desc, total_pageviews desc, title)::INTEGER as rank
-from (select * from ranked order by daily_trend desc, total_pageviews desc, title limit 3)""")
+from (select * from ranked order by daily_trend desc, total_pageviews desc, title limit 10)""")
 def q_top_24h(spark, sf):
     return rounded_rank(top_24h(spark, sf))
 
 
 def top_24h(spark, sf):
-    recent = C.hourly_counts(PC.hour_range(B.event_hits(spark, sf), 0, 23))
-    return TN.top_by(recent, 3, "daily_trend", "ts")
+    recent = C.hourly_counts(PC.hour_range(B.user_event_hits(spark, sf), 0, 23))
+    return TN.top_by(recent, 10, "daily_trend", "ts")
 
 
-@register("top_30d", f"""with {V3}
-, recent as (select * from v3 where strptime(dt, '%Y%m%d')::DATE >
-               (select max(strptime(dt, '%Y%m%d'))::DATE from v3) - 30)
+@register("top_30d", f"""with {V8}
+, recent as (select * from v8 where strptime(dt, '%Y%m%d')::DATE >
+               (select max(strptime(dt, '%Y%m%d'))::DATE from v8) - 30)
 {rank_sql('recent')}
 select *, row_number() over (order by monthly_trend desc, total_pageviews desc, title)::INTEGER as rank
-from (select * from ranked order by monthly_trend desc, total_pageviews desc, title limit 3)""")
+from (select * from ranked order by monthly_trend desc, total_pageviews desc, title limit 10)""")
 def q_top_30d(spark, sf):
     return rounded_rank(top_30d(spark, sf))
 
 
 def top_30d(spark, sf):
-    recent = C.daily_counts(PC.day_range(B.order_hits(spark, sf), 30))
-    return TN.top_by(recent, 3, "monthly_trend", "dt")
+    recent = C.daily_counts(PC.day_range(B.customer_order_hits(spark, sf), 30))
+    return TN.top_by(recent, 10, "monthly_trend", "dt")
 
 
 @register("top_30d_pages", f"""with {V8}
@@ -441,12 +445,12 @@ def q_top_30d_pages(spark, sf):
     return rounded_rank(TN.top_recent_days(v8(spark, sf), n=10, days=30))
 
 
-@register("forecast_trending", f"""with {V2}
-, recent as (select * from v2 where ts > (select max(ts) from v2) - interval 24 hour)
+@register("forecast_trending", f"""with {V9}
+, recent as (select * from v9 where ts > (select max(ts) from v9) - interval 24 hour)
 {rank_sql('recent', 'ts')}
-, best as (select title from ranked order by daily_trend desc, total_pageviews desc, title limit 3)
+, best as (select title from ranked order by daily_trend desc, total_pageviews desc, title limit 10)
 , pts as (select title, views::DOUBLE as y, (row_number() over (partition by title order by ts) - 1)::DOUBLE as x
-          from v2 where title in (select title from best))
+          from v9 where title in (select title from best))
 , fit as (select title, count(*)::BIGINT as n, regr_slope(y, x) as slope, regr_intercept(y, x) as intercept
           from pts group by title)
 select title, n, round(slope, {FIT_DECIMALS}) as slope, round(intercept, {FIT_DECIMALS}) as intercept,
@@ -455,7 +459,7 @@ select title, n, round(slope, {FIT_DECIMALS}) as slope, round(intercept, {FIT_DE
 from fit""")
 def q_forecast_trending(spark, sf):
     """T1 then M1: the hourly series of the titles trending now, carried on."""
-    series = v2(spark, sf).join(top_24h(spark, sf).select("title"), "title", "left_semi")
+    series = C.hourly_counts(B.user_event_hits(spark, sf)).join(top_24h(spark, sf).select("title"), "title", "left_semi")
     f = M.forecast(series, horizons=(1, 24), order="ts")
     return f.select("title", "n", *[F.round(c, FIT_DECIMALS).alias(c)
                                     for c in ("slope", "intercept", "forecast_1", "forecast_24")])
@@ -1016,12 +1020,12 @@ def q_unmatched_titles(spark, sf):
 # ----------------------------------------------------------------------------
 # More sink paths: bounded single-file export (S14, S17), documents from the
 # trend-line text (S8 -> W-docs, X21), streamed documents
-TOP30 = f"""with {V3}
-, recent as (select * from v3 where strptime(dt, '%Y%m%d')::DATE >
-               (select max(strptime(dt, '%Y%m%d'))::DATE from v3) - 30)
+TOP30 = f"""with {V8}
+, recent as (select * from v8 where strptime(dt, '%Y%m%d')::DATE >
+               (select max(strptime(dt, '%Y%m%d'))::DATE from v8) - 30)
 {rank_sql('recent')}
 select *, row_number() over (order by monthly_trend desc, total_pageviews desc, title)::INTEGER as rank
-from (select * from ranked order by monthly_trend desc, total_pageviews desc, title limit 3)"""
+from (select * from ranked order by monthly_trend desc, total_pageviews desc, title limit 10)"""
 
 
 @register("report_export", TOP30)
@@ -1070,3 +1074,171 @@ def q_stream_docs(spark, sf):
     w = Window.partitionBy("_id").orderBy(F.col("version").desc())
     return (docs.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1)
                 .drop("_r", "version"))
+
+
+# ----------------------------------------------------------------------------
+# Late lines, compaction and trend tails of the stream (R3-R5): the files come
+# in several runs, and the result is that of one run over all of them
+
+MERGED_DAYS = f"""with {V7_CLOSED}
+, d as (select title, strftime(ts, '%Y%m%d') as dt, sum(views)::BIGINT as views from closed group by 1, 2)"""
+STREAM_TIMELINES = MERGED_DAYS + """
+select title, '[' || string_agg(dt, ',' order by dt) || ']' as dates,
+  '[' || string_agg(views::VARCHAR, ',' order by dt) || ']' as pageviews,
+  sum(views)::BIGINT as total_pageviews from d group by title"""
+
+
+def store_runs(spark, sf, runs, after=None) -> "ST.StreamStore":
+    """Feed a store from the files of V7: a run for each condition on the stamp."""
+    files, store = fresh_path(spark, "v7files"), ST.StreamStore(fresh_path(spark, "store"), delay_hours=STREAM_DELAY_HOURS)
+    checkpoint = fresh_path(spark, "store_chk")
+    for condition in runs:
+        PC.write_pagecount_files(v7_lines(spark, sf).where(condition), files, mode="append")
+        ST.run_store(HS.line_stream(spark, files), store, checkpoint)
+        if after:
+            after(store)
+    return store
+
+
+def store_timelines(spark, store) -> DataFrame:
+    return store.timelines(spark, store.version(spark)).select(
+        "title", S.json_array_text("dates").alias("dates"), S.json_array_text("pageviews").alias("pageviews"), "total_pageviews")
+
+
+DAY_OF_STAMP = "cast(substring(stamp, 7, 2) as int)"
+
+
+@register("stream_late", STREAM_TIMELINES)
+def q_stream_late(spark, sf):
+    """Every third day's files come in a second run, long after their hours closed."""
+    return store_timelines(spark, store_runs(spark, sf, [f"{DAY_OF_STAMP} % 3 <> 1", f"{DAY_OF_STAMP} % 3 = 1"]))
+
+
+@register("stream_compacted", STREAM_TIMELINES)
+def q_stream_compacted(spark, sf):
+    """Compaction and expiry after every run."""
+    def tidy(store):
+        store.expire(spark, store.compact(spark))
+    return store_timelines(spark, store_runs(spark, sf, [f"{DAY_OF_STAMP} <= 20", f"{DAY_OF_STAMP} > 20"], tidy))
+
+
+@register("stream_tail_trends", f"{MERGED_DAYS} {trend_sql('d')} select title, dt, views, idx::BIGINT as idx, daily_trend, "
+          "weekly_trend_at, monthly_trend_at, weekly_trend, monthly_trend from trend")
+def q_stream_tail_trends(spark, sf):
+    """Trends of each run from the tails that the runs before it left."""
+    store = store_runs(spark, sf, [f"{DAY_OF_STAMP} <= 24", f"{DAY_OF_STAMP} > 24"])
+    return store.trends(spark, store.version(spark))
+
+
+# ----------------------------------------------------------------------------
+# Declared tables and INSERT OVERWRITE (S11, S13), text history (X12, W8),
+# co-bucketed merge (L7), script over lines (Z1), exclusion table (F8),
+# pattern search by an index (T4)
+
+MERGED_TEXT = f"""with {V8_ID}
+select page_id, '[' || string_agg(dt, ',' order by dt) || ']' as dates,
+  '[' || string_agg(views::VARCHAR, ',' order by dt) || ']' as pageviews,
+  sum(views)::BIGINT as total_pageviews from merged group by page_id"""
+
+
+def timeline_text(timelines: DataFrame) -> DataFrame:
+    return timelines.select("page_id", S.json_array_text("dates").alias("dates"),
+                            S.json_array_text("pageviews").alias("pageviews"), "total_pageviews")
+
+
+@register("table_overwrite", MERGED_TEXT)
+def q_table_overwrite(spark, sf):
+    """The merge job on its declared tables: counts and lookup are loaded, the
+    day counts by page replace those of an earlier run, and the timelines are
+    replaced by their merge with them, which reads them."""
+    root = fresh_path(spark, "warehouse")
+    tables = CT.create_tables(spark, "tl_" + root.rsplit("-", 1)[1], root)
+    old, new = split_history(v8(spark, sf), v8(spark, sf))
+    raw = lambda df: df.select(F.col("title").alias("redirect_title"), F.col("dt").alias("dates"),
+                               F.col("views").alias("pageviews"))
+    CT.insert_overwrite(v5_lookup(spark, sf), tables["redirect_table"])
+    lookup = spark.table(tables["redirect_table"])
+    CT.insert_overwrite(timeline_text(TL.timelines_from_counts(MR.page_day_counts(old, lookup))), tables["daily_timelines"])
+    for counts in (old, new):  # the second load replaces the first
+        CT.insert_overwrite(raw(counts), tables["raw_daily_pagecounts_table"])
+        CT.insert_overwrite(spark.table(tables["raw_daily_pagecounts_table"]).join(lookup, "redirect_title"),
+                            tables["daily_pagecounts_table"])
+    days = spark.table(tables["daily_pagecounts_table"]).select(
+        "page_id", F.col("dates").alias("dt"), F.col("pageviews").cast("bigint").alias("views"))
+    CT.replace_from(spark, tables["daily_timelines"],
+                    lambda t: timeline_text(TL.merge_timelines(TL.parse_timelines(t), days)), root)
+    return spark.table(tables["daily_timelines"])
+
+
+def text_history(spark, sf):
+    """The timelines as delimited text, in which the lines of pages that end in
+    3 occur a second time, cut short; and the new counts."""
+    hist, new = split_history(stored_counts(spark, sf), v8(spark, sf))
+    text = timeline_text(TL.timelines_from_counts(hist))
+    cut = text.where("page_id % 10 = 3").withColumn("dates", F.expr("left(dates, length(dates) - 1)"))
+    path = fresh_path(spark, "timelines_txt")
+    TT.write_delimited(text.unionByName(cut), path, sep="|")
+    rows = TT.read_delimited(spark, path, "page_id bigint, dates string, pageviews string, total_pageviews string", sep="|")
+    return (*TL.split_corrupt(rows), new)
+
+
+@register("timeline_merge_text", MERGED_TEXT)
+def q_timeline_merge_text(spark, sf):
+    good, _, new = text_history(spark, sf)
+    return timeline_text(TL.merge_timelines(good, new))
+
+
+@register("timeline_corrupt", f"""with {V8_ID}
+select page_id, sum(views)::BIGINT as total_pageviews, 0.0::DOUBLE as monthly_trend, 0.0::DOUBLE as daily_trend,
+  0.0::DOUBLE as error from hist where page_id % 10 = 3 group by page_id""")
+def q_timeline_corrupt(spark, sf):
+    """Rows that do not parse score zero and keep their total."""
+    _, bad, _ = text_history(spark, sf)
+    return RK.rank_arrays(TL.parse_timelines(bad)).select("page_id", "total_pageviews", "monthly_trend", "daily_trend", "error")
+
+
+def stored_timelines(spark, sf, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """History bucketed and sorted by page, and the new counts."""
+    hist, new = split_history(stored_counts(spark, sf), v8(spark, sf))
+    path = fresh_path(spark, "timelines")
+    name = "tl_timelines_" + path.rsplit("-", 1)[1]
+    CT.save_table(TL.timelines_from_counts(hist).repartition(buckets, "page_id"), name, bucket_by=(buckets, "page_id"), path=path)
+    return spark.table(name), new
+
+
+@register("timeline_merge_bucketed", MERGED_TEXT)
+def q_timeline_merge_bucketed(spark, sf):
+    """The history stays where it is: as many buckets as a shuffle has
+    partitions, so only the new counts move to them."""
+    hist, new = stored_timelines(spark, sf, max(16, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    return timeline_text(TL.merge_timelines(hist, new))
+
+
+@register("rank_transform", f"""with {V8_ID} {rank_sql_key('merged', 'page_id')}
+select page_id, total_pageviews, monthly_trend, daily_trend, error from ranked""")
+def q_rank_transform(spark, sf):
+    """The ranking rule as an external script over tab-separated lines."""
+    hist, new = split_history(v8_page_counts(spark, sf), v8(spark, sf))
+    m = timeline_text(TL.merge_timelines(TL.timelines_from_counts(hist), new))
+    return rounded_rank(U.line_transform(m, U.RANK_LINES, U.RANK_SCHEMA))
+
+
+@register("blacklist_table", f"""with {V8}, {V5}
+select title, dt, views from v8 where title not in (select rd_title from v5r)""")
+def q_blacklist_table(spark, sf):
+    """F8: the counts without the titles that redirects point to."""
+    return X.exclude_titles(v8(spark, sf), B.wiki_redirect(spark, sf), excluded="rd_title")
+
+
+def indexed_trends(spark, sf) -> tuple[DataFrame, str]:
+    """The trends of V8 stored by title, and the index of their titles."""
+    path = fresh_path(spark, "trends")
+    name = "tl_search_" + path.rsplit("-", 1)[1]
+    CT.save_table(T.trend_table(v8(spark, sf)), name, bucket_by=(16, "title"), path=f"{path}/trends")
+    return spark.table(name), TI.write_title_index(spark.table(name), f"{name}_grams", path)
+
+
+@register("trend_search_pattern", f"with {V8} {trend_sql('v8')} select * from trend "
+          "where regexp_matches(title, '^Customer_0+[1-9]?77$')")
+def q_trend_search_pattern(spark, sf):
+    return TI.trend_search_indexed(*indexed_trends(spark, sf), "^Customer_0+[1-9]?77$")

@@ -44,6 +44,13 @@ def event_hits(spark, sf_dir) -> DataFrame:
     return _hits(table(spark, sf_dir, "events"), F.col("event_type"), "ts")
 
 
+def user_event_hits(spark, sf_dir) -> DataFrame:
+    """V9 source: each event is one view of the page named by its type and
+    the user's group (12 of them)."""
+    group = F.concat(F.col("event_type"), F.lit("/"), (F.col("user_id") % 12).cast("string"))
+    return _hits(table(spark, sf_dir, "events"), group, "ts")
+
+
 def order_hits(spark, sf_dir) -> DataFrame:
     """V3 source: each order is one view of its priority, on its order date."""
     return _hits(table(spark, sf_dir, "orders"), F.col("o_orderpriority"), "o_orderdate")
