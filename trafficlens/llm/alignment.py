@@ -3,7 +3,8 @@
 Both tokenizers encode a text after a space. The byte offsets where their
 tokens end are two increasing lists; a galloping intersection finds the
 offsets they share: each end of the shorter list drives an exponential and
-then a binary search in the longer one, from where the last search stopped.
+then a binary search in the longer one, from where the tokens of its part
+start there.
 The shared ends cut the tokens into groups, the differences of their ranks
 are the ranges of tokens on both sides, and all pairs of an A and a B token
 of one group are linked.
@@ -33,14 +34,12 @@ import hashlib
 import json
 import os
 import re
-from array import array
-from bisect import bisect_left
 from collections import Counter
-from collections.abc import Sequence
-from itertools import accumulate, chain
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,43 +50,51 @@ from . import text_batches as tb
 from .pieces import MARK, parse, splits_at_marks
 
 CHUNK_BYTES = 4 << 20  # of text
-CACHE = 400_000  # distinct parts a task remembers
+CACHE = 600_000  # distinct parts a task remembers
 CACHE_PAIRS = 4_000_000  # and id pairs of them
+SLICE = 5_000  # parts encoded at a time
+WIDE = 4_096  # pairs of a group from which on its distinct ids are paired
 BYTE, SHIFT = 6, 32  # piece type of a byte; an id pair is a << SHIFT | b
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
 # ---------------------------------------------------------------- galloping intersection
 
-def gallop(values: Sequence[int], target: int, lo: int) -> int:
-    """The first index from lo on whose value is not below target: doubling
-    steps, then a binary search in the last of them."""
-    step, n = 1, len(values)
-    while lo + step <= n and values[lo + step - 1] < target:
-        lo += step
+def gallop(values: np.ndarray, targets: np.ndarray, lo: np.ndarray) -> np.ndarray:
+    """For each target the first index from its ``lo`` on whose value is not
+    below it: doubling steps, then a binary search in the last of them. All
+    targets step at the same time."""
+    lo, hi = lo.copy(), np.full(len(targets), len(values), np.int64)
+    active, step = np.arange(len(targets)), 1
+    while active.size:
+        probe = lo[active] + step - 1
+        below = probe < len(values)
+        below[below] = values[probe[below]] < targets[active[below]]
+        hi[active[~below]] = np.minimum(probe[~below], len(values))
+        active = active[below]
+        lo[active] += step
         step *= 2
-    return bisect_left(values, target, lo, min(lo + step, n))
-
-
-def common_ends(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
-    """Index pairs (in a, in b) of the values two increasing lists share."""
+    active = np.flatnonzero(lo < hi)
+    while active.size:
+        mid = (lo[active] + hi[active]) // 2
+        below = values[mid] < targets[active]
+        lo[active[below]] = mid[below] + 1
+        hi[active[~below]] = mid[~below]
+        active = active[lo[active] < hi[active]]
+    return lo
+
+
+def common_ends(a: np.ndarray, b: np.ndarray, start_a: np.ndarray | int = 0,
+                start_b: np.ndarray | int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Indices (in a, in b) of the values that two increasing lists share. The
+    shorter list drives; ``start_a`` and ``start_b`` are, for each element of
+    the other list, where its search may start."""
     if len(a) > len(b):
-        return [(i, j) for j, i in common_ends(b, a)]
-    found, j = [], 0
-    for i, end in enumerate(a):
-        j = gallop(b, end, j)
-        if j == len(b):
-            break
-        if b[j] == end:
-            found.append((i, j))
-            j += 1
-    return found
-
-
-def groups(ends_a: Sequence[int], ends_b: Sequence[int]) -> list[tuple[int, int, int, int]]:
-    """(first A, behind A, first B, behind B) token ranks of each group."""
-    cuts = [(0, 0), *((i + 1, j + 1) for i, j in common_ends(ends_a, ends_b))]
-    return [(i, i2, j, j2) for (i, j), (i2, j2) in zip(cuts, cuts[1:])]
+        return common_ends(b, a, start_b, start_a)[::-1]
+    at = gallop(b, a, np.broadcast_to(np.asarray(start_b, np.int64), a.shape))
+    hit = at < len(b)
+    hit[hit] = b[at[hit]] == a[hit]
+    return np.flatnonzero(hit), at[hit]
 
 
 # ---------------------------------------------------------------- token bytes
@@ -122,10 +129,21 @@ def parts_at_spaces(spec: str, model: bytes) -> bool:
         and norm.escape_whitespaces and not norm.precompiled_charsmap and not norm.remove_extra_whitespaces
 
 
+def _joined(values: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids in a row, and how many each list has."""
+    lens = np.array([len(v) for v in values], np.int64)
+    return np.fromiter(chain.from_iterable(values), np.int64, int(lens.sum())), lens
+
+
+def _before(lens: np.ndarray) -> np.ndarray:
+    return np.concatenate(([0], np.cumsum(lens)))
+
+
 class Aligner:
     """Aligned parts of a task. A part (without the space before it) has a
     number; its groups, its four counts and its id pairs (a range of ``codes``
-    and ``times``) are kept by that number."""
+    and ``times``) are kept by that number. New parts are aligned together, as
+    one text whose parts have no token in common."""
 
     def __init__(self, spec: str, model: bytes):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task a core
@@ -134,49 +152,94 @@ class Aligner:
         self.a = Tokenizer.from_str(spec)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.bytes_a, self.bytes_b = bytes_a(self.a), bytes_b(model)
+        self.bytes_a, self.bytes_b = (pa.array(x, pa.large_binary()) for x in (bytes_a(self.a), bytes_b(model)))
+        n_a, n_b = len(self.bytes_a), len(self.bytes_b)
+        # an id with what follows it: inside a side, behind A's, behind B's
+        self.atoms = pa.array([f"{i}{c}" for n, cs in ((n_a, ",|"), (n_b, ",;")) for c in cs for i in range(n)], pa.large_string())
+        self.atom_of = (0, n_a, 2 * n_a, 2 * n_a + n_b)
         self.apart = parts_at_spaces(spec, model)
         self._clear()
 
     def _clear(self):
         self.number: dict[str, int] = {}
-        self.spelled: list[str] = []
-        self.counts = array("q")  # tokens of A, of B, groups, links; -1s if the bytes differ
-        self.codes, self.times, self.first = array("q"), array("q"), array("q", [0])
+        self.spelled: list[bytes] = []  # groups, each closed by a semicolon
+        self.counts = np.zeros((0, 4), np.int64)  # tokens of A, of B, groups, links; -1s if the bytes differ
+        self.codes, self.times, self.first = (np.zeros(n, np.int64) for n in (0, 0, 1))
 
     def _learn(self, new: list[str]) -> None:
-        for p, e, b in zip(new, self.a.encode_batch_fast([" " + p for p in new], add_special_tokens=False),
-                           self.b.encode(new, num_threads=1)):
-            a = e.ids
-            spell_a, spell_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-            self.number[p] = len(self.spelled)
-            if not b"".join(spell_a) == b"".join(spell_b) == b" " + p.encode():
-                self.spelled.append("")
-                self.counts.extend((-1, -1, -1, -1))
-                self.first.append(len(self.codes))
-                continue
-            if len(a) == len(b) == 1:
-                found, links = [(0, 1, 0, 1)], 1
-                self.codes.append(a[0] << SHIFT | b[0])
-                self.times.append(1)
-            else:
-                found = groups([*accumulate(map(len, spell_a))], [*accumulate(map(len, spell_b))])
-                pairs, links = Counter(), 0
-                for i, i2, j, j2 in found:
-                    links += (i2 - i) * (j2 - j)
-                    if i2 - i == j2 - j == 1:
-                        pairs[a[i] << SHIFT | b[j]] += 1
-                        continue
-                    right = Counter(b[j:j2])
-                    for x, n in Counter(a[i:i2]).items():
-                        for y, m in right.items():
-                            pairs[x << SHIFT | y] += n * m
-                self.codes.extend(pairs.keys())
-                self.times.extend(pairs.values())
-            self.spelled.append(";".join(f"{','.join(map(str, a[i:i2]))}|{','.join(map(str, b[j:j2]))}"
-                                         for i, i2, j, j2 in found))
-            self.counts.extend((len(a), len(b), len(found), links))
-            self.first.append(len(self.codes))
+        encoded = []
+        for lo in range(0, len(new), SLICE):  # the library's results are large
+            encoded += [e.ids for e in self.a.encode_batch_fast([" " + p for p in new[lo:lo + SLICE]], add_special_tokens=False)]
+        a, n_a = _joined(encoded)
+        b, n_b = _joined(self.b.encode(new, num_threads=1))
+        good = self._spell_alike(new, a, n_a, b, n_b)
+        part_a, part_b = np.repeat(np.arange(len(new)), n_a), np.repeat(np.arange(len(new)), n_b)
+        a, part_a, b, part_b = a[good[part_a]], part_a[good[part_a]], b[good[part_b]], part_b[good[part_b]]
+        n_a, n_b = np.where(good, n_a, 0), np.where(good, n_b, 0)
+        ends_a, ends_b = (np.cumsum(pc.binary_length(t.take(pa.array(x))).to_numpy()) for t, x in ((self.bytes_a, a), (self.bytes_b, b)))
+        i, j = common_ends(ends_a, ends_b, _before(n_a)[part_b], _before(n_b)[part_a])
+        part, size_a, size_b = part_a[i], np.diff(i, prepend=-1), np.diff(j, prepend=-1)
+        counts = np.stack([n_a, n_b, np.bincount(part, minlength=len(new)), np.zeros(len(new), np.int64)], axis=1)
+        np.add.at(counts[:, 3], part, size_a * size_b)
+        counts[~good] = -1
+        codes, times, n_pairs = self._links(a, b, i + 1 - size_a, j + 1 - size_b, size_a, size_b, part, len(new))
+        data, ends = self._spell(a, b, i, j, size_a, size_b, n_a + n_b)
+        self.number.update(zip(new, range(len(self.spelled), len(self.spelled) + len(new))))
+        self.spelled += [data[x:y] for x, y in zip(ends, ends[1:])]
+        self.counts = np.concatenate([self.counts, counts])
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(n_pairs)])
+        self.codes, self.times = np.concatenate([self.codes, codes]), np.concatenate([self.times, times])
+
+    def _spell_alike(self, new, a, n_a, b, n_b) -> np.ndarray:
+        """Which parts both sides spell as they are."""
+        text = pa.array([" " + p for p in new], pa.large_string())
+        size = pc.binary_length(text).to_numpy()
+        good, sides = np.ones(len(new), bool), []
+        for table, ids, n in ((self.bytes_a, a, n_a), (self.bytes_b, b, n_b)):
+            spelled = table.take(pa.array(ids))
+            ends = _before(pc.binary_length(spelled).to_numpy())[_before(n)]
+            good &= np.diff(ends) == size
+            sides.append((tb.buffer_of(spelled)[0], ends[:-1]))
+        whole, starts = tb.buffer_of(text)
+        at, lens = np.flatnonzero(good), size[good]
+        want = whole[_spread(starts[:-1][good], lens)]
+        for data, begins in sides:
+            same = data[_spread(begins[at], lens)] == want
+            if not same.all():
+                good[at[np.unique(np.searchsorted(_before(lens), np.flatnonzero(~same), side="right") - 1)]] = False
+        return good
+
+    @staticmethod
+    def _links(a, b, from_a, from_b, size_a, size_b, part, n):
+        """codes, times (part by part) and how many each part has."""
+        wide = size_a * size_b > WIDE
+        some = np.flatnonzero(~wide)
+        lens = size_a[some] * size_b[some]
+        group = np.repeat(some, lens)
+        within = np.arange(len(group)) - np.repeat(np.cumsum(lens) - lens, lens)
+        codes = a[from_a[group] + within // size_b[group]] << SHIFT | b[from_b[group] + within % size_b[group]]
+        times, owner = np.ones(len(codes), np.int64), part[group]
+        if wide.any():  # by distinct ids: bounded by the vocabularies
+            more = [(part[g], x << SHIFT | y, p * q) for g in np.flatnonzero(wide)
+                    for right in [Counter(b[from_b[g]:from_b[g] + size_b[g]].tolist()).items()]
+                    for x, p in Counter(a[from_a[g]:from_a[g] + size_a[g]].tolist()).items() for y, q in right]
+            extra = np.array(more, np.int64)
+            owner, codes, times = (np.concatenate([x, extra[:, k]]) for k, x in enumerate((owner, codes, times)))
+            order = np.argsort(owner, kind="stable")
+            owner, codes, times = owner[order], codes[order], times[order]
+        return codes, times, np.bincount(owner, minlength=n)
+
+    def _spell(self, a, b, i, j, size_a, size_b, tokens) -> tuple[bytes, list[int]]:
+        """The groups of all parts as text, and where each part's begins."""
+        group_a, group_b = np.repeat(np.arange(len(i)), size_a), np.repeat(np.arange(len(j)), size_b)
+        last_a, last_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
+        last_a[i], last_b[j] = True, True
+        inside_a, behind_a, inside_b, behind_b = self.atom_of
+        atoms = np.empty(len(a) + len(b), np.int64)
+        atoms[np.arange(len(a)) + (_before(size_b))[group_a]] = a + np.where(last_a, behind_a, inside_a)
+        atoms[np.arange(len(b)) + (_before(size_a))[group_b + 1]] = b + np.where(last_b, behind_b, inside_b)
+        data, ends = tb.buffer_of(self.atoms.take(pa.array(atoms)))
+        return data.tobytes(), ends[_before(tokens)].tolist()
 
     def numbers(self, texts: list[str]) -> list[list[int]]:
         """The numbers of the parts of each text."""
@@ -188,8 +251,8 @@ class Aligner:
             self._learn(list(new))
         return [list(map(self.number.__getitem__, s)) for s in split]
 
-    def groups_of(self, numbers: list[int]) -> str:
-        return ";".join(map(self.spelled.__getitem__, numbers))
+    def groups_of(self, numbers: list[int]) -> bytes:
+        return b"".join(map(self.spelled.__getitem__, numbers))[:-1]
 
 
 def _spread(first: np.ndarray, lens: np.ndarray) -> np.ndarray:
@@ -201,7 +264,7 @@ def _spread(first: np.ndarray, lens: np.ndarray) -> np.ndarray:
 def _pairs(aligner: Aligner, rows: np.ndarray, parts: np.ndarray):
     """The distinct id pairs of a chunk, and of each (row, pair) the row, the
     pair's index among them and how many links it stands for."""
-    codes, times, first = (np.array(c) for c in (aligner.codes, aligner.times, aligner.first))
+    codes, times, first = aligner.codes, aligner.times, aligner.first
     used = np.unique(parts)
     held = _spread(first[used], first[used + 1] - first[used])
     distinct = np.unique(codes[held])
@@ -230,7 +293,7 @@ def align(docs: DataFrame, spec: str, model: bytes, doc_id: str = "doc_id", text
             for rows, texts in tb.chunks(batch):
                 out = []
                 for numbers in aligner.numbers(texts.to_pylist()):
-                    said = "" if any(aligner.counts[4 * n] < 0 for n in numbers) else aligner.groups_of(numbers)
+                    said = "" if (aligner.counts[numbers, 0] < 0).any() else aligner.groups_of(numbers).decode()
                     out.append([dict(zip("ab", ([int(i) for i in side.split(",")] for side in g.split("|"))))
                                 for g in said.split(";") if g])
                 kind = pa.list_(pa.struct([("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32()))]))
@@ -254,14 +317,14 @@ def _chunk(aligner: Aligner, chunk: int, ids: pa.Array, texts: list[str]) -> lis
     n, lens = len(texts), np.array([len(x) for x in numbers], np.int64)
     parts = np.fromiter(chain.from_iterable(numbers), np.int64, int(lens.sum()))
     rows = np.repeat(np.arange(n), lens)
-    counts = np.array(aligner.counts).reshape(-1, 4)
+    counts = aligner.counts
     good = np.ones(n, bool)
     good[rows[counts[parts, 0] < 0]] = False
     keep = good[rows]
     rows, parts = rows[keep], parts[keep]
     sums = np.zeros((n, 4), np.int64)
     np.add.at(sums, rows, counts[parts])
-    sha = [hashlib.sha256(aligner.groups_of(x).encode()).hexdigest() if ok and x else "" for ok, x in zip(good, numbers)]
+    sha = [hashlib.sha256(aligner.groups_of(x)).hexdigest() if ok and x else "" for ok, x in zip(good, numbers)]
     codes, row, pair, times = _pairs(aligner, rows, parts)
     offsets = pa.array(np.searchsorted(row, np.arange(n + 1)), pa.int32())
 
