@@ -44,14 +44,13 @@ def unit_ends(text: str) -> list[int]:
     return ends
 
 
-def units(text: str):
-    """(end, words, digest) of the units."""
-    at, out = 0, []
-    for end in unit_ends(text):
-        words = text[at:end].encode().lower().split()  # ASCII letters and white space only
-        out.append((end, len(words), xxhash.xxh3_128_digest(b" ".join(words))))
+def units(text: str) -> tuple[list[int], list[list[bytes]]]:
+    """Ends and normalised words of the units."""
+    ends, at, words = unit_ends(text), 0, []
+    for end in ends:
+        words.append(text[at:end].encode().lower().split())  # ASCII letters and white space only
         at = end
-    return out
+    return ends, words
 
 
 def removed_runs(later: list[int], words: list[int], min_run: int) -> list[int]:
@@ -69,37 +68,38 @@ def removed_runs(later: list[int], words: list[int], min_run: int) -> list[int]:
     return out
 
 
-_STAGED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("text", pa.large_string()),
-                     ("ends", pa.list_(pa.int32())), ("words", pa.list_(pa.int32())), ("h", pa.list_(pa.binary()))])
+_STAGED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("text", pa.large_string()), ("n_units", pa.int64()),
+                     ("h", pa.list_(pa.binary()))])
 
 
 def _stage(docs: DataFrame) -> DataFrame:
-    """Every row with its number and its units, in the shared folder."""
+    """Every row with its number and the digests of its units (null for a unit
+    without a word), in the shared folder."""
     def run(batches):
         row = TaskContext.get().partitionId() << 32
         for batch in batches:
             for rows, texts in tb.chunks(batch):
-                cols = [list(zip(*units(text))) or [(), (), ()] for text in texts.to_pylist()]
+                h = [[xxhash.xxh3_128_digest(b" ".join(w)) if w else None for w in units(text)[1]] for text in texts.to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(range(row, row + len(cols)), pa.int64()), rows.column(0).cast(pa.int64()), texts,
-                     *(pa.array([c[i] for c in cols], _STAGED.field(3 + i).type) for i in range(3))], schema=_STAGED)
-                row += len(cols)
+                    [pa.array(range(row, row + len(h)), pa.int64()), rows.column(0).cast(pa.int64()), texts,
+                     pa.array([len(x) for x in h], pa.int64()), pa.array(h, _STAGED.field(4).type)], schema=_STAGED)
+                row += len(h)
 
     path = fresh_path(docs.sparkSession, "units")
-    docs.select("doc_id", "text").mapInArrow(
-        run, "row bigint, doc_id bigint, text string, ends array<int>, words array<int>, h array<binary>").write.parquet(path)
+    docs.select("doc_id", "text").mapInArrow(run, "row bigint, doc_id bigint, text string, n_units bigint, h array<binary>") \
+        .write.option("compression", "zstd").parquet(path)
     return docs.sparkSession.read.parquet(path)
 
 
 def later_units(staged: DataFrame) -> DataFrame:
     """of, later: the row and the numbers of its units that stood earlier."""
     shared_root(staged.sparkSession)
-    found = staged.select("row", "doc_id", F.posexplode(F.arrays_zip("h", "words")).alias("n", "u")) \
-        .filter("u.words > 0").select("row", "doc_id", "n", F.col("u.h").alias("h"))
+    found = staged.select("row", "doc_id", F.posexplode("h").alias("n", "h")).filter("h is not null")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "n")
-    first = found.groupBy("h").agg(F.min(rank).alias("first"), F.count("*").alias("times")) \
-        .filter("times > 1").select("h", "first").checkpoint()  # so that the join may split a frequent unit
-    return found.join(first, "h").filter(rank != F.col("first")) \
+    first = found.groupBy("h").agg(F.min(rank).alias("first"), F.count("*").alias("times")).filter("times > 1") \
+        .select("h", F.col("first.row").alias("first_row"), F.col("first.n").alias("first_n")) \
+        .checkpoint()  # so that the join may split a frequent unit
+    return found.select("row", "n", "h").join(first, "h").filter("row <> first_row or n <> first_n") \
         .groupBy(F.col("row").alias("of")).agg(F.collect_list("n").alias("later"))
 
 
@@ -109,19 +109,22 @@ def remove_repeats(docs: DataFrame, min_run: int = 30) -> DataFrame:
     staged = _stage(docs)
     schema = "doc_id bigint, text string, n_units bigint, n_removed bigint, removed_spans string"
 
+    def kept(text, later):
+        """The text without its removed runs, how many units went, their spans."""
+        if not later:
+            return text, 0, ""
+        ends, words = units(text)
+        gone = removed_runs(later, [len(w) for w in words], min_run)
+        starts, drop = [0, *ends], set(gone)
+        return ("".join(text[starts[n]:ends[n]] for n in range(len(ends)) if n not in drop), len(gone),
+                ",".join(f"{starts[n]}:{ends[n]}" for n in gone))
+
     def run(batches):
         for batch in batches:
-            out = []
-            for text, ends, words, later in zip(*(batch.column(i).to_pylist() for i in range(1, 5))):
-                gone = removed_runs(later or [], words, min_run)
-                starts = [0, *ends]
-                if gone:
-                    drop = set(gone)
-                    text = "".join(text[starts[n]:ends[n]] for n in range(len(ends)) if n not in drop)
-                out.append((text, len(ends), len(gone), ",".join(f"{starts[n]}:{ends[n]}" for n in gone)))
-            cols = list(zip(*out)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(
-                cols, (pa.string(), pa.int64(), pa.int64(), pa.string())))], names=[c.split()[0] for c in schema.split(", ")])
+            cols = list(zip(*map(kept, batch.column(1).to_pylist(), batch.column(3).to_pylist()))) or [()] * 3
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(cols[0], pa.string()), batch.column(2), pa.array(cols[1], pa.int64()),
+                 pa.array(cols[2], pa.string())], names=[c.split()[0] for c in schema.split(", ")])
 
     return staged.join(later_units(staged), F.col("row") == F.col("of"), "left") \
-        .select("doc_id", "text", "ends", "words", "later").mapInArrow(run, schema)
+        .select("doc_id", "text", "n_units", "later").mapInArrow(run, schema)
