@@ -1,5 +1,13 @@
 """Main text: landmarks, the site style tree, odd input."""
 
+import math
+import time
+from collections import Counter, defaultdict
+
+import pytest
+
+from trafficlens.llm import style_tree as ST
+from trafficlens.llm.html_text import parse
 from trafficlens.llm.style_tree import Page, main_text
 
 
@@ -81,3 +89,77 @@ def test_wrappers_and_teasers_hide_nothing(spark):
                                         (3, "http://c.example/", card)])))
     assert got == {1: "Go\n\nThe story", 2: "A long story without any article",
                    3: "A long story beside a card, told in full\n\nCard"}
+
+
+def test_adverts_and_reader_comments_inside_an_article_go(spark):
+    page = ("<article><h1>Story {i}</h1><p>What happened to {i} on that day, told at length</p><div class='ad'><p>Buy product "
+            "{i} now</p></div><section class='comments'><p>Reader {i} says so</p></section><form><p>Send {i}</p></form>"
+            "<h2 class='comments'>On comments of {i}</h2></article>")
+    rows = [(i, f"http://six.example/{i}", page.format(i=i)) for i in range(6)] + [(9, "http://one.example/", page.format(i=9))]
+    got = texts(main_text(pages(spark, rows)))
+    assert got == {i: f"Story {i}\n\nWhat happened to {i} on that day, told at length\n\nOn comments of {i}" for i in [*range(6), 9]}
+
+
+def test_a_host_of_one_page(spark):
+    html = ("<div class='site-menu'>Home About</div><div><a href='/'>Start</a> <a href='/b'>Blog</a></div>"
+            "<div class='story'><p>A story of some length, with <a href='x'>a link</a> in it.</p><p>And more of it.</p></div>"
+            "<div class='comment-list'><p>Nice</p></div>")
+    got = texts(main_text(pages(spark, [(1, "http://one.example/", html)])))
+    assert got[1] == "A story of some length, with a link in it.\n\nAnd more of it."
+
+
+@pytest.mark.parametrize("html,text", [
+    ("<div>" * 100_000 + "deep", "deep"), ("<b>" * 100_000 + "deep", "deep"), ("<b>" * 20_000 + "</i>" * 20_000 + "x", "x"),
+    ("<i><div>" + "<b>" * 20_000 + "</i>" * 20_000 + "x", "x"), ("<p><font>" * 30_000 + "x", "x"), ("<ul><li>" * 30_000 + "x", "x"),
+    ("<a b " * 200_000, ("<a b " * 200_000).strip()), ("<a b=\"" * 150_000, None), ("<a b='" * 150_001, None), ("<" * 500_000, "<" * 500_000),
+    ("<!" * 300_000, ""), ("<!--" * 200_000, ""), ("<script>" * 100_000, ""), ("</p>" * 200_000 + "x", "x"), ("<td>" * 100_000 + "x", "x")],
+    ids=range(15))
+def test_odd_pages_take_time_in_proportion(html, text):
+    began = time.process_time()
+    got = ST.Page(html).text(set())
+    assert time.process_time() - began < 20 and (text is None or got == text)
+
+
+def test_quotes_and_stray_signs():
+    got = ST.Page("<p title='a > b' class=\"c\">one <em x=\"y>two</em> 3 < 4 <5 & </ p><p class='open>six</p>").text(set())
+    assert got == "one two 3 < 4 <5 & </ p>\n\nsix"
+    assert parse("<a\nhref='x'>t</a>").children[0].attrs == {"href": "x"}
+
+
+def test_importance_matches_the_definition(spark):
+    """Entropy of styles and share of texts, recomputed page by page."""
+    rows = []
+    for i in range(12):
+        parts = ["<div class='top'>Same bar</div>", f"<div class='mid'><p>Text {i % 5}</p>{'<b>x</b>' * (i % 3)}<p>Tail</p></div>"]
+        parts += ["<ul><li>One</li><li>Two</li></ul>"] * (i % 2) + [f"<div class='rare'>only {i}</div>"] * (i < 4)
+        rows.append((i, f"http://h{i % 2}.example/{i}", "".join(parts)))
+    df = pages(spark, rows)
+    nodes = ST._nodes(df)
+    got = {(r.key, r.number): r.own for r in ST.importance(nodes).collect()}
+    key_of = {r.page_id: (r.key, r.host) for r in ST._keyed(df).collect()}
+    looks, seen = defaultdict(Counter), defaultdict(set)
+    for i, _, html in rows:
+        for _, node, look, text, _ in set(ST.Page(html).nodes):
+            place = key_of[i][1], node
+            seen[place].add(i)
+        for one in {(node, look, text) for _, node, look, text, _ in ST.Page(html).nodes}:
+            looks[key_of[i][1], one[0]][one[1:]] += 1
+    n = 0
+    for i, _, html in rows:
+        key, host = key_of[i]
+        for number, (_, node, look, text, state) in enumerate(ST.Page(html).nodes):
+            if state in (ST.NOISE, ST.MAIN):
+                continue
+            m, counts = len(seen[host, node]), looks[host, node]
+            if m == 1:
+                want = 0.0 if state == ST.BOX_HINT else 1.0
+            elif text:
+                want = 1 - math.log2(counts[look, text]) / math.log2(m)
+            else:
+                total = sum(counts.values())
+                want = min(1.0, -sum(c / total * math.log2(c / total) for c in counts.values()) / math.log2(m))
+            if state != ST.OPEN and m > 1:
+                want /= 2
+            assert abs(got[key, number] - want) < 1e-9
+            n += 1
+    assert n == len(got) > 50

@@ -19,12 +19,15 @@ tree: a branch in which no element or text reaches the importance
 ``least`` is removed. The tree does not overrule a landmark: menus and
 adverts differ by page, and an article may be on several.
 
-Inside an article a name is only a hint, as is a form anywhere: the branch
-is judged by the tree with half its importance. Where the host has the
-node on one page only, there is nothing to judge by: a named line
-(heading, paragraph, item ...) stays, a named box or a form goes. A named
-box or a form that holds most of the page's text, and outside of articles
-the page's article if it has one, wraps the page and is no hint.
+Inside an article forms and boxes named as adverts, reader comments, menus
+or calls to share have 0 as well; any other name there is only a hint, as
+are, outside, a form, a role that is a part of a box's name ("site-menu")
+and a box of links alone: the branch is judged by the tree with half its
+importance. Where the host has the node on one page only, there is nothing
+to judge by: a named line (heading, paragraph, item ...) stays, a hinted
+box goes. A named box or a form that holds most of the page's text, and
+outside of articles the page's article if it has one, wraps the page and
+is no hint.
 
 A page's nodes are one row of arrays; counts are pre-aggregated in each
 task by (host, node, style or text); nothing is gathered by host alone,
@@ -32,7 +35,8 @@ and only the nodes of pages with undecided text are joined.
 
 Defined cases: null and empty html have no text; rows equal in url and
 html are one page in each count and each get a row; a null or odd url is
-the host ''; very long pages are parsed whole; other columns are ignored.
+the host ''; very long pages, and any depth of unclosed tags, are parsed
+whole, in time that grows with the page; a < that begins no tag is text; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -54,6 +58,10 @@ NOISE_WORDS = frozenset("ad ads advert adverts advertisement banner breadcrumb b
                         "cookies consent disqus footer header masthead menu modal nav navbar navigation newsletter "
                         "notice notices popup promo related reply replies share sharing sidebar social sponsor "
                         "sponsored subscribe toolbar widget contentinfo complementary search".split())
+# Boxes of these names are no part of an article they stand in.
+ALIEN_WORDS = frozenset("ad ads advert adverts advertisement breadcrumb breadcrumbs comment comments cookie cookies "
+                        "consent disqus menu modal nav navbar navigation newsletter popup promo reply replies share "
+                        "sharing sidebar social sponsor sponsored subscribe".split())
 MAIN_TAGS = frozenset(("article", "main"))
 LINES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre table tr td th caption figcaption".split())
 NOISE, MAIN, OPEN, LINE_HINT, BOX_HINT = range(5)
@@ -74,6 +82,29 @@ def _main(node: Node) -> bool:
     return node.tag in MAIN_TAGS or "main" in node.names()[-1:]
 
 
+_NO_SIZE = (0, False, 0, 0)
+
+
+def _sizes(root: Node) -> dict[int, tuple[int, bool, int, int]]:
+    """By element: characters outside noise tags, whether a main element is
+    inside, characters in links, links."""
+    order = [(root, -1)]
+    for k, (node, _) in enumerate(order):  # grows on the way: parents come first
+        order += [(c, k) for c in node.children if isinstance(c, Node) and (c.tag not in NOISE_TAGS or c.tag == "header")]
+    found = [[0, False, 0, 0] for _ in order]
+    for k in range(len(order) - 1, -1, -1):
+        node, parent = order[k]
+        mine = found[k]
+        mine[0] += sum(len(c.strip()) for c in node.children if not isinstance(c, Node))
+        if parent >= 0:
+            up, link = found[parent], node.tag == "a"
+            up[0] += mine[0]
+            up[1] = up[1] or mine[1] or _main(node)
+            up[2] += mine[0] if link else mine[2]
+            up[3] += 1 if link else mine[3]
+    return {id(node): tuple(x) for (node, _), x in zip(order, found) if node.children}
+
+
 class Page:
     """A page's blocks in order and its nodes.
 
@@ -87,10 +118,10 @@ class Page:
         self.blocks: list[tuple[str, int | None]] = []
         self.nodes: list[tuple[int, int, int, bool, int]] = []
         self._run: list[str] = []
-        self._sizes: dict[int, tuple[int, bool]] = {}
         root = parse(page)
-        self._all = self._size(root)
-        self._walk(root, OPEN, -1, _number("#root"))
+        self._sizes = _sizes(root)
+        self._all = self._sizes.get(id(root), _NO_SIZE)
+        self._walk(root)
 
     def _flush(self, parent: int, key: int, state: int) -> None:
         text = squeeze("".join(self._run))
@@ -101,77 +132,75 @@ class Page:
         if state != NOISE:
             self.blocks.append((text, None if state == MAIN else len(self.nodes) - 1))
 
-    def _size(self, node: Node) -> tuple[int, bool]:
-        """Characters outside noise tags, and whether a main element is inside."""
-        chars, main = 0, False
-        for c in node.children:
-            if not isinstance(c, Node):
-                chars += len(c.strip())
-            elif c.tag not in NOISE_TAGS or c.tag == "header":
-                n, m = self._size(c)
-                chars, main = chars + n, main or m or _main(c)
-        if node.children:
-            self._sizes[id(node)] = chars, main
-        return chars, main
-
     def _wraps(self, node: Node, inside: bool) -> bool:
         """Holds most of the page's text, and its main element if outside one."""
-        chars, main = self._sizes.get(id(node), (0, False))
+        chars, main, _, _ = self._sizes.get(id(node), _NO_SIZE)
         return 2 * chars > self._all[0] and (inside or main or not self._all[1])
 
+    def _hinted(self, node: Node) -> bool:
+        """A box whose name holds a role as a part, or that is made of links."""
+        if node.tag not in BLOCK or node.tag in LINES or self._wraps(node, False):
+            return False
+        chars, main, linked, links = self._sizes.get(id(node), _NO_SIZE)
+        if main:
+            return False
+        return bool(node.attrs) and not NOISE_WORDS.isdisjoint(node.names()) or links > 1 and 5 * linked >= 4 * chars
+
     def _state(self, node: Node, state: int) -> int:
         """The state of an element in a branch of ``state``."""
         if state == NOISE or node.tag in ("html", "body"):
             return state
         if node.tag in NOISE_TAGS and not (node.tag == "header" and state != OPEN):
             return NOISE
+        named = bool(node.attrs) and not NOISE_WORDS.isdisjoint(tokens := _tokens(node))
+        if state != OPEN and (node.tag == "form" or named and node.tag not in LINES and node.tag in BLOCK
+                              and not ALIEN_WORDS.isdisjoint(tokens)) and not self._wraps(node, True):
+            return NOISE
         if state in (LINE_HINT, BOX_HINT):
             return state
-        named = bool(node.attrs) and not NOISE_WORDS.isdisjoint(_tokens(node))
         if state == MAIN:
-            if (named and node.tag in BLOCK or node.tag == "form") and not self._wraps(node, True):
+            if named and node.tag in BLOCK and not self._wraps(node, True):
                 return LINE_HINT if node.tag in LINES else BOX_HINT
             return MAIN
         if node.tag == "form":
-            holds = self._sizes.get(id(node), (0, False))[1]
+            holds = self._sizes.get(id(node), _NO_SIZE)[1]
             return OPEN if holds or self._wraps(node, False) else BOX_HINT
         if named and not self._wraps(node, False):
             return NOISE
-        return MAIN if _main(node) else OPEN
+        return MAIN if _main(node) else BOX_HINT if self._hinted(node) else OPEN
 
-    def _walk(self, node: Node, state: int, parent: int, key: int) -> None:
+    def _enter(self, node: Node, state: int, parent: int, key: int) -> list:
+        """The node of a block, and a frame to walk its children in."""
         looks = [c.signature() if isinstance(c, Node) else "#text" for c in node.children
                  if isinstance(c, Node) or c.strip()]
         style = _number("style", *[s for i, s in enumerate(looks) if not i or looks[i - 1] != s])
         self.nodes.append((parent, key, style, False, state))
-        mine = len(self.nodes) - 1
-        for c in node.children:
-            if not isinstance(c, Node):
-                self._run.append(c)
+        return [iter(node.children), len(self.nodes) - 1, key, state, True]
+
+    def _walk(self, root: Node) -> None:
+        """Blocks and nodes in page order. A frame is a block, or an inline
+        element inside one (whose text belongs to the block around it)."""
+        frames = [self._enter(root, OPEN, -1, _number("#root"))]
+        while frames:
+            children, mine, key, state, block = frames[-1]
+            c = next(children, None)
+            if c is None:
+                frames.pop()
+                if block:
+                    self._flush(mine, key, state)
                 continue
-            role = self._state(c, state)
-            if c.tag == "br":
-                self._run.append(" ")
-            elif c.tag in BLOCK or role == MAIN != state:
-                self._flush(mine, key, state)
-                self._walk(c, role, mine, _number(key, c.signature()))
-            elif role == state:  # inline: its text belongs to the block around it
-                self._inline(c, mine, key, state)
-        self._flush(mine, key, state)
-
-    def _inline(self, node: Node, mine: int, key: int, state: int) -> None:
-        for c in node.children:
             if not isinstance(c, Node):
                 self._run.append(c)
                 continue
             role = self._state(c, state)
             if c.tag == "br":
                 self._run.append(" ")
-            elif c.tag in BLOCK:  # a block inside inline markup
+            elif c.tag in BLOCK or block and role == MAIN != state:
                 self._flush(mine, key, state)
-                self._walk(c, role, mine, _number(key, "inline", c.signature()))
-            elif role != NOISE or state == NOISE:
-                self._inline(c, mine, key, state)
+                inner = (key, c.signature()) if block else (key, "inline", c.signature())
+                frames.append(self._enter(c, role, mine, _number(*inner)))
+            elif role == state if block else role != NOISE or state == NOISE:
+                frames.append([iter(c.children), mine, key, state, False])
 
     def undecided(self) -> bool:
         return any(n is not None for _, n in self.blocks)
