@@ -67,29 +67,28 @@ def fitted(df: DataFrame, schema: StructType) -> DataFrame:
 
 
 def insert_overwrite(df: DataFrame, name: str) -> None:
-    """INSERT OVERWRITE TABLE .. SELECT: the rows replace all others."""
-    spark = df.sparkSession
-    rows = fitted(df, spark.table(name).schema)
-    if _partitions(spark, name):  # static: also partitions without new rows go
-        rows.createOrReplaceTempView(view := f"_rows_{uuid.uuid4().hex[:12]}")
-        mode = "spark.sql.sources.partitionOverwriteMode"
-        old = spark.conf.get(mode)
-        spark.conf.set(mode, "static")
-        try:
-            spark.sql(f"INSERT OVERWRITE TABLE {name} SELECT * FROM {view}")
-        finally:
-            spark.conf.set(mode, old)
-            spark.catalog.dropTempView(view)
-    else:
-        load_into(rows, name, overwrite=True)
+    """INSERT OVERWRITE TABLE .. SELECT: the rows replace all others, also
+    partitions without new rows."""
+    _overwrite(df, name, "static")
 
 
 def overwrite_partitions(df: DataFrame, name: str) -> None:
     """INSERT OVERWRITE of the partitions that the rows have; others stay."""
-    spark = df.sparkSession
-    if not _partitions(spark, name):
+    if not _partitions(df.sparkSession, name):
         raise ValueError(f"{name} has no partitions")
-    fitted(df, spark.table(name).schema).write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
+    _overwrite(df, name, "dynamic")
+
+
+def _overwrite(df: DataFrame, name: str, mode: str) -> None:
+    """The writer's option does not reach ``insertInto``: the session's does,
+    for the time of the insert."""
+    spark, key = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    old = spark.conf.get(key)
+    spark.conf.set(key, mode)
+    try:
+        load_into(fitted(df, spark.table(name).schema), name, overwrite=True)
+    finally:
+        spark.conf.set(key, old)
 
 
 def _partitions(spark: SparkSession, name: str) -> list[str]:
