@@ -29,6 +29,7 @@ from trafficlens.plans import merge_rank as MR
 from trafficlens.session import fresh_path
 from trafficlens.sources import bindings as B
 from trafficlens.sources import catalog as CT
+from trafficlens.sources import doc_store as DS
 from trafficlens.sources import dumps as DP
 from trafficlens.sources import manifest as MF
 from trafficlens.sources import pagecounts as PC
@@ -1242,3 +1243,57 @@ def indexed_trends(spark, sf) -> tuple[DataFrame, str]:
           "where regexp_matches(title, '^Customer_0+[1-9]?77$')")
 def q_trend_search_pattern(spark, sf):
     return TI.trend_search_indexed(*indexed_trends(spark, sf), "^Customer_0+[1-9]?77$")
+
+
+# ----------------------------------------------------------------------------
+# Metrics observed on the write (S24), seasonal forecast (M1), the connector
+
+@register("load_stats_observed", f"""with {V7} {parsed_sql('v7', 'doc_id, stamp')}
+select count(*)::BIGINT as lines, count(*) filter (where status = 'ok')::BIGINT as accepted,
+  sum(views) filter (where status = 'ok')::BIGINT as views from parsed""")
+def q_load_stats_observed(spark, sf):
+    """The write of the accepted lines counts what it reads."""
+    parsed, seen = C.observed(v7_parsed(spark, sf), "load")
+    parsed.where("status = 'ok'").select("title", "views", "stamp").write.parquet(fresh_path(spark, "accepted"))
+    got = seen.get
+    return spark.createDataFrame([(got["lines"], got["accepted"], got["views"])], "lines bigint, accepted bigint, views bigint")
+
+
+SEASONAL = f"""with recursive {V1}
+, pts as (select title, views::DOUBLE as y, (row_number() over (partition by title order by dt) - 1)::INTEGER as i from v1)
+, fold as (
+  select title, 0 as i, y as level, [0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0]::DOUBLE[] as s, 0.0::DOUBLE as off from pts where i = 0
+  union all
+  select f.title, f.i + 1, f.level + 0.3::DOUBLE * e, list_transform(range(1, 8), lambda k:
+      case when k = f.i % 7 + 1 then f.s[k] + (0.2::DOUBLE * (1 - 0.3::DOUBLE)) * e else f.s[k] end),
+    f.off + case when f.i >= 7 then abs(e) else 0.0 end
+  from fold f join lateral (select y - f.level - f.s[f.i % 7 + 1] as e from pts where pts.title = f.title and pts.i = f.i) p on true)
+, done as (select f.* from fold f join (select title, count(*) as n from pts group by title) c on c.title = f.title and c.n = f.i)
+select title, i::BIGINT as n, round(level, {FIT_DECIMALS}) as level, round(off / (i - 7), {FIT_DECIMALS}) as error,
+  round(level + s[i % 7 + 1], {FIT_DECIMALS}) as forecast_1, round(level + s[(i + 6) % 7 + 1], {FIT_DECIMALS}) as forecast_7
+from done"""
+
+
+@register("forecast_seasonal", SEASONAL)
+def q_forecast_seasonal(spark, sf):
+    f = M.seasonal_forecast(v1(spark, sf), horizons=(1, 7))
+    return f.select("title", "n", *[F.round(c, FIT_DECIMALS).alias(c) for c in ("level", "error", "forecast_1", "forecast_7")])
+
+
+@register("publish_connector", f"with {V3} {trend_sql('v3')} {DOCS_SQL}")
+def q_publish_connector(spark, sf):
+    """All documents, with other counts on the even days, then the documents of
+    the even days again: each id holds what was sent last."""
+    root = fresh_path(spark, "doc_store")
+    docs = D.search_documents(T.trend_table(v3(spark, sf)))
+    even = F.day("page_date") % 2 == 0
+    DS.publish(docs.withColumn("page_views", F.when(even, F.col("page_views") + 1000).otherwise(F.col("page_views"))), root)
+    DS.publish(docs.where(even), root)
+    return DS.read_docs(spark, root)
+
+
+@register("file_regex", f"with {V4} select value, stamp from v4 where regexp_matches(stamp, '^2015030[12](0[0-9]|1[0-2])')")
+def q_file_regex(spark, sf):
+    """Files chosen by a regex on their names."""
+    root = staged(spark, v4_lines(spark, sf), "v4files")
+    return PC.read_pagecounts(spark, root, name_regex="pagecounts-2015030[12]-(0[0-9]|1[0-2])").select("value", "stamp")
