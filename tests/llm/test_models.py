@@ -67,6 +67,70 @@ def test_secrets(spark):
     assert scan_secrets(df.limit(0)).count() == 0
 
 
+def keys(n, length=32, seed=5):
+    import random
+    rng = random.Random(seed)
+    return ["".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=length)) for _ in range(n)]
+
+
+IDENTIFIERS = [f"{a}{b}{c}" for a in ("get", "user_account_", "HTTP", "max-", "Parse", "on") for b in ("Request", "handler_", "Connection", "value-")
+               for c in ("Factory", "count", "Listener", "per_second", "index2", "Exception")] + ["2024-05-12-10-30-59", "123-456-789-012", "200000000000"]
+
+
+@pytest.mark.parametrize("unmarked,marked", [(30, 300), (600, 300)])
+@pytest.mark.parametrize("length", [32, 20])
+def test_unmarked_keys_are_found(spark, unmarked, marked, length):
+    """Recall of random keys without a marker, and false spans on identifiers."""
+    loose, known = keys(unmarked, length, 1), keys(marked, length, 2)
+    rows = [(i, f"use {k} here") for i, k in enumerate(loose)] + [(10_000 + i, f"api_key = '{k}'") for i, k in enumerate(known)]
+    rows += [(20_000 + i, f"call {w} now then") for i, w in enumerate(IDENTIFIERS)]
+    got = {r.doc_id: r for r in scan_secrets(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    found = sum(f"markov:4:{4 + length}" in got[i].spans for i in range(unmarked))
+    assert found >= 0.9 * unmarked
+    assert all("markov" not in got[10_000 + i].spans for i in range(marked))
+    wrong = sum("markov" in got[20_000 + i].spans for i in range(len(IDENTIFIERS)))
+    assert wrong <= 0.01 * len(IDENTIFIERS)
+
+
+def test_the_part_outside_base_spans_is_scored(spark):
+    """A hex digest with a key behind it, keys around an assignment; the models
+    recomputed from the definition."""
+    key = keys(1, 32)[0]
+    digest = hashlib.sha1(b"x").hexdigest()[:17]
+    marked = [f"password: {k}" for k in keys(100, 24, 3)]
+    words = [f"{w} and {w}_again" for w in IDENTIFIERS]
+    texts = [f"{digest}-{key}", f"{key}_token={keys(1, 20, 4)[0]}", f"é {key[:14]} {key[:11]}", f"AKIA{'Q7' * 8}{digest}"] + marked + words
+    rows = list(enumerate(texts))
+    got = {r.doc_id: r for r in scan_secrets(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got[0].spans == f"hex:0:17,markov:17:{17 + 33}" and got[1].spans == f"markov:0:33,assign:33:{33 + 26}"
+    assert got[2].spans == "markov:2:16" and got[3].spans.startswith("access:0:") and "markov" not in got[3].spans
+    # ratios by the definition
+    import math
+    from collections import Counter
+    secret = {digest, keys(1, 20, 4)[0], *keys(100, 24, 3)} | {
+        m for t in texts for kind in (r"AKIA[A-Z0-9]{14,}", r"[0-9a-f]{16,}") for m in re.findall(kind, t)}
+    shape = re.compile(r"[-+/_=]*((?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[A-Za-z](?![A-Za-z0-9]))[-+/_=]*)+[0-9]{0,4}[-+/_=]*|[-+/_=0-9]*")
+    plain = {m for t in words for m in re.findall(r"[A-Za-z0-9+/_=-]{12,}", t) if shape.fullmatch(m)}
+    models = []
+    for strings in (secret, plain):
+        pairs = Counter(x for s in strings for x in zip(s, s[1:]))
+        first, second = (Counter(x[k] for s in strings for x in zip(s, s[1:])) for k in (0, 1))
+        total = sum(second.values()) + 67
+        models.append(lambda a, b, p=pairs, f=first, s=second, t=total: math.log((p[a, b] + 8 * (s[b] + 1) / t) / (f[a] + 8)))
+    want = sum(models[0](a, b) - models[1](a, b) for a, b in zip("-" + key, key))
+    assert abs(got[0].added[0].ratio - want) < 1e-3
+
+
+def test_many_assignments_in_one_text(spark):
+    import time
+    text = " ".join(f"token={k} and_some_identifier" for k in keys(8000, 20))
+    df = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    scan_secrets(df.limit(0)).count()
+    began = time.time()
+    r = scan_secrets(df).first()
+    assert r.n_assign == 8000 and "markov" not in r.spans and time.time() - began < 60
+
+
 def test_positions_of_many_matches(spark):
     """More matches than a block of running totals."""
     text = "é ".join(hashlib.sha1(str(i).encode()).hexdigest() for i in range(700))
