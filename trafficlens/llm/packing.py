@@ -42,7 +42,7 @@ from trafficlens.session import fresh_path
 
 from . import text_batches as tb
 
-CACHE = 800_000  # distinct words, and parts of them, that a task remembers
+CACHE = 1_200_000  # distinct words, and parts of them, that a Python worker remembers
 EFFORT = 200_000  # exchanges the local search may make
 
 Pattern = tuple[tuple[int, int], ...]  # (length, copies), longest first
@@ -85,7 +85,7 @@ def has_parts(spec: dict) -> bool:
 
 
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit integers. A task remembers
+    """Ids of texts as little-endian unsigned 32-bit integers. It remembers
     words, and the parts that words fall into."""
 
     def __init__(self, spec: str):
@@ -317,7 +317,8 @@ def cut(docs: DataFrame, tokenizer: str, capacity: int, separator: int = 0, ids:
     kinds = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, task int, rank bigint"
 
     def run(batches):
-        encoder, task = Encoder(sent.value), TaskContext.get().partitionId()
+        encoder = tb.of_worker("packing", hash(sent.value), lambda: Encoder(sent.value))
+        task = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             for rows, texts in tb.chunks(batch):

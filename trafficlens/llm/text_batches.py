@@ -7,7 +7,9 @@ its own), so a task's memory follows the chunk and not the batch.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +29,16 @@ LOWER[0x41:0x5B] += 32
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
+def of_worker(name: str, key, build: Callable[[], object]):
+    """The object that this Python worker keeps under a name for as long as the
+    key stays the same: tasks that a worker runs one after the other share it.
+    (This package travels with each task, so its own globals do not last.)"""
+    kept = sys.modules.setdefault("_kept_by_python_worker", types.ModuleType("_kept_by_python_worker")).__dict__
+    if kept.get(name, (None,))[0] != key:
+        kept[name] = key, build()
+    return kept[name][1]
+
+
 def text_column(batch: pa.RecordBatch, name: str) -> pa.Array:
     """The named column as large_string; null is the empty text."""
     col = batch.column(batch.schema.get_field_index(name)).cast(pa.large_string())
