@@ -4,6 +4,15 @@ A stage takes (spark, docs, sf_dir) and returns a frame that is written as
 Parquet and read again as the next stage's docs. Every stage works on all
 that its predecessor kept, judges its own input, and its decisions take
 effect; all but the last return the columns of documents.
+
+Defined cases, for every stage: a null text counts as empty and stays null;
+nulls in other columns stay; repeated rows are documents of their own, of
+which near_duplicates keeps one (of equal ids the smallest digest of the
+text, of equal rows any one, no id last); null, empty and blank texts share
+the fingerprint zero and are one group; very long texts are judged whole;
+columns beyond those of documents pass through all stages but the last,
+whatever their names, unless they begin with ``_llm_``; an empty table gives
+an empty one, and without labels nothing is toxic.
 """
 
 from __future__ import annotations
