@@ -177,6 +177,37 @@ def test_oracle(spark, key):
     assert verdict.startswith("ok"), verdict
 
 
+def test_stages_on_odd_rows(spark):
+    """Nulls, empty and long texts, repeated rows, clashing columns, stage by stage."""
+    import corpus_pipeline as C
+    sf = "/root/testdata/sf0.001"
+    docs = table(spark, sf, "documents")
+    strange = [(-1, None, "en", None, None), (-2, "", None, "s", 0), (-3, " \n", "en", "s", 2), (-4, "é wort " * 20_000, "de", "s", 140_000),
+               (None, "no id at all, call +1 (555) 123-4567", "en", "s", 36), (-6, "twice the very same words here", "en", "s", 30),
+               (-6, "twice the very same words here", "en", "s", 30), (None, None, None, None, None)]
+    odd_docs = spark.createDataFrame(strange, docs.schema).unionByName(docs) \
+        .selectExpr("*", "1 as score", "'x' as fp", "2 as spans", "doc_id as row", "3 as component_id").checkpoint()
+    model = toxicity_model(odd_docs, table(spark, sf, "labels"))
+    kept = C.toxicity(spark, odd_docs, sf)
+    assert kept.columns == odd_docs.columns
+    scored = [(r.doc_id, r.predicted) for r in score_toxicity(odd_docs, model).collect()]
+    left = [r.doc_id for r in kept.collect()]
+    assert sorted(left, key=str) == sorted((i for i, bad in scored if not bad), key=str)  # what is judged toxic goes
+    one = C.near_duplicates(spark, odd_docs, sf)
+    got = one.collect()
+    assert one.columns == odd_docs.columns and sum(r.doc_id == -6 for r in got) == 1
+    assert sum(not (r.text or "").strip() for r in got if (r.doc_id or -1) < 0) == 1  # the group of fingerprint zero
+    clean = C.decontamination(spark, odd_docs, sf)
+    assert clean.columns == odd_docs.columns and {r.doc_id for r in clean.collect()} >= {-1, -2, -3, -4, -6, None}
+    masked = C.pii(spark, odd_docs, sf)
+    by = {(r.doc_id, r.lang): r for r in masked.collect()}
+    assert masked.columns == odd_docs.columns and masked.count() == odd_docs.count()
+    assert by[None, "en"].text == "no id at all, call [PHONE]" and by[-1, "en"].text is None and by[None, None].n_chars is None
+    assert by[-4, "de"].n_chars == 140_000 and by[-4, "de"].score == 1
+    pieces = C.sentencepiece(spark, odd_docs, sf)
+    assert pieces.count() == odd_docs.count() and pieces.filter("doc_id < 0 and n_tokens = 0").count() == 2
+
+
 def test_pipeline(spark):
     import corpus_pipeline as C
     sf = "/root/testdata/sf0.001"
