@@ -18,7 +18,6 @@ an empty one, and without labels nothing is toxic.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from trafficlens.llm.contamination import find_contamination
 from trafficlens.llm.disclosure import sanitise
