@@ -115,11 +115,6 @@ def sum_array(arr) -> Column:
     return F.aggregate(_c(arr), F.lit(0).cast("bigint"), lambda acc, x: acc + x)
 
 
-def element_or(arr, i: int, default) -> Column:
-    """arr[i] (0-based) or a default past the end."""
-    return F.coalesce(F.try_element_at(_c(arr), F.lit(i + 1)), F.lit(default))
-
-
 def underscores_to_spaces(s) -> Column:
     """X7."""
     return F.replace(_c(s), F.lit("_"), F.lit(" "))
