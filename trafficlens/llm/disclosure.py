@@ -40,7 +40,7 @@ from . import text_batches as tb
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-PART_TERMS = 300_000  # distinct words a task counts, or remembers, at a time
+PART_TERMS = 150_000  # distinct words a task counts, or remembers, at a time
 # The contract's patterns; possessive repeats keep each linear in the text.
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -313,9 +313,10 @@ def _masked(docs: DataFrame, finish, schema, min_support: float = 3, generalise_
     def exact(sent):
         def run(batches):
             for batch in batches:
-                texts = tb.text_column(batch, "text").to_pylist()
-                base = list(map(base_spans, texts))
-                yield finish(batch, base, [sent.value.spans(x, s) for x, s in zip(texts, base)])
+                for rows, texts in tb.chunks(batch):
+                    texts = texts.to_pylist()
+                    base = list(map(base_spans, texts))
+                    yield finish(rows, base, [sent.value.spans(x, s) for x, s in zip(texts, base)])
         return run
 
     if 9 * telling.count() <= broadcast_bytes:
@@ -329,18 +330,19 @@ def _masked(docs: DataFrame, finish, schema, min_support: float = 3, generalise_
     def sift(batches):
         row, known = TaskContext.get().partitionId() << 32, {}
         for batch in batches:
-            maybe = []
-            for text in tb.text_column(batch, "text").to_pylist():
-                if len(known) > PART_TERMS:
-                    known.clear()
-                words = _terms(text)
-                for w in words - known.keys():
-                    known[w] = t if sieve.value.may_hold(t := _number(w)) else None
-                maybe.append([t for w in words if (t := known[w]) is not None])
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(range(row, row + len(maybe)), pa.int64()), pa.array(maybe, pa.list_(pa.int64()))],
-                names=[*names, _ROW, _MAYBE_TERMS])
-            row += len(maybe)
+            for rows, texts in tb.chunks(batch):
+                maybe = []
+                for text in texts.to_pylist():
+                    if len(known) > PART_TERMS:
+                        known.clear()
+                    words = _terms(text)
+                    for w in words - known.keys():
+                        known[w] = t if sieve.value.may_hold(t := _number(w)) else None
+                    maybe.append([t for w in words if (t := known[w]) is not None])
+                yield pa.RecordBatch.from_arrays(
+                    [*rows.columns, pa.array(range(row, row + len(maybe)), pa.int64()), pa.array(maybe, pa.list_(pa.int64()))],
+                    names=[*names, _ROW, _MAYBE_TERMS])
+                row += len(maybe)
 
     path = fresh_path(spark, "sifted")
     extra = StructType(docs.schema.fields + [StructField(_ROW, LongType()), StructField(_MAYBE_TERMS, ArrayType(LongType()))])
@@ -351,13 +353,13 @@ def _masked(docs: DataFrame, finish, schema, min_support: float = 3, generalise_
 
     def one_by_one(batches):
         for batch in batches:
-            texts = tb.text_column(batch, "text").to_pylist()
-            base = list(map(base_spans, texts))
-            terms = []
-            for x, s, f in zip(texts, base, batch.column(len(names)).to_pylist()):
-                mine = Telling(np.array([y["t"] for y in f or ()], np.int64), np.array([y["removed"] for y in f or ()], bool))
-                terms.append(mine.spans(x, s))
-            yield finish(batch.select(range(len(names))), base, terms)
+            for rows, texts in tb.chunks(batch):
+                texts = texts.to_pylist()
+                base, terms = list(map(base_spans, texts)), []
+                for x, s, f in zip(texts, base, rows.column(len(names)).to_pylist()):
+                    mine = Telling(np.array([y["t"] for y in f or ()], np.int64), np.array([y["removed"] for y in f or ()], bool))
+                    terms.append(mine.spans(x, s))
+                yield finish(rows.select(range(len(names))), base, terms)
 
     nothing = spark.sparkContext.broadcast(Telling(np.zeros(0, np.int64), np.zeros(0, bool)))
     clear = sifted.filter(F.size(_MAYBE_TERMS) == 0).select(*names).mapInArrow(exact(nothing), schema)
