@@ -129,22 +129,21 @@ def tricky_lines(spark, sf_dir) -> DataFrame:
     length) % 16``, so that each cleaning rule meets lines it must drop or
     change: namespaces, suffixes, spaces, excluded titles, escapes, anchors
     and counts that are no number. No line of V7 is left out."""
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents"))
     hours = (F.col("doc_id") % 30) * 24 + (F.col("doc_id") % 4) * 6
-
-    def line(tok):
-        m = (F.col("doc_id") + F.length(tok)) % 16
-        pick = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), (m + 1).cast("int"))
-        head = pick(["User_talk:", "Wikipedia:", "X", "X", "Mexico", "Big ", "Main_Page", "Search",
-                     "Caf%C3%A9_", "%23", "A%zz+", "Big#", "T", "", "", ""])
-        tail = F.when(m == 2, ".png").when(m == 3, ".JPG").otherwise("")
-        title = F.concat(head, F.when(m.isin(6, 7), "").otherwise(tok), tail)
-        views = F.concat((F.col("doc_id") % 97 + 1).cast("string"), F.when(m == 12, "x").otherwise(""))
-        return F.concat_ws(" ", "lang", title, views, F.col("n_chars").cast("string"))
-
-    # built before the explode: the parse's filters then stop at it, not inline it
-    lines = F.transform(F.split("text", TOKEN_SPLIT), line)
-    return d.select("doc_id", F.explode(lines).alias("value"), _stamp(hours).alias("stamp"))
+    # per-document parts first; each token then costs compiled expressions, no lambda
+    t = d.select("doc_id", "lang", F.col("n_chars").cast("string").alias("_bytes"), _stamp(hours).alias("stamp"),
+                 (F.col("doc_id") % 97 + 1).cast("string").alias("_views"),
+                 F.explode(F.split("text", TOKEN_SPLIT)).alias("_tok")) \
+        .withColumn("_m", ((F.col("doc_id") + F.length("_tok")) % 16).cast("int"))
+    m = F.col("_m")
+    head = F.element_at(F.array(*[F.lit(v) for v in (
+        "User_talk:", "Wikipedia:", "X", "X", "Mexico", "Big ", "Main_Page", "Search",
+        "Caf%C3%A9_", "%23", "A%zz+", "Big#", "T", "", "", "")]), m + 1)
+    title = F.concat(head, F.when(m.isin(6, 7), "").otherwise(F.col("_tok")),
+                     F.when(m == 2, ".png").when(m == 3, ".JPG").otherwise(""))
+    views = F.concat("_views", F.when(m == 12, "x").otherwise(""))
+    return t.select("doc_id", F.concat_ws(" ", "lang", title, views, "_bytes").alias("value"), "stamp")
 
 
 def listing_pages(spark, sf_dir) -> DataFrame:
