@@ -1,4 +1,4 @@
-"""Toxicity: a convolutional text classifier trained in numpy.
+"""Toxicity: a convolutional text classifier trained by parameter averaging.
 
 A word's embedding is the sum of the hashed embeddings of the word and of
 its first ``PREFIXES`` bytes; convolutions of several widths run over the
@@ -6,8 +6,13 @@ whole text, are max-pooled, and a logistic layer reads the pooled values. The de
 language is told from the text's own function words, and the score is
 shifted so that the threshold of every language sits at ``CUT``.
 
-Training uses a bounded sample of labelled rows outside the held-out fold
-(``per_class`` documents a class, whole texts). Scoring folds embedding and
+Training uses every labelled row outside the held-out fold, whole texts.
+The rows are dealt into shards of about ``SHARD_ROWS``; in each round every
+shard trains the network it was sent over its own rows, in numpy, and the
+changes are averaged: of an embedding over the shards that moved it, of the
+rest by rows. Document frequencies are counted over all these rows, and the
+thresholds come from all rows kept back, counted by bins of the logit
+(``1 / BINS`` wide). What is sent is one network, bounded by ``BUCKETS``. Scoring folds embedding and
 filters into one table for each filter column, so that a document costs a
 few gathers a word.
 
@@ -18,13 +23,16 @@ any labelled rows of a class every score is 0; other columns are ignored.
 
 from __future__ import annotations
 
+import pickle
+from itertools import groupby
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text_batches as tb
-from .labelled import held_out, training_sample
+from .labelled import held_out, training_rows
 
 CUT = 0.7
 BUCKETS = 1 << 18
@@ -32,6 +40,8 @@ PREFIXES = (4, 6)
 DIM = 12
 WIDTHS = (1, 2, 3)
 FILTERS = 8
+SHARD_ROWS = 8000
+BINS = 1024
 # Function words that tell the languages apart; fixed values.
 FUNCTION_WORDS = {
     "en": "the of and to in is that for was with".split(),
@@ -67,22 +77,60 @@ def languages(digests: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     return np.argmax(votes, axis=0)
 
 
-def _features(sample: DataFrame) -> list[tuple]:
-    """(label, language, bucket numbers) of the sample's documents."""
+def _features(rows: DataFrame) -> DataFrame:
+    """shard, nth, label, lang, bucket numbers (packed) of the training rows;
+    ``nth`` numbers the rows of a shard. Partitions and order stay."""
     def run(batches):
+        shard, nth = None, 0
         for batch in batches:
-            for rows, texts in tb.chunks(batch):
+            for part, texts in tb.chunks(batch):
                 digests, row, ids = tokens(texts)
                 lang = languages(digests, row, len(texts))
                 cut = np.concatenate(([0], np.cumsum(tb.counts_by_row(row, len(texts)))))
+                number = []
+                for s in part.column(0).to_pylist():
+                    shard, nth = s, nth + 1 if s == shard else 0
+                    number.append(nth)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), rows.column(1), pa.array(lang),
-                     pa.array([ids[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())],
-                    names=["doc_id", "label", "lang", "ids"])
+                    [part.column(0), pa.array(number, pa.int32()), part.column(1), pa.array(lang),
+                     pa.array([_pack(ids[a:b]) for a, b in zip(cut[:-1], cut[1:])], pa.binary())],
+                    names=["shard", "nth", "label", "lang", "ids"])
+
+    return rows.select("shard", "label", "text") \
+        .mapInArrow(run, "shard int, nth int, label int, lang bigint, ids binary").checkpoint()
+
+
+def _pack(ids: np.ndarray) -> bytes:
+    return len(ids).to_bytes(4, "little") + pa.compress(ids.tobytes(), "zstd", asbytes=True)
+
 
-    got = sample.select("doc_id", "label", "text") \
-        .mapInArrow(run, "doc_id bigint, label int, lang bigint, ids binary")
-    return [(r.label, r.lang, np.frombuffer(r.ids, np.int32).reshape(-1, 1 + len(PREFIXES))) for r in got.orderBy("doc_id").collect()]
+def _unpack(data: bytes) -> np.ndarray:
+    width = 1 + len(PREFIXES)
+    size = int.from_bytes(data[:4], "little") * width * 4
+    return np.frombuffer(pa.decompress(data[4:], size, "zstd", asbytes=True), np.int32).reshape(-1, width)
+
+
+def _rows(batches):
+    for batch in batches:
+        yield from zip(*(batch.column(k).to_pylist() for k in range(batch.num_columns)))
+
+
+def _frequencies(features: DataFrame) -> tuple[np.ndarray, set[int]]:
+    """Documents that hold each bucket, over all rows, and the labels met."""
+    def run(batches):
+        df, classes = np.zeros(BUCKETS, np.int64), np.zeros(2, np.int64)
+        for _, _, label, _, ids in _rows(batches):
+            df[np.unique(_unpack(ids))] += 1
+            classes[label] += 1
+        some, met = np.flatnonzero(df), np.flatnonzero(classes)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1 - met)), pa.array(np.append(df[some], classes[met]))],
+                                         names=["bucket", "n"])
+
+    got = features.mapInArrow(run, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    bucket, n = got.column(0).to_numpy(), got.column(1).to_numpy()  # one row a bucket at most
+    df = np.zeros(BUCKETS, np.int64)
+    df[bucket[bucket >= 0]] = n[bucket >= 0]
+    return df, {int(-1 - b) for b in bucket[bucket < 0]}
 
 
 class _Network:
@@ -97,7 +145,43 @@ class _Network:
         self.filters = [normal(0.3, w, DIM, FILTERS) for w in WIDTHS]
         self.bias, self.out = np.zeros(k, np.float32), normal(0.3, k)
         self.const = np.zeros(1, np.float32)
-        self.squares = {}
+        self.squares = {name: np.full(a.shape, 1e-3, np.float32) for name, a in self.dense().items()}
+        self.squares["embed"] = np.full(self.embed.shape, 1e-3, np.float32)
+
+    def dense(self) -> dict[str, np.ndarray]:
+        return {"bias": self.bias, "out": self.out, "const": self.const} | \
+            {f"filters{w}": f for w, f in zip(WIDTHS, self.filters)}
+
+    def state(self) -> tuple[np.ndarray, dict, dict]:
+        return self.embed.copy(), {k: a.copy() for k, a in self.dense().items()}, {k: a.copy() for k, a in self.squares.items()}
+
+    def load(self, state) -> None:
+        embed, dense, squares = state
+        self.embed[:] = embed
+        for k, a in self.dense().items():
+            a[...] = dense[k]
+        for k, a in self.squares.items():
+            a[...] = squares[k]
+
+    def change(self, state, n: int, shard: int = 0) -> dict:
+        """What ``n`` rows changed since ``state``: the embeddings moved (number,
+        change, change of the squares, shards) and the rest, times ``n``."""
+        embed, dense, squares = state
+        moved = np.flatnonzero((self.squares["embed"] != squares["embed"]).any(1))
+        rows = np.concatenate([self.embed[moved] - embed[moved], self.squares["embed"][moved] - squares["embed"][moved],
+                               np.ones((len(moved), 1), np.float32)], axis=1)
+        return {"n": n, "rng": (shard, self.rng), "moved": moved, "rows": rows, "dense": {k: (a - dense[k]) * n for k, a in self.dense().items()},
+                "squares": {k: (self.squares[k] - squares[k]) * n for k in dense}}
+
+    def apply(self, change: dict) -> None:
+        """The mean of the shards' changes; the first one's random numbers go on."""
+        self.rng = change["rng"][1]
+        mean = change["rows"] / change["rows"][:, -1:]
+        self.embed[change["moved"]] += mean[:, :DIM]
+        self.squares["embed"][change["moved"]] += mean[:, DIM:-1]
+        for k, a in self.dense().items():
+            a += (change["dense"][k] / change["n"]).astype(np.float32)
+            self.squares[k] += (change["squares"][k] / change["n"]).astype(np.float32)
 
     def pooled(self, ids):
         """Word vectors, largest value of every filter and where it stands;
@@ -117,8 +201,6 @@ class _Network:
         return float(np.maximum(self.pooled(ids)[1], 0) @ self.out + self.const[0])
 
     def _step(self, name, array, grad, rate, index=slice(None)):
-        if name not in self.squares:
-            self.squares[name] = np.full(array.shape, 1e-3, np.float32)
         acc = self.squares[name]
         acc[index] += grad * grad
         array[index] -= rate * grad / np.sqrt(acc[index])
@@ -154,53 +236,99 @@ class _Network:
             self._step("embed", self.embed, total, rate, index)
 
 
-def _threshold(logits: np.ndarray, labels: np.ndarray, prior: float) -> float:
+def _merged(a: dict | None, b: dict | None) -> dict | None:
+    """The sum of two changes."""
+    if a is None or b is None:
+        return a or b
+    moved, at = np.unique(np.concatenate([a["moved"], b["moved"]]), return_inverse=True)
+    rows = np.zeros((len(moved), a["rows"].shape[1]), np.float32)
+    rows[at[:len(a["moved"])]] += a["rows"]
+    rows[at[len(a["moved"]):]] += b["rows"]
+    both = lambda name: {k: v + b[name][k] for k, v in a[name].items()}
+    return {"n": a["n"] + b["n"], "rng": min(a["rng"], b["rng"], key=lambda g: g[0]), "moved": moved, "rows": rows, "dense": both("dense"), "squares": both("squares")}
+
+
+def _round(features: DataFrame, net: _Network, remap: np.ndarray, rate: float, drop: float) -> dict | None:
+    """The sum of the changes of all shards, each trained over its own rows
+    from ``net`` on with random numbers of its own; every fifth row of a shard
+    is left out. One shard alone is trained as without shards."""
+    sent = features.sparkSession.sparkContext.broadcast((net, remap))
+
+    def run(batches):
+        start, to = sent.value
+        state, bits, total = start.state(), start.rng.bit_generator, None
+        for shard, rows in groupby(_rows(batches), lambda r: r[0]):
+            fit = [(label, ids) for _, nth, label, _, ids in rows if nth % 5]  # a shard's, packed
+            start.rng = np.random.Generator(bits.jumped(shard))
+            for i in start.rng.permutation(len(fit)):
+                start.learn(to[_unpack(fit[i][1])], fit[i][0], rate, drop)
+            if fit:
+                total = _merged(total, start.change(state, len(fit), shard))
+            start.load(state)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(total)], pa.binary())], names=["change"])
+
+    return features.mapInArrow(run, "change binary").rdd.map(lambda r: pickle.loads(r[0])).treeReduce(_merged)
+
+
+def _kept_logits(features: DataFrame, net: _Network, remap: np.ndarray) -> np.ndarray:
+    """(language, label, logit, rows) of the rows that were left out, the
+    logits in bins."""
+    sent = features.sparkSession.sparkContext.broadcast((net, remap))
+
+    def run(batches):
+        model, to = sent.value
+        for batch in batches:
+            rows = [(lang, label, model.logit(to[_unpack(ids)])) for _, _, label, lang, ids in _rows([batch])]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(
+                (pa.int64(), pa.int32(), pa.float64()))], names=["lang", "label", "logit"])
+
+    got = features.where("nth % 5 = 0").mapInArrow(run, "lang bigint, label int, logit double") \
+        .groupBy("lang", "label", F.round(F.col("logit") * BINS).alias("bin")).count().orderBy("lang", "label", "bin").collect()
+    return np.array([(r.lang, r.label, r.bin / BINS, r["count"]) for r in got], float).reshape(-1, 4)
+
+
+def _threshold(kept: np.ndarray, prior: float) -> float:
     """The cut with the fewest errors, toxic rows weighing ``prior`` in all."""
-    weight = np.where(labels == 1, prior / max(1, (labels == 1).sum()),
-                      (1 - prior) / max(1, (labels == 0).sum()))
-    order = np.argsort(logits)
-    s, y, w = logits[order], labels[order], weight[order]
-    below = np.concatenate(([0], np.cumsum(w * (y == 1))))  # toxic rows under the cut
-    above = np.concatenate((np.cumsum((w * (y == 0))[::-1])[::-1], [0]))
+    s, at = np.unique(kept[:, 2], return_inverse=True)
+    toxic, clean = (np.bincount(at, kept[:, 3] * (kept[:, 1] == y), len(s)) for y in (1, 0))
+    below = np.concatenate(([0], np.cumsum(toxic * (prior / max(1, toxic.sum())))))  # toxic rows under the cut
+    above = np.concatenate((np.cumsum((clean * ((1 - prior) / max(1, clean.sum())))[::-1])[::-1], [0]))
     cuts = np.concatenate(([s[0] - 1], (s[1:] + s[:-1]) / 2, [s[-1] + 1]))
     errors = below + above
     best = np.flatnonzero(errors <= errors.min() + 1e-12)
     return float(cuts[best[len(best) // 2]])
 
 
-def train(sample: DataFrame, prior: float = 0.1, epochs: int = 4, rate: float = 0.05,
+def train(rows: DataFrame, prior: float = 0.1, epochs: int = 4, rate: float = 0.05,
           drop: float = 0.2, min_df: int = 5, seed: int = 7) -> dict | None:
-    """The trained model as plain arrays, or None without both classes.
+    """The model trained on all ``rows`` (``training_rows``) as plain arrays, or
+    None without both classes.
 
-    A fifth of the sample is kept from training for the thresholds;
+    A fifth of every shard is kept from training for the thresholds;
     ``prior`` is the share of toxic documents the cut is chosen for. Buckets
     met in fewer than ``min_df`` documents share one embedding.
     """
-    rows = _features(sample)
-    if len({r[0] for r in rows}) < 2:
+    features = _features(rows)
+    df, classes = _frequencies(features)
+    if len(classes) < 2:
         return None
-    df = np.zeros(BUCKETS, np.int64)
-    for _, _, ids in rows:
-        df[np.unique(ids)] += 1
     common = np.flatnonzero(df >= min_df)
     remap = np.full(BUCKETS, len(common), np.int32)  # bucket -> embedding
     remap[common] = np.arange(len(common))
-    rows = [(y, lang, remap[ids]) for y, lang, ids in rows]
-    fit = [r for i, r in enumerate(rows) if i % 5]
     net = _Network(len(common) + 1, seed)
     for epoch in range(epochs):
-        for i in net.rng.permutation(len(fit)):
-            net.learn(fit[i][2], fit[i][0], rate / (1 + epoch), drop)
-    test = rows[::5]
-    logits = np.array([net.logit(r[2]) for r in test])
-    labels, langs = np.array([r[0] for r in test]), np.array([r[1] for r in test])
-    pooled = _threshold(logits, labels, prior)
+        change = _round(features, net, remap, rate / (1 + epoch), drop)
+        if change is not None:
+            net.apply(change)
+    kept = _kept_logits(features, net, remap)
+    pooled = _threshold(kept, prior)
     cuts = np.full(len(FUNCTION_WORDS), pooled)
     for k in range(len(cuts)):
-        own = langs == k
-        if min((labels[own] == 1).sum(), (labels[own] == 0).sum()) >= 30:
-            cuts[k] = _threshold(logits[own], labels[own], prior)
-    spread = max(float(np.std(logits)), 1e-6)
+        own = kept[kept[:, 0] == k]
+        if min(own[own[:, 1] == y, 3].sum() for y in (0, 1)) >= 30:
+            cuts[k] = _threshold(own, prior)
+    mean = np.average(kept[:, 2], weights=kept[:, 3])
+    spread = max(float(np.sqrt(np.average((kept[:, 2] - mean) ** 2, weights=kept[:, 3]))), 1e-6)
     return {"tables": [[(net.embed @ f[k]).astype(np.float32) for k in range(len(f))] for f in net.filters],
             "bias": net.bias, "out": net.out, "const": float(net.const[0]), "remap": remap,
             "cuts": cuts, "scale": 3.0 / spread}
@@ -231,8 +359,8 @@ def _scores(texts: pa.Array, model: dict | None) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(shifted, -30, 30)))
 
 
-def toxicity_model(docs: DataFrame, labels: DataFrame, per_class: int = 3000) -> dict | None:
-    return train(training_sample(docs, labels, "toxic", per_class))
+def toxicity_model(docs: DataFrame, labels: DataFrame, shard_rows: int = SHARD_ROWS) -> dict | None:
+    return train(training_rows(docs, labels, "toxic", shard_rows))
 
 
 def score_toxicity(docs: DataFrame, model: dict | None) -> DataFrame:
