@@ -11,8 +11,8 @@ The rows are dealt into shards of about ``SHARD_ROWS``; in each round every
 shard trains the network it was sent over its own rows, in numpy, and the
 changes are averaged: of an embedding over the shards that moved it, of the
 rest by rows. Document frequencies are counted over all these rows, and the
-thresholds come from all rows kept back, counted by bins of the logit
-(``1 / BINS`` wide). What is sent is one network, bounded by ``BUCKETS``. Scoring folds embedding and
+thresholds come from all rows kept back, counted by ``BINS`` bins between
+the smallest and the largest logit. What is sent is one network, bounded by ``BUCKETS``. Scoring folds embedding and
 filters into one table for each filter column, so that a document costs a
 few gathers a word.
 
@@ -41,7 +41,7 @@ DIM = 12
 WIDTHS = (1, 2, 3)
 FILTERS = 8
 SHARD_ROWS = 8000
-BINS = 1024
+BINS = 1 << 16
 # Function words that tell the languages apart; fixed values.
 FUNCTION_WORDS = {
     "en": "the of and to in is that for was with".split(),
@@ -282,9 +282,12 @@ def _kept_logits(features: DataFrame, net: _Network, remap: np.ndarray) -> np.nd
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(
                 (pa.int64(), pa.int32(), pa.float64()))], names=["lang", "label", "logit"])
 
-    got = features.where("nth % 5 = 0").mapInArrow(run, "lang bigint, label int, logit double") \
-        .groupBy("lang", "label", F.round(F.col("logit") * BINS).alias("bin")).count().orderBy("lang", "label", "bin").collect()
-    return np.array([(r.lang, r.label, r.bin / BINS, r["count"]) for r in got], float).reshape(-1, 4)
+    logits = features.where("nth % 5 = 0").mapInArrow(run, "lang bigint, label int, logit double").checkpoint()
+    low, high = logits.agg(F.min("logit"), F.max("logit")).first()
+    width = max(high - low, 1e-9) / BINS
+    got = logits.groupBy("lang", "label", F.round((F.col("logit") - low) / width).alias("bin")).count() \
+        .orderBy("lang", "label", "bin").collect()
+    return np.array([(r.lang, r.label, low + r.bin * width, r["count"]) for r in got], float)
 
 
 def _threshold(kept: np.ndarray, prior: float) -> float:
