@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trafficlens.functions import titles as X
+from trafficlens.functions.scalars import file_stamp
 from trafficlens.operators.trends import trend_table
 from trafficlens.sources.pagecounts import file_hours, read_pagecounts
 from trafficlens.sources.trend_lines import write_trend_lines
@@ -56,6 +57,16 @@ def counts_from_lines(lines: DataFrame, grain: str = "day", **rules) -> DataFram
     return counts_from_parsed(parse(lines, **rules), grain)
 
 
+def counts_from_files(lines: DataFrame, grain: str = "day", **rules) -> DataFrame:
+    """``counts_from_lines`` of lines that have the path of their file: lines
+    are summed by (title, file) first, and the hour is read off a path once a
+    group, not once a line."""
+    by_file = X.accepted_lines(lines, keep=["file_path"], **rules) \
+        .groupBy("title", "file_path").agg(F.sum("views").alias("views"))
+    dt = F.substring(file_stamp(F.col("file_path")), 1, GRAIN_CHARS[grain])
+    return by_file.groupBy("title", dt.alias("dt")).agg(F.sum("views").cast("bigint").alias("views"))
+
+
 def trends_from_lines(lines: DataFrame, grain: str = "day", **rules) -> DataFrame:
     return trend_table(counts_from_lines(lines, grain, **rules))
 
@@ -68,7 +79,7 @@ def run(spark: SparkSession, paths, out: str | None = None, grain: str = "day",
         glob: str | None = None, hours: tuple | None = None, **rules) -> DataFrame:
     """Read files, compute the trend table; write trend lines when ``out``."""
     lines = read_pagecounts(spark, paths, glob=glob, hours=hours)
-    trends = trends_from_lines(lines, grain, **rules)
+    trends = trend_table(counts_from_files(lines, grain, **rules))
     if out:
         write_trend_lines(trends, out)
     return trends

@@ -761,6 +761,12 @@ def staged(spark, lines: DataFrame, name: str) -> str:
     return PC.write_pagecount_files(lines, fresh_path(spark, name))
 
 
+def staged_v7(spark, sf, root: str | None = None, where: str = "true") -> str:
+    """The lines of V7 (of the stamps that meet ``where``) as files, document by document."""
+    return PC.write_pagecount_files(B.token_files(spark, sf).where(where), root or fresh_path(spark, "v7files"),
+                                    mode="append", value=B.token_block())
+
+
 TS_OF_STAMP = "strptime(stamp, '%Y%m%d%H%M%S')"
 
 
@@ -785,7 +791,7 @@ def q_file_pattern(spark, sf):
 @register("union_sources", f"with {V4}, {V7} select value, stamp from v4 union all select value, stamp from v7")
 def q_union_sources(spark, sf):
     a = PC.read_pagecounts(spark, staged(spark, v4_lines(spark, sf), "v4files"))
-    b = PC.read_pagecounts(spark, staged(spark, v7_lines(spark, sf), "v7files"))
+    b = PC.read_pagecounts(spark, staged_v7(spark, sf))
     return PC.union_sources(a.select("value", "stamp"), b.select("value", "stamp"))
 
 
@@ -802,7 +808,7 @@ V7_DAY = f"""{V7} {parsed_sql('v7', 'doc_id, stamp')}
 
 @register("batch_trends", f"with {V7_DAY} {trend_sql('v7d')} select * from trend")
 def q_batch_trends(spark, sf):
-    root = staged(spark, v7_lines(spark, sf), "v7files")
+    root = staged_v7(spark, sf)
     return BT.run(spark, root, grain="day")
 
 
@@ -813,7 +819,7 @@ def q_batch_trends(spark, sf):
 , v7h as (select title, stamp as dt, sum(views)::BIGINT as views from recent group by 1, 2)
 {trend_sql('v7h')} select * from trend""")
 def q_latest_trends(spark, sf):
-    return BT.run_latest(spark, staged(spark, v7_lines(spark, sf), "v7files"))
+    return BT.run_latest(spark, staged_v7(spark, sf))
 
 
 @register("rejects", f"with {V6} {parsed_sql('v6', 'doc_id, stamp', keyword='a')} "
@@ -920,7 +926,7 @@ select ts from (select unnest(generate_series((select min(ts) from h), (select m
 where ts not in (select ts from h)""")
 def q_missing_files(spark, sf):
     """Expected hourly files that are not there."""
-    return G.missing_hours(PC.file_hours(spark, staged(spark, v7_lines(spark, sf), "v7files")))
+    return G.missing_hours(PC.file_hours(spark, staged_v7(spark, sf)))
 
 
 @register("page_links", r"""select page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) as name from pages""")
@@ -941,7 +947,7 @@ V7_CLOSED = f"""{V7} {parsed_sql('v7', 'doc_id, stamp')}
 
 @register("stream_hourly", f"with {V7_CLOSED} select * from closed")
 def q_stream_hourly(spark, sf):
-    root = staged(spark, v7_lines(spark, sf), "v7files")
+    root = staged_v7(spark, sf)
     out, chk = fresh_path(spark, "stream_out"), fresh_path(spark, "stream_chk")
     counts = HS.hourly_counts_stream(HS.line_stream(spark, root), delay=f"{STREAM_DELAY_HOURS} hours")
     HS.run_to_parquet(counts, out, chk)
@@ -954,7 +960,7 @@ select title, '[' || string_agg(dt, ',' order by dt) || ']' as dates,
   '[' || string_agg(views::VARCHAR, ',' order by dt) || ']' as pageviews,
   sum(views)::BIGINT as total_pageviews from d group by title""")
 def q_stream_merge(spark, sf):
-    root = staged(spark, v7_lines(spark, sf), "v7files")
+    root = staged_v7(spark, sf)
     mroot, chk = fresh_path(spark, "merge_root"), fresh_path(spark, "merge_chk")
     counts = HS.hourly_counts_stream(HS.line_stream(spark, root), delay=f"{STREAM_DELAY_HOURS} hours")
     HS.run_merge(counts, mroot, chk)
@@ -1065,7 +1071,7 @@ def q_filled_docs_from_lines(spark, sf):
 , d as (select title, strftime(ts, '%Y%m%d') as dt, sum(views)::BIGINT as views from closed group by 1, 2)
 {trend_sql('d')} {DOCS_SQL}""")
 def q_stream_docs(spark, sf):
-    root = staged(spark, v7_lines(spark, sf), "v7files")
+    root = staged_v7(spark, sf)
     mroot, chk = fresh_path(spark, "merge_root"), fresh_path(spark, "merge_chk")
     counts = HS.hourly_counts_stream(HS.line_stream(spark, root), delay=f"{STREAM_DELAY_HOURS} hours")
     HS.run_merge(counts, mroot, chk)
@@ -1093,7 +1099,7 @@ def store_runs(spark, sf, runs, after=None) -> "ST.StreamStore":
     files, store = fresh_path(spark, "v7files"), ST.StreamStore(fresh_path(spark, "store"), delay_hours=STREAM_DELAY_HOURS)
     checkpoint = fresh_path(spark, "store_chk")
     for condition in runs:
-        PC.write_pagecount_files(v7_lines(spark, sf).where(condition), files, mode="append")
+        staged_v7(spark, sf, files, condition)
         ST.run_store(HS.line_stream(spark, files), store, checkpoint)
         if after:
             after(store)

@@ -124,6 +124,28 @@ def token_lines(spark, sf_dir) -> DataFrame:
     return t.select("doc_id", F.concat("_pre", "token", "_suf").alias("value"), "stamp")
 
 
+def token_files(spark, sf_dir) -> DataFrame:
+    """The lines of V7 for files: one row a document, its lines in order with
+    a newline between them, so that a document and not each of its lines is
+    shuffled and sorted by hour. Documents without a text have no lines; those
+    without a lang have empty ones, as null lines are written."""
+    d = spread(table(spark, sf_dir, "documents"))
+    hours = (F.col("doc_id") % 30) * 24 + (F.col("doc_id") % 4) * 6
+    return d.where("text is not null").select(
+        "text", F.concat(F.col("lang"), F.lit(" ")).alias("_pre"),
+        F.concat_ws(" ", F.lit(""), (F.col("doc_id") % 97 + 1).cast("string"),
+                    F.col("n_chars").cast("string")).alias("_suf"),
+        _stamp(hours).alias("stamp"))
+
+
+def token_block() -> F.Column:
+    """The lines of a row of ``token_files`` as one value."""
+    tokens = F.split("text", TOKEN_SPLIT)
+    joined = F.concat(F.col("_pre"), F.call_function("array_join", tokens, F.concat(F.col("_suf"), F.lit("\n"), F.col("_pre"))),
+                      F.col("_suf"))
+    return F.when(F.col("_pre").isNull(), F.repeat(F.lit("\n"), F.size(tokens) - 1)).otherwise(joined)
+
+
 def tricky_lines(spark, sf_dir) -> DataFrame:
     """V6: the lines of V7 with every title decorated by ``(doc_id + token
     length) % 16``, so that each cleaning rule meets lines it must drop or

@@ -10,6 +10,7 @@ gzip cannot be split; many small files are packed into one task).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,23 +27,33 @@ def read_pagecounts(spark: SparkSession, paths: str | Sequence[str], glob: str |
     name_regex -- a regex on the file path (pruned per file, before reading)
     hours      -- (first, last) timestamps: keep files whose hour lies within
     """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    if hours is not None:  # told by name and once a file; a filter would be asked again for every line
+        ts = stamp_to_ts(file_stamp(F.col("path")))
+        lo, hi = (F.lit(h).cast("timestamp_ntz") for h in hours)
+        found = _listed(spark, paths, glob).where((ts >= lo) & (ts <= hi)).collect()  # as many as the hours have files
+        paths = [re.sub(r"([\\*?\[\]{}])", r"\\\1", r.path) for r in found]
     reader = spark.read
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    df = reader.text(paths)
+    df = reader.text(paths) if paths else \
+        spark.createDataFrame([], "value string, _metadata struct<file_path: string>")
     path = F.col("_metadata.file_path")
     if name_regex:
         df = df.where(path.rlike(name_regex))
     stamp = file_stamp(path)
-    if hours is not None:
-        lo, hi = hours
-        ts = stamp_to_ts(stamp)
-        df = df.where((ts >= F.lit(lo).cast("timestamp_ntz")) & (ts <= F.lit(hi).cast("timestamp_ntz")))
     return df.select("value", path.alias("file_path"), stamp.alias("stamp"),
                      stamp_to_ts(stamp).alias("ts"))
 
 
+def _listed(spark: SparkSession, paths: str | Sequence[str], glob: str | None = None) -> DataFrame:
+    """The paths of the files; none is opened."""
+    reader = spark.read.format("binaryFile")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.load(paths).select("path")
+
+
 def union_sources(*frames: DataFrame) -> DataFrame:
     """Union of reads with possibly different column sets."""
     out = frames[0]
@@ -86,19 +97,22 @@ def day_range(hits: DataFrame, days: int, ts: str = "ts") -> DataFrame:
 
 def file_hours(spark: SparkSession, root: str) -> DataFrame:
     """The hours (ts) for which there are files; no file is opened."""
-    paths = spark.read.format("binaryFile").load(root).select("path")
-    return paths.select(stamp_to_ts(file_stamp(F.col("path"))).alias("ts")).distinct()
+    return _listed(spark, root).select(stamp_to_ts(file_stamp(F.col("path"))).alias("ts")).distinct()
 
 
 def write_pagecount_files(lines: DataFrame, root: str, stamp: str = "stamp",
-                          compression: str = "gzip", mode: str = "overwrite") -> str:
+                          compression: str = "gzip", mode: str = "overwrite", value="value") -> str:
     """Lay lines out as hourly page-count files, one directory per hour
-    ``src=pagecounts-YYYYMMDD-HHMMSS`` (the layout the reader accepts)."""
+    ``src=pagecounts-YYYYMMDD-HHMMSS`` (the layout the reader accepts).
+
+    ``value`` (a column name or a Column) is a line, or several with newlines
+    between them; a Column is evaluated behind the shuffle by hour."""
     src = F.concat(F.lit("pagecounts-"), F.substring(stamp, 1, 8), F.lit("-"),
                    F.substring(stamp, 9, 6))
     # large hours are split over tasks and files, small ones share a task
-    (lines.select("value", src.alias("src")).hint("rebalance", "src")
-          .write.mode(mode).option("compression", compression)
+    value = F.col(value) if isinstance(value, str) else value
+    (lines.withColumn("src", src).drop(stamp).hint("rebalance", "src")
+          .select(value.alias("value"), "src").write.mode(mode).option("compression", compression)
           .partitionBy("src").text(root))
     return root
 
