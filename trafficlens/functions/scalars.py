@@ -78,6 +78,34 @@ def stamp_to_instant(stamp) -> Column:
     return F.try_make_timestamp(*_stamp_parts(stamp), F.lit("UTC"))
 
 
+def file_place(path) -> Column:
+    """The 15 characters of a path that ``file_stamp`` reads, if any."""
+    p = _c(path)
+    return F.when(p.contains("pagecounts-"), F.substring(F.substring_index(p, "pagecounts-", -1), 1, 15))
+
+
+def place_number(place) -> Column:
+    """The 14 digits of a ``file_place`` behind a 1, which tells them from signs
+    and blanks by the size of the number; NULL for anything else."""
+    c = _c(place)
+    n = F.concat(F.lit("1"), F.substring(c, 1, 8), F.substring(c, 10, 6)).try_cast("bigint")
+    return F.when(F.substring(c, 9, 1) == "-", n)
+
+
+def number_to_instant(number) -> Column:
+    """``stamp_to_instant(file_stamp(path))`` from a ``place_number`` by integer
+    arithmetic, for a stream needs it for every line; second 60 is the next
+    minute, as there."""
+    n = _c(number)
+    part = lambda unit, size: F.call_function("div", n, F.lit(unit)) % size
+    y, mo, d, h, m, s = (part(10 ** k, 100 if k < 10 else 10000).cast("int") for k in (10, 8, 6, 4, 2, 0))
+    leap = (y % 4 == 0) & ((y % 100 != 0) | (y % 400 == 0))
+    last = F.when(mo == 2, F.when(leap, 29).otherwise(28)).when(mo.isin(4, 6, 9, 11), 30).otherwise(31)
+    ok = (n >= 10 ** 14) & (mo >= 1) & (mo <= 12) & (d >= 1) & (d <= last) & (h < 24) & (m < 60) & (s <= 60)
+    days = F.unix_date(F.make_date(y, mo, d)).cast("bigint")
+    return F.when(ok, F.timestamp_seconds(days * 86400 + h * 3600 + m * 60 + s))
+
+
 def instant_to_wallclock(ts) -> Column:
     """Inverse of ``stamp_to_instant``: the UTC clock of an instant as
     timestamp_ntz (epoch + seconds; no session time zone involved)."""

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trafficlens.functions import titles as X
-from trafficlens.functions.scalars import hour_of, instant_to_wallclock
+from trafficlens.functions.scalars import file_stamp, hour_of, stamp_to_ts
 from trafficlens.operators import timelines as TL
 from trafficlens.operators.documents import search_documents
 from trafficlens.operators.trends import MONTH, trend_table
@@ -277,17 +277,19 @@ class StreamStore:
 
 def arrivals(lines: DataFrame, **rules) -> DataFrame:
     """(title, ts, views) summed over accepted lines, by title and hour; an
-    hour's rejected lines leave a row without a title, so that it is seen."""
-    parsed = X.parse_lines(lines, keep=["ts"], **rules)
-    ok = F.col("status") == "ok"
-    rows = parsed.select(hour_of(instant_to_wallclock("ts")).alias("ts"), F.when(ok, F.col("title")).alias("title"),
-                         F.when(ok, F.col("views")).alias("_v"))
-    return rows.groupBy("title", "ts").agg(F.sum("_v").cast("bigint").alias("views"))
+    hour's rejected lines leave a row without a title, so that it is seen.
+
+    Lines are summed by (title, file) first, so that the hour is read off a
+    path once a group, not once a line."""
+    by_file = X.counted_lines(lines, keep=["file_path"], **rules) \
+        .groupBy("title", "file_path").agg(F.sum("views").alias("_v"))
+    ts = hour_of(stamp_to_ts("stamp"))
+    return X.once(by_file, ["title", "_v"], file_stamp("file_path").alias("stamp")).groupBy("title", ts.alias("ts")).agg(F.sum("_v").cast("bigint").alias("views"))
 
 
 def run_store(lines: DataFrame, store: StreamStore, checkpoint: str, available_now: bool = True, **rules):
     """Feed the store from a stream of lines (``hourly.line_stream``)."""
-    q = lines.writeStream.outputMode("append").option("checkpointLocation", checkpoint) \
+    q = lines.select("value", "file_path").writeStream.outputMode("append").option("checkpointLocation", checkpoint) \
         .foreachBatch(lambda batch, batch_id: store(arrivals(batch, **rules), batch_id))
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="1 minute")
     s = q.start()
