@@ -62,3 +62,29 @@ def test_changes_are_averaged():
 def test_thresholds_count_rows():
     kept = T.np.array([(0, 0, -1.0, 90), (0, 1, 0.5, 1), (0, 0, 0.5, 2), (0, 1, 2.0, 9)])
     assert T._threshold(kept, 0.5) == -0.25 and T._threshold(kept, 0.05) == 1.25
+
+
+def test_a_task_sums_the_changes_of_its_shards(spark):
+    """Four shards or so a partition: what is shuffled to sum the changes grows
+    with the partitions, not with the shards."""
+    docs, labels = corpus(spark)
+    rows = training_rows(docs, labels, "toxic", shard_rows=100)
+    shards = rows.select("shard").distinct().count()
+    assert rows.rdd.getNumPartitions() == -(-shards // 4) < shards
+    per = rows.groupBy("shard", F.spark_partition_id().alias("part")).count().groupBy("shard").count()
+    assert per.where("count > 1").count() == 0
+
+
+def test_freed_memory_goes_back():
+    import os
+
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * os.sysconf("SC_PAGESIZE") / 1e6
+    base = resident()
+    held = [bytes(3000) for _ in range(60000)]  # small pieces come from the heap
+    top = resident()
+    keep = held[::1000]
+    del held
+    T.tb.release()
+    assert top - base > 100 and resident() - base < 0.3 * (top - base) and len(keep) == 60

@@ -53,7 +53,7 @@ def test_files_are_counted_as_lines_are(spark):
     lines = PC.read_pagecounts(spark, files(spark))
     for grain in ("day", "hour"):
         assert rows(BT.counts_from_files(lines, grain)) == rows(BT.counts_from_lines(lines, grain).select("title", "dt", "views"))
-    assert "substring_index" not in optimized(BT.counts_from_files(lines)).split("Aggregate")[-1].split("\n", 1)[1]  # under the first aggregate
+    assert "pagecounts-" not in optimized(BT.counts_from_files(lines)).split("Aggregate")[-1].split("\n", 1)[1]  # under the first aggregate
 
 
 def test_counted_lines_are_the_ok_ones(spark):

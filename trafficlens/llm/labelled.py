@@ -20,12 +20,13 @@ def _known(labels: DataFrame, target: str) -> DataFrame:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, target: str, shard_rows: int,
-                  broadcast_rows: int = 1 << 20) -> DataFrame:
+                  broadcast_rows: int = 1 << 20, shards_per_task: int = 4) -> DataFrame:
     """shard, doc_id, label, text of every labelled document outside the
     held-out fold, sorted, with each shard whole in one partition.
 
     Shards are dealt by a hash of the id and hold ``shard_rows`` rows or so:
-    their number grows with the rows. Equal ids are settled as in
+    their number grows with the rows. ``shards_per_task`` of them or so share a
+    partition, so that what each leaves is summed before it is shuffled. Equal ids are settled as in
     ``training_sample``. The labels are sent everywhere while they are few.
     """
     shared_root(docs.sparkSession)
@@ -35,7 +36,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, target: str, shard_rows: i
     return docs.where(~held_out()).select("doc_id", F.coalesce("text", F.lit("")).alias("text")) \
         .join(F.broadcast(known) if n <= broadcast_rows else known, "doc_id") \
         .withColumn("shard", F.expr(f"cast(pmod(xxhash64(doc_id), {shards}) as int)")) \
-        .repartition(shards, "shard") \
+        .repartition(-(-shards // shards_per_task), "shard") \
         .groupBy("shard", "doc_id", "label").agg(F.min("text").alias("text")) \
         .sortWithinPartitions("shard", "doc_id")
 

@@ -7,6 +7,7 @@ its own), so a task's memory follows the chunk and not the batch.
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -55,6 +56,15 @@ def buffer_of(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offs[0]:offs[-1]], offs - offs[0]
 
 
+def release() -> None:
+    """Give freed memory back: a Python worker lives on and counts for its
+    executor in the stages that follow."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim:
+        trim(0)
+
+
 def chunks(batch: pa.RecordBatch, text: str = "text",
            limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
     """(rows, their texts) pieces of about ``limit`` bytes of text."""
@@ -69,7 +79,7 @@ def chunks(batch: pa.RecordBatch, text: str = "text",
         yield batch.slice(lo, hi - lo), col.slice(lo, hi - lo)
         lo = hi
     del col
-    pa.default_memory_pool().release_unused()  # an idle worker should not hold a batch
+    release()  # an idle worker should not hold a batch
 
 
 def word_bounds(data: np.ndarray, offs: np.ndarray, member: np.ndarray):

@@ -265,7 +265,10 @@ def _round(features: DataFrame, net: _Network, remap: np.ndarray, rate: float, d
             if fit:
                 total = _merged(total, start.change(state, len(fit), shard))
             start.load(state)
+            del fit
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(total)], pa.binary())], names=["change"])
+        del state, total
+        tb.release()
 
     return features.mapInArrow(run, "change binary").rdd.map(lambda r: pickle.loads(r[0])).treeReduce(_merged)
 
